@@ -11,14 +11,36 @@ from __future__ import annotations
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
-from .functions import stable_round
+from . import sinks
+from .functions import (clean_string, is_all_digits, lower, na_to_zero, popularity,
+                        popularity_ln, stable_round, to_double, translate_confidence)
+from .operators import artist as art
+from .operators import clean as cl
+from .operators import joins as jn
+from .operators import lookup as lk
+from .operators import metrics as mt
+from .operators import split as sp
+from .operators import terms as tm
 from .plans import features as feat
-from .sources.fixtures import SourceTables, music_inputs
+from .plans import report as rp
+from .plans import scoring as sc
+from .plans import training as tr
+from .session import scratch_path
+from .sources import delimited as dl
+from .sources import fixtures as fx
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+# Top-k used by the stand-alone term queries: the test data has 150 terms, so
+# the original 1000 would keep them all and test nothing about the cut.
+TEST_TOP_K = 40
+# Forest size for the registered ML queries (small: they check the dataflow).
+TEST_TREES = 10
+TEST_DEPTH = 5
+
 
 def rounded(df: DataFrame, digits: int = 6, **per_column: int) -> DataFrame:
     """Round every double column (``per_column`` overrides the digits)."""
@@ -31,24 +53,475 @@ def rounded(df: DataFrame, digits: int = 6, **per_column: int) -> DataFrame:
     return df.select(*cols)
 
 
-def _inputs(spark: SparkSession, sf_dir: str):
-    return music_inputs(SourceTables(spark, sf_dir))
+def _t(spark: SparkSession, sf_dir: str) -> fx.SourceTables:
+    return fx.SourceTables(spark, sf_dir)
+
+
+def _inputs(spark: SparkSession, sf_dir: str) -> fx.MusicInputs:
+    return fx.music_inputs(_t(spark, sf_dir))
+
+
+QUERIES: dict[str, Query] = {}
+
+
+def query(fn: Query) -> Query:
+    QUERIES[fn.__name__] = fn
+    return fn
+
+
+# =================================================================== sources / sinks
+
+@query
+def read_delimited(spark, sf_dir):
+    """The song table written as ';' CSV with header, read back by schema."""
+    path = sinks.write_delimited(fx.song_info(_t(spark, sf_dir)), scratch_path(spark, "song_info_csv"),
+                                 ";", header=True)
+    raw = dl.read_delimited(spark, path, dl.text_schema(*dl.SONG_INFO_COLUMNS), ";", header=True)
+    typed = raw.select(
+        "song_id", "track_id", "artist_id", "artist_name", "title",
+        *[to_double(c).alias(c) for c in ("artist_hotttnesss", "artist_familiarity", "loudness",
+                                          "tempo", "duration")],
+        "song_hotttnesss", F.col("year").try_cast("int").alias("year"))
+    return rounded(typed)
+
+
+@query
+def read_headerless(spark, sf_dir):
+    """The likes table as headerless ',' CSV."""
+    path = sinks.write_delimited(fx.track_likes(_t(spark, sf_dir)), scratch_path(spark, "likes_csv"),
+                                 ",", header=False)
+    raw = dl.read_delimited(spark, path, dl.text_schema(*dl.TRACK_LIKES_COLUMNS), ",", header=False)
+    return raw.select("track", F.col("likes").try_cast("long").alias("likes"))
+
+
+def _typed_downloads(df: DataFrame) -> DataFrame:
+    return rounded(df.select("artist", "title", to_double("mean_price").alias("mean_price"),
+                             to_double("downloads").alias("downloads"), "confidence"),
+                   mean_price=4)
+
+
+@query
+def read_split_lines(spark, sf_dir):
+    """S3/S4/P7: ';' lines with a header line, split into fields."""
+    path = sinks.write_delimited(fx.downloads(_t(spark, sf_dir)), scratch_path(spark, "downloads_txt"),
+                                 ";", header=True)
+    fields = dl.keep_field_count(dl.read_split_lines(spark, path, ";", header=True), 5)
+    return _typed_downloads(dl.fields_to_columns(fields, dl.DOWNLOADS_COLUMNS))
+
+
+def _mixed_lines(spark: SparkSession, sf_dir: str) -> str:
+    """A folder of ';' lines of two widths: downloads (5 fields), requests (2)."""
+    t = _t(spark, sf_dir)
+    base = scratch_path(spark, "mixed_lines")
+    sinks.write_delimited(fx.downloads(t), f"{base}/downloads", ";")
+    sinks.write_delimited(fx.requests(t).select("artist", "title"), f"{base}/requests", ";")
+    return base
+
+
+@query
+def filter_field_count(spark, sf_dir):
+    """Of mixed-width lines keep those with exactly five fields."""
+    base = _mixed_lines(spark, sf_dir)
+    lines = dl.read_split_lines(spark, [f"{base}/downloads", f"{base}/requests"], ";")
+    return _typed_downloads(dl.fields_to_columns(dl.keep_field_count(lines, 5), dl.DOWNLOADS_COLUMNS))
+
+
+@query
+def parse_requests(spark, sf_dir):
+    """Request lines (two fields); other lines are dropped."""
+    base = _mixed_lines(spark, sf_dir)
+    return dl.parse_requests(spark.read.text([f"{base}/downloads", f"{base}/requests"]))
+
+
+@query
+def roundtrip_parquet(spark, sf_dir):
+    """The training matrix written and continued from the files."""
+    return rounded(sinks.materialize(feat.training_matrix(_inputs(spark, sf_dir)), "matrix"),
+                   td_meanPrice=4)
+
+
+@query
+def read_gzip_features(spark, sf_dir):
+    """The lookup table as gzip CSV with header, read by column name."""
+    path = sinks.write_delimited(feat.lookup_features(_inputs(spark, sf_dir)),
+                                 scratch_path(spark, "features_gz"), ",", header=True,
+                                 compression="gzip")
+    return rounded(dl.read_feature_file(spark, path, header=True), td_meanPrice=4)
+
+
+@query
+def write_features_csv(spark, sf_dir):
+    """K2: the lookup table as plain headerless CSV, read back."""
+    path = sinks.write_delimited(feat.lookup_features(_inputs(spark, sf_dir)),
+                                 scratch_path(spark, "features_csv"), ",", header=False)
+    return rounded(dl.read_feature_file(spark, path, header=False), td_meanPrice=4)
+
+
+@query
+def global_averages(spark, sf_dir):
+    """A3/K3: the averages row, written with header and read back."""
+    avg = feat.global_averages(feat.lookup_features(_inputs(spark, sf_dir)))
+    path = sinks.write_averages(avg, scratch_path(spark, "averages"))
+    back = dl.read_delimited(spark, path, dl.text_schema(*avg.columns), ",", header=True)
+    return rounded(back.select(F.col("mean_confidence").try_cast("int").alias("mean_confidence"),
+                               *[to_double(c).alias(c) for c in avg.columns[1:]]), 4)
+
+
+@query
+def stage_row_counts(spark, sf_dir):
+    """K6: row count of every input and stage, one job each."""
+    inputs = _inputs(spark, sf_dir)
+    stages = [
+        ("song_info", inputs.song_info), ("play_count", inputs.play_count),
+        ("similar_artist_count", inputs.similar_counts), ("artist_terms", inputs.artist_terms),
+        ("track_likes", inputs.track_likes), ("downloads", inputs.downloads),
+        ("clean_downloads", cl.clean_downloads(inputs.downloads)),
+        ("lookup_features", feat.lookup_features(inputs)),
+        ("training_matrix", feat.training_matrix(inputs, sort_by_artist=False)),
+    ]
+    out = None
+    for name, df in stages:
+        one = df.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(name).alias("stage"), "n_rows")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+# =================================================================== cleaning / scalars
+
+@query
+def project_song_info(spark, sf_dir):
+    return rounded(cl.project_song_info(fx.song_info(_t(spark, sf_dir))))
+
+
+@query
+def filter_numeric(spark, sf_dir):
+    """Songs whose hotness field is a number."""
+    songs = cl.keep_numeric(fx.song_info(_t(spark, sf_dir)), "song_hotttnesss")
+    return rounded(songs.select("song_id", "track_id", to_double("song_hotttnesss").alias("song_hotness")))
+
+
+@query
+def clean_string_q(spark, sf_dir):
+    songs = fx.song_info(_t(spark, sf_dir))
+    return songs.select("song_id", "track_id",
+                        clean_string("artist_name").alias("artist_clean"),
+                        clean_string("title").alias("title_clean"),
+                        lower("artist_name").alias("artist_lower"))
+
+
+@query
+def is_all_digits_q(spark, sf_dir):
+    songs = fx.song_info(_t(spark, sf_dir))
+    return songs.select("song_id", "track_id",
+                        is_all_digits("song_id").alias("song_id_digits"),
+                        is_all_digits("track_id").alias("track_id_digits"),
+                        is_all_digits("song_hotttnesss").alias("hotness_digits"))
+
+
+@query
+def na_to_zero_q(spark, sf_dir):
+    songs = fx.song_info(_t(spark, sf_dir))
+    return songs.select("song_id", "track_id", "song_hotttnesss",
+                        na_to_zero("song_hotttnesss").alias("song_hotness"))
+
+
+@query
+def clean_song_info(spark, sf_dir):
+    return rounded(cl.clean_song_info(fx.song_info(_t(spark, sf_dir))))
+
+
+@query
+def clean_song_info_wide(spark, sf_dir):
+    return rounded(cl.clean_song_info_wide(fx.song_info(_t(spark, sf_dir))))
+
+
+@query
+def translate_confidence_q(spark, sf_dir):
+    d = fx.downloads(_t(spark, sf_dir))
+    return d.select("artist", "title", "confidence",
+                    translate_confidence("confidence").alias("td_confidence"))
+
+
+@query
+def clean_downloads(spark, sf_dir):
+    return rounded(cl.clean_downloads(fx.downloads(_t(spark, sf_dir))), td_meanPrice=4)
+
+
+@query
+def popularity_q(spark, sf_dir):
+    rows = feat.training_rows(_inputs(spark, sf_dir))
+    return rounded(rows.select("td_artist", "artist_familiarity", "song_count", "similar_artist_count",
+                               popularity("artist_familiarity", "song_count",
+                                          "similar_artist_count").alias("popularity")))
+
+
+@query
+def popularity_ln_q(spark, sf_dir):
+    rows = feat.training_rows(_inputs(spark, sf_dir))
+    return rounded(rows.select("td_artist", "artist_familiarity", "song_count", "similar_artist_count",
+                               popularity_ln("artist_familiarity", "song_count",
+                                             "similar_artist_count").alias("popularity")))
+
+
+# =================================================================== aggregates / terms
+
+@query
+def song_count(spark, sf_dir):
+    return art.song_count(cl.clean_song_info_wide(fx.song_info(_t(spark, sf_dir))))
+
+
+@query
+def similar_artist_count(spark, sf_dir):
+    return fx.similar_artist_counts(_t(spark, sf_dir))
+
+
+@query
+def weight_dot_freq(spark, sf_dir):
+    return rounded(art.weight_dot_freq(fx.artist_terms(_t(spark, sf_dir))))
+
+
+@query
+def top_terms(spark, sf_dir):
+    """Hottest terms over the cleaned songs."""
+    inputs = _inputs(spark, sf_dir)
+    songs = cl.clean_song_info(inputs.song_info)
+    hot = tm.term_hotness(inputs.artist_terms, songs, "artist_hotness")
+    return rounded(tm.top_terms(hot, TEST_TOP_K), 4)
+
+
+@query
+def genre_overlap(spark, sf_dir):
+    """A6/O1/L4 (missing hotness as 0)."""
+    inputs = _inputs(spark, sf_dir)
+    songs = cl.clean_song_info(inputs.song_info)
+    top = tm.top_terms(tm.term_hotness(inputs.artist_terms, songs, "artist_hotness"), TEST_TOP_K)
+    return tm.genre_overlap(inputs.artist_terms, top, TEST_TOP_K, "top_term_count")
+
 
+@query
+def genre_overlap_skip_na(spark, sf_dir):
+    """L4 (raw songs, missing hotness skipped)."""
+    inputs = _inputs(spark, sf_dir)
+    top = tm.top_terms(tm.term_hotness(inputs.artist_terms, inputs.song_info,
+                                       to_double("artist_hotttnesss")), TEST_TOP_K)
+    return tm.genre_overlap(inputs.artist_terms, top, TEST_TOP_K, "top_term_count")
 
-# ------------------------------------------------------------------ L2 / A3
 
-def q_lookup_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+# =================================================================== join stages
+
+def _lookup_chain(inputs: fx.MusicInputs):
+    f1 = feat.lookup_songs_with_plays(inputs)
+    f2 = jn.join_artist_feature(f1, inputs.similar_counts, "left", {"similar_artist_count": 0})
+    f3 = jn.join_artist_feature(f2, feat.lookup_genre_overlap(inputs), "inner")
+    return f1, f2, f3
+
+
+def _explore_chain(inputs: fx.MusicInputs):
+    wide = cl.clean_song_info_wide(inputs.song_info)
+    e1 = jn.join_play_count(wide, inputs.play_count)
+    e2 = jn.join_artist_feature(e1, art.song_count(wide), "inner")
+    e3 = jn.join_artist_feature(e2, art.weight_dot_freq(inputs.artist_terms), "left",
+                                {"weight_dot_freq": 0.0})
+    e4 = jn.join_artist_feature(e3, inputs.similar_counts, "left", {"similar_artist_count": 0})
+    e5 = jn.join_likes(e4, inputs.track_likes)
+    return e2, e3, e5
+
+
+@query
+def join_play_count(spark, sf_dir):
+    return rounded(_lookup_chain(_inputs(spark, sf_dir))[0])
+
+
+@query
+def join_similar_count(spark, sf_dir):
+    return rounded(_lookup_chain(_inputs(spark, sf_dir))[1])
+
+
+@query
+def join_genre_overlap(spark, sf_dir):
+    return rounded(_lookup_chain(_inputs(spark, sf_dir))[2])
+
+
+@query
+def join_song_count(spark, sf_dir):
+    return rounded(_explore_chain(_inputs(spark, sf_dir))[0])
+
+
+@query
+def join_weight_dot_freq(spark, sf_dir):
+    return rounded(_explore_chain(_inputs(spark, sf_dir))[1])
+
+
+@query
+def join_likes(spark, sf_dir):
+    return rounded(_explore_chain(_inputs(spark, sf_dir))[2])
+
+
+@query
+def fill_missing(spark, sf_dir):
+    """Every song with all features, missing ones filled with 0."""
+    return rounded(feat.explore_song_table(_inputs(spark, sf_dir)))
+
+
+# =================================================================== feature tables
+
+@query
+def lookup_features(spark, sf_dir):
     return rounded(feat.lookup_features(_inputs(spark, sf_dir)), td_meanPrice=4)
 
 
-def q_global_averages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(feat.global_averages(feat.lookup_features(_inputs(spark, sf_dir))), 4)
+@query
+def training_matrix(spark, sf_dir):
+    return rounded(feat.training_matrix(_inputs(spark, sf_dir)), td_meanPrice=4)
+
+
+@query
+def filter_confidence(spark, sf_dir):
+    return rounded(rp.report_rows(feat.training_matrix(_inputs(spark, sf_dir), sort_by_artist=False)),
+                   td_meanPrice=4)
+
+
+@query
+def select_feature_subset(spark, sf_dir):
+    matrix = feat.training_matrix(_inputs(spark, sf_dir), sort_by_artist=False)
+    return rounded(tr.select_feature_subset(matrix, tr.SCORING_FEATURES), td_meanPrice=4)
+
+
+# =================================================================== lookups
+
+def _lookup_level(spark, sf_dir, level):
+    t = _t(spark, sf_dir)
+    features = feat.lookup_features(fx.music_inputs(t))
+    out = lk.lookup_level(fx.requests(t), features, level)
+    return rounded(out.select("request_id", "artist_key", "title_key", "n_matches", "td_confidence",
+                              *lk.VALUE_COLUMNS), 4)
+
+
+@query
+def lookup_exact(spark, sf_dir):
+    return _lookup_level(spark, sf_dir, "exact")
+
+
+@query
+def lookup_artist(spark, sf_dir):
+    return _lookup_level(spark, sf_dir, "artist")
+
+
+@query
+def lookup_title(spark, sf_dir):
+    return _lookup_level(spark, sf_dir, "title")
+
+
+@query
+def resolve_features(spark, sf_dir):
+    t = _t(spark, sf_dir)
+    features = feat.lookup_features(fx.music_inputs(t))
+    return rounded(lk.resolve_features(fx.requests(t), features), 4)
+
+
+# =================================================================== report
+
+def _matrix(spark, sf_dir):
+    return feat.training_matrix(_inputs(spark, sf_dir), sort_by_artist=False)
+
+
+@query
+def column_profile(spark, sf_dir):
+    return rounded(rp.profile_report(_matrix(spark, sf_dir)), 4)
+
+
+@query
+def download_correlations(spark, sf_dir):
+    return rounded(rp.correlation_report(_matrix(spark, sf_dir)), 6)
+
+
+@query
+def density_2d(spark, sf_dir):
+    return rp.density_report(_matrix(spark, sf_dir))
+
+
+@query
+def downloads_kmeans(spark, sf_dir):
+    return rp.downloads_kmeans(_matrix(spark, sf_dir))
+
+
+# =================================================================== split / model
+
+def _split_rows(spark, sf_dir) -> DataFrame:
+    return sp.artist_split(feat.training_rows(_inputs(spark, sf_dir)))
+
+
+@query
+def artist_split(spark, sf_dir):
+    rows = _split_rows(spark, sf_dir)
+    return (rows.groupBy("td_artist", sp.artist_bucket("td_artist").alias("artist_bucket"), "split")
+            .agg(F.count(F.lit(1)).alias("n_rows")))
+
+
+def _baseline_predictions(spark, sf_dir) -> DataFrame:
+    """Deterministic predictor: the train side's mean downloads per rating
+    (global train mean for an unseen rating); both sides scored."""
+    rows = _split_rows(spark, sf_dir)
+    return tr.baseline_predictions(rows)
+
+
+@query
+def regression_metrics(spark, sf_dir):
+    return rounded(mt.regression_metrics(_baseline_predictions(spark, sf_dir)), 6)
+
+
+@query
+def actual_vs_predicted(spark, sf_dir):
+    pred = _baseline_predictions(spark, sf_dir).filter(F.col("set_name") == tr.TEST_SET_NAME)
+    return mt.actual_vs_predicted(pred)
+
+
+@query
+def assemble_vectors(spark, sf_dir):
+    from pyspark.ml.functions import vector_to_array
+    assembled = tr.training_set(_matrix(spark, sf_dir))
+    return assembled.select("label", vector_to_array("features").alias("features"))
+
+
+def _fit(spark, sf_dir):
+    rows = _split_rows(spark, sf_dir).cache()
+    train = tr.training_set(rows.filter(F.col("split") == sp.TRAIN))
+    test = tr.training_set(rows.filter(F.col("split") == sp.TEST))
+    model = tr.train_forest(train, TEST_TREES, TEST_DEPTH)
+    return model, train, test
+
+
+@query
+def train_forest(spark, sf_dir):
+    model, train, test = _fit(spark, sf_dir)
+    return tr.evaluate(model, {tr.TEST_SET_NAME: test, tr.TRAIN_SET_NAME: train})
+
+
+@query
+def model_roundtrip(spark, sf_dir):
+    model, _, test = _fit(spark, sf_dir)
+    path = tr.save_model(model, scratch_path(spark, "forest"))
+    loaded = tr.load_model(path)
+    first = model.transform(test).withColumnRenamed("prediction", "prediction_saved")
+    both = loaded.transform(first)
+    return both.select("label", "prediction_saved", F.col("prediction").alias("prediction_loaded"),
+                       (F.col("prediction") == F.col("prediction_saved")).alias("same"))
+
+
+@query
+def score_requests(spark, sf_dir):
+    model, _, _ = _fit(spark, sf_dir)
+    t = _t(spark, sf_dir)
+    features = feat.lookup_features(fx.music_inputs(t))
+    return sc.score_requests(fx.requests(t), features, model).select(
+        "request_id", "artist", "title", "match_level", "predicted_downloads")
 
 
-QUERIES: dict[str, Query] = {
-    "lookup_features": q_lookup_features,
-    "global_averages": q_global_averages,
-}
+# Keys whose function name differs (they shadow library names inside this module).
+for _alias, _fn in [("clean_string", clean_string_q), ("is_all_digits", is_all_digits_q),
+                    ("na_to_zero", na_to_zero_q), ("translate_confidence", translate_confidence_q),
+                    ("popularity", popularity_q), ("popularity_ln", popularity_ln_q)]:
+    QUERIES[_alias] = QUERIES.pop(_fn.__name__)
 
 
 def queries() -> dict[str, Query]:
