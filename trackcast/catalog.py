@@ -280,31 +280,31 @@ def weight_dot_freq(spark, sf_dir):
     return rounded(art.weight_dot_freq(fx.artist_terms(_t(spark, sf_dir))))
 
 
+def _top(inputs: fx.MusicInputs, hotness, k: int):
+    pairs = tm.term_pairs(inputs.artist_terms)
+    stats = tm.artist_song_stats(inputs.song_info, hotness)
+    return pairs, tm.top_terms(tm.term_hotness(pairs, stats), k)
+
+
 @query
 def top_terms(spark, sf_dir):
-    """Hottest terms over the cleaned songs."""
-    inputs = _inputs(spark, sf_dir)
-    songs = cl.clean_song_info(inputs.song_info)
-    hot = tm.term_hotness(inputs.artist_terms, songs, "artist_hotness")
-    return rounded(tm.top_terms(hot, TEST_TOP_K), 4)
+    """Hottest terms over the cleaned songs (missing hotness as 0)."""
+    _, top = _top(_inputs(spark, sf_dir), na_to_zero("artist_hotttnesss"), TEST_TOP_K)
+    return rounded(top, 4)
 
 
 @query
 def genre_overlap(spark, sf_dir):
     """A6/O1/L4 (missing hotness as 0)."""
-    inputs = _inputs(spark, sf_dir)
-    songs = cl.clean_song_info(inputs.song_info)
-    top = tm.top_terms(tm.term_hotness(inputs.artist_terms, songs, "artist_hotness"), TEST_TOP_K)
-    return tm.genre_overlap(inputs.artist_terms, top, TEST_TOP_K, "top_term_count")
+    pairs, top = _top(_inputs(spark, sf_dir), na_to_zero("artist_hotttnesss"), TEST_TOP_K)
+    return tm.genre_overlap(pairs, top, TEST_TOP_K, "top_term_count")
 
 
 @query
 def genre_overlap_skip_na(spark, sf_dir):
     """L4 (raw songs, missing hotness skipped)."""
-    inputs = _inputs(spark, sf_dir)
-    top = tm.top_terms(tm.term_hotness(inputs.artist_terms, inputs.song_info,
-                                       to_double("artist_hotttnesss")), TEST_TOP_K)
-    return tm.genre_overlap(inputs.artist_terms, top, TEST_TOP_K, "top_term_count")
+    pairs, top = _top(_inputs(spark, sf_dir), to_double("artist_hotttnesss"), TEST_TOP_K)
+    return tm.genre_overlap(pairs, top, TEST_TOP_K, "top_term_count")
 
 
 # =================================================================== join stages

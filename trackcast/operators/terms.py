@@ -1,14 +1,18 @@
-"""Genre terms: average hotness per term (J7, A2), top-k (T1), overlap.
+"""Genre terms: average hotness per term (J7, A2), top-k (T1), overlap (A6, O1),
+term weight sums (A5).
 
 The term average is defined over the join of term rows with song rows on the
 artist.  That join is many-to-many per artist (terms x songs), so it is never
 built: each side is first reduced to one row per key,
 
-    per (artist, term):  n_at = term rows
+    per (artist, term):  n_at = term rows                      (term_pairs)
     per artist:          h_sum = sum(hotness), h_n = count(hotness)
 
 and avg(term) = sum(n_at * h_sum) / sum(n_at * h_n), which is exactly the
 average over the exploded join (NULL hotness skipped, as ``avg`` does).
+
+The one ``(artist, term)`` aggregate also carries the weight x frequency sums,
+so every term feature comes from a single scan and shuffle of the term table.
 """
 
 from __future__ import annotations
@@ -16,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import stable_round
+from ..functions import stable_round, weight_times_freq
 
 # The reference keeps this many terms.
 DEFAULT_TOP_K = 1000
@@ -25,14 +29,32 @@ DEFAULT_TOP_K = 1000
 MAX_BROADCAST_TERMS = 200_000
 
 
-def term_hotness(terms: DataFrame, songs: DataFrame, hotness: Column | str) -> DataFrame:
-    """(artist_term, artist_hotness): mean song-row hotness of the artists using a term."""
+def term_pairs(terms: DataFrame) -> DataFrame:
+    """(artist_id, artist_term, n_at, wf_sum, wf_n): one row per artist and term.
+
+    ``wf_sum``/``wf_n`` are the sum and count of weight x frequency over the
+    rows where both parse as numbers.  Map-side partial aggregation keeps a hot
+    artist to one partial row per (term, map task).
+    """
+    wf = weight_times_freq("weight", "freq")
+    return (terms.groupBy(F.col("artist_id").cast("string").alias("artist_id"), "artist_term")
+            .agg(F.count(F.lit(1)).alias("n_at"), F.sum(wf).alias("wf_sum"),
+                 F.count(wf).alias("wf_n")))
+
+
+def artist_song_stats(songs: DataFrame, hotness: Column | str) -> DataFrame:
+    """(artist_id, song_count, h_sum, h_n) over the song rows of each artist."""
     h = F.col(hotness) if isinstance(hotness, str) else hotness
-    per_artist = (songs.groupBy(F.col("artist_id").cast("string").alias("artist_id"))
-                  .agg(F.sum(h).alias("h_sum"), F.count(h).alias("h_n")))
-    per_pair = (terms.groupBy(F.col("artist_id").cast("string").alias("artist_id"), "artist_term")
-                .agg(F.count(F.lit(1)).alias("n_at")))
-    joined = per_pair.join(per_artist, "artist_id")
+    return (songs.groupBy(F.col("artist_id").cast("string").alias("artist_id"))
+            .agg(F.count("song_id").alias("song_count"), F.sum(h).alias("h_sum"),
+                 F.count(h).alias("h_n")))
+
+
+def term_hotness(pairs: DataFrame, song_stats: DataFrame) -> DataFrame:
+    """(artist_term, artist_hotness): mean song-row hotness over the artists using
+    a term, weighted as the term x song join would weight it (J7 is inner)."""
+    joined = pairs.select("artist_id", "artist_term", "n_at").join(
+        song_stats.select("artist_id", "h_sum", "h_n"), "artist_id")
     return joined.groupBy("artist_term").agg(
         F.try_divide(F.sum(F.col("n_at") * F.col("h_sum")),
                      F.sum(F.col("n_at") * F.col("h_n")).cast("double")).alias("artist_hotness"))
@@ -49,18 +71,24 @@ def top_terms(hotness_by_term: DataFrame, k: int = DEFAULT_TOP_K) -> DataFrame:
             .limit(k))
 
 
-def genre_overlap(terms: DataFrame, top: DataFrame, k: int, out_col: str = "top_count") -> DataFrame:
-    """Per artist, how many distinct of its terms are among the top terms.
+def term_features(pairs: DataFrame, top: DataFrame, k: int, overlap_col: str) -> DataFrame:
+    """Per artist having terms: the top-term overlap (A6/O1, 0 when none), the
+    weight x frequency sum (A5, NULL when no row parses) and its row count.
 
-    Artists with none get 0.  The top table has at most ``k`` rows (it is a
-    limit), so it is broadcast when ``k`` is below the bound; one grouped
-    distinct-count then does the rest (map-side de-duplication of
-    (artist, term) before the shuffle).
+    The top table has at most ``k`` rows (it is a limit), so it is broadcast
+    when ``k`` is below the bound; a single grouped pass does the rest.
     """
-    flags = top.select("artist_term").withColumn("_is_top", F.lit(True))
+    flags = top.select("artist_term").withColumn("_is_top", F.lit(1))
     if k <= MAX_BROADCAST_TERMS:
         flags = F.broadcast(flags)
-    marked = (terms.select(F.col("artist_id").cast("string").alias("artist_id"), "artist_term")
-              .join(flags, "artist_term", "left"))
+    marked = pairs.join(flags, "artist_term", "left")
     return marked.groupBy("artist_id").agg(
-        F.count_distinct(F.when(F.col("_is_top"), F.col("artist_term"))).cast("int").alias(out_col))
+        F.count("_is_top").cast("int").alias(overlap_col),
+        F.sum("wf_sum").alias("weight_dot_freq"),
+        F.sum("wf_n").alias("wf_rows"))
+
+
+def genre_overlap(pairs: DataFrame, top: DataFrame, k: int, out_col: str = "top_count") -> DataFrame:
+    """Per artist, how many of its distinct terms are top terms."""
+    return term_features(pairs, top, k, out_col).select("artist_id", out_col)
+

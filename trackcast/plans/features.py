@@ -2,15 +2,16 @@
 
 Plan shape.  The original builds each feature by joining the whole song table
 once more (play counts, song counts, term sums, similar counts, likes, genre
-overlap).  Here the four per-artist features are first joined among
-themselves (one row per artist, small) and the song table meets them in a
-single join on ``artist_id``; only the two song-level tables (plays, likes)
-are joined on song keys.  Inner/left semantics are kept per feature:
+overlap).  Here every per-artist feature comes from two aggregates (songs by
+artist; terms by artist and term), joined among themselves into one row per
+artist, and the song rows meet that table in a single join on ``artist_id``.
+The inner joins run before the left joins, the most selective first:
 
-    songs ⟕ plays ⟕ likes ⋈ (song_count ⋈ overlap ⟕ term_sums ⟕ similar)
+    L3:  (songs ⋈ training) ⟕ plays ⟕ likes ⋈ artists
+    L2:  (songs ⋈ artists) ⟕ plays ⟕ training
 
-which equals the original left-to-right chain because every artist table has
-one row per artist.
+which equals the original left-to-right chains: the left joins are keyed on
+song columns only, and every artist table has one row per artist.
 """
 
 from __future__ import annotations
@@ -18,11 +19,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import AVERAGED_CONFIDENCE, popularity, to_double
-from ..operators.artist import song_count, weight_dot_freq
+from ..functions import AVERAGED_CONFIDENCE, na_to_zero, popularity, to_double
 from ..operators.clean import clean_downloads, clean_song_info, clean_song_info_wide
 from ..operators.joins import join_likes, join_play_count, join_training
-from ..operators.terms import DEFAULT_TOP_K, genre_overlap, term_hotness, top_terms
+from ..operators.terms import (DEFAULT_TOP_K, artist_song_stats, genre_overlap, term_features,
+                               term_hotness, term_pairs, top_terms)
 from ..sources.fixtures import MusicInputs
 
 # Column order of the training matrix (position = feature index, 16 = label).
@@ -49,9 +50,10 @@ def lookup_songs_with_plays(inputs: MusicInputs) -> DataFrame:
 
 def lookup_genre_overlap(inputs: MusicInputs, top_k: int = DEFAULT_TOP_K) -> DataFrame:
     """L4, first variant: top terms over the cleaned songs (missing hotness = 0)."""
-    songs = clean_song_info(inputs.song_info)
-    top = top_terms(term_hotness(inputs.artist_terms, songs, "artist_hotness"), top_k)
-    return genre_overlap(inputs.artist_terms, top, top_k, "top_1000_count")
+    pairs = term_pairs(inputs.artist_terms)
+    stats = artist_song_stats(inputs.song_info, na_to_zero("artist_hotttnesss"))
+    top = top_terms(term_hotness(pairs, stats), top_k)
+    return genre_overlap(pairs, top, top_k, "top_1000_count")
 
 
 def lookup_artist_table(inputs: MusicInputs, top_k: int = DEFAULT_TOP_K) -> DataFrame:
@@ -63,8 +65,12 @@ def lookup_artist_table(inputs: MusicInputs, top_k: int = DEFAULT_TOP_K) -> Data
 
 
 def lookup_song_features(inputs: MusicInputs, top_k: int = DEFAULT_TOP_K) -> DataFrame:
-    """The song-level intermediate (J1, J2, J6) before the training join."""
-    return lookup_songs_with_plays(inputs).join(lookup_artist_table(inputs, top_k), "artist_id")
+    """The song-level intermediate (J1, J2, J6) before the training join.
+
+    The inner artist join runs first (it can only remove songs), then plays.
+    """
+    songs = clean_song_info(inputs.song_info).join(lookup_artist_table(inputs, top_k), "artist_id")
+    return join_play_count(songs, inputs.play_count)
 
 
 def lookup_features(inputs: MusicInputs, top_k: int = DEFAULT_TOP_K) -> DataFrame:
@@ -90,38 +96,54 @@ def global_averages(features: DataFrame) -> DataFrame:
 
 # ---------------------------------------------------------------- training matrix (L3)
 
-def explore_genre_overlap(inputs: MusicInputs, top_k: int = DEFAULT_TOP_K) -> DataFrame:
-    """L4, second variant: top terms over the raw songs (missing hotness skipped)."""
-    top = top_terms(term_hotness(inputs.artist_terms, inputs.song_info,
-                                 to_double("artist_hotttnesss")), top_k)
-    return genre_overlap(inputs.artist_terms, top, top_k, "top_50_count")
-
+def explore_artist_table(inputs: MusicInputs, top_k: int = DEFAULT_TOP_K) -> DataFrame:
+    """J3 + J6 (inner) and J4 + J2 (left, 0 when none) as one per-artist table.
 
-def explore_artist_table(inputs: MusicInputs, songs_wide: DataFrame,
-                         top_k: int = DEFAULT_TOP_K) -> DataFrame:
-    """J3 + J6 (inner) and J4 + J2 (left, 0 when none) as one per-artist table."""
-    return (song_count(songs_wide)
-            .join(explore_genre_overlap(inputs, top_k), "artist_id")
-            .join(weight_dot_freq(inputs.artist_terms), "artist_id", "left")
+    One aggregate over the songs gives the song count and the raw hotness sums
+    (missing hotness skipped: L4 second variant); one over (artist, term)
+    gives overlap and term sums.
+    """
+    stats = artist_song_stats(inputs.song_info, to_double("artist_hotttnesss"))
+    pairs = term_pairs(inputs.artist_terms)
+    top = top_terms(term_hotness(pairs, stats), top_k)
+    terms = term_features(pairs, top, top_k, "top_50_count")
+    return (stats.select("artist_id", "song_count")
+            .join(terms, "artist_id")
             .join(inputs.similar_counts, "artist_id", "left")
-            .na.fill({"weight_dot_freq": 0.0, "similar_artist_count": 0}))
+            .select("artist_id", "song_count", "top_50_count",
+                    F.coalesce("weight_dot_freq", F.lit(0.0)).alias("weight_dot_freq"),
+                    F.coalesce("similar_artist_count", F.lit(0)).alias("similar_artist_count")))
+
+
+def explore_genre_overlap(inputs: MusicInputs, top_k: int = DEFAULT_TOP_K) -> DataFrame:
+    """L4, second variant: top terms over the raw songs (missing hotness skipped)."""
+    pairs = term_pairs(inputs.artist_terms)
+    stats = artist_song_stats(inputs.song_info, to_double("artist_hotttnesss"))
+    top = top_terms(term_hotness(pairs, stats), top_k)
+    return genre_overlap(pairs, top, top_k, "top_term_count")
 
 
 def explore_song_table(inputs: MusicInputs, top_k: int = DEFAULT_TOP_K) -> DataFrame:
     """Every song with all song- and artist-level features (before the training join)."""
     songs = clean_song_info_wide(inputs.song_info)
     with_song_level = join_likes(join_play_count(songs, inputs.play_count), inputs.track_likes)
-    return with_song_level.join(explore_artist_table(inputs, songs, top_k), "artist_id")
+    return with_song_level.join(explore_artist_table(inputs, top_k), "artist_id")
 
 
 def training_rows(inputs: MusicInputs, top_k: int = DEFAULT_TOP_K) -> DataFrame:
     """The 17 matrix columns plus ``td_artist`` (needed for the artist split).
 
-    J9 inner join on (title, artist); rows whose cleaned artist is empty are
-    dropped (P9), popularity (F9) is placed before the label.
+    The inner training join (J9) runs first: it is the most selective step,
+    so plays, likes and artist features are joined to matched songs only
+    (equivalent, as those joins are keyed on song columns).  Rows whose
+    cleaned artist is empty are dropped (P9); popularity (F9) sits before the
+    label.
     """
-    matched = join_training(explore_song_table(inputs, top_k), clean_downloads(inputs.downloads),
-                            "inner").filter(F.col("td_artist") != "")
+    songs = clean_song_info_wide(inputs.song_info)
+    training = clean_downloads(inputs.downloads).filter(F.col("td_artist") != "")
+    matched = join_training(songs, training, "inner")
+    matched = join_likes(join_play_count(matched, inputs.play_count), inputs.track_likes)
+    matched = matched.join(explore_artist_table(inputs, top_k), "artist_id")
     pop = popularity("artist_familiarity", "song_count", "similar_artist_count")
     cols = [pop.alias(c) if c == "popularity" else F.col(c) for c in TRAINING_COLUMNS]
     return matched.select(*cols, "td_artist", "song_id", "track_id")
