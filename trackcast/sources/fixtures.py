@@ -22,14 +22,22 @@ from pyspark.sql import functions as F
 
 
 class SourceTables:
-    """Lazy parquet readers for the base tables of one scale-factor folder."""
+    """Parquet readers for the base tables of one scale-factor folder.
+
+    Each table is resolved once (one footer/schema look-up) and the same
+    relation is handed to every view, so identical scans and exchanges in
+    one plan are recognised and reused.
+    """
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
+        self._tables: dict[str, DataFrame] = {}
 
     def __call__(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.root}/{name}.parquet")
+        if name not in self._tables:
+            self._tables[name] = self.spark.read.parquet(f"{self.root}/{name}.parquet")
+        return self._tables[name]
 
 
 def _key(c: str) -> F.Column:
