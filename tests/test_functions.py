@@ -1,0 +1,100 @@
+"""Scalar functions on dirty literal inputs (the Q-rules of the survey)."""
+
+import math
+
+import pytest
+from pyspark.sql import functions as F
+
+from trackcast.functions import (clean_lowered, clean_string, is_all_digits, is_numeric, na_to_zero,
+                                 popularity, popularity_ln, stable_round, to_double,
+                                 translate_confidence, truncate_to_int)
+
+
+def one_col(spark, values, typ="string"):
+    return spark.createDataFrame([(v,) for v in values], f"v {typ}")
+
+
+def test_clean_string(spark):
+    df = one_col(spark, ["Beyoncé & AC/DC [live]", "???", "a\tb\nc", "ＡＢＣ１", "", None, "Mixed Case 42"])
+    got = [r[0] for r in df.select(clean_string("v")).collect()]
+    assert got == ["beyoncacdclive", "", "abc", "", "", None, "mixedcase42"]
+
+
+def test_clean_lowered_keeps_letter_of_dotted_capital(spark):
+    df = one_col(spark, ["İstanbul"])
+    assert df.select(clean_string("v")).first()[0] == "stanbul"
+    assert df.select(clean_lowered("v")).first()[0] == "istanbul"
+
+
+@pytest.mark.parametrize("raw", ["NA", "", "null", "1,000", "abc", None])
+def test_na_to_zero_non_numbers(spark, raw):
+    assert one_col(spark, [raw]).select(na_to_zero("v")).first()[0] == 0.0
+
+
+@pytest.mark.parametrize("raw,expected", [
+    ("1.5", 1.5), (" 1.5 ", 1.5), ("1e3", 1000.0), (".5", 0.5), ("5.", 5.0), ("+3", 3.0),
+    ("1d", 1.0), ("0x1p3", 8.0), ("-2", -2.0), ("Infinity", math.inf),
+])
+def test_na_to_zero_numbers(spark, raw, expected):
+    assert one_col(spark, [raw]).select(na_to_zero("v")).first()[0] == expected
+
+
+def test_nan_and_foreign_infinity_are_missing(spark):
+    df = one_col(spark, ["NaN", "inf", "-Infinity"])
+    got = [tuple(r) for r in df.select(to_double("v"), is_numeric("v")).collect()]
+    assert got == [(None, False), (None, False), (-math.inf, True)]
+
+
+def test_to_double_on_typed_input(spark):
+    df = one_col(spark, [1.25, None, float("nan")], "double")
+    assert [r[0] for r in df.select(to_double("v")).collect()] == [1.25, None, None]
+
+
+def test_is_all_digits(spark):
+    df = one_col(spark, ["123", "", "12a", "١٢٣", "12\n", None])
+    assert [r[0] for r in df.select(is_all_digits("v")).collect()] == [True, True, False, True, False, None]
+
+
+def test_translate_confidence(spark):
+    words = ["terrible", "poor", "average", "good", "very good", "excellent", "Very Good",
+             "unknown", "unrated", None]
+    got = [r[0] for r in one_col(spark, words).select(translate_confidence("v")).collect()]
+    assert got == [0, 1, 2, 3, 4, 5, -1, -1, -1, -1]
+
+
+def test_popularity(spark):
+    df = spark.createDataFrame([(-0.5, 3, 2), (0.5, 6, 3), (0.0, 0, 0)], "f double, s long, n long")
+    got = [r[0] for r in df.select(popularity("f", "s", "n")).collect()]
+    assert got == [0.0, 1.0, 0.0]
+
+
+def test_popularity_ln_undefined_is_null(spark):
+    df = spark.createDataFrame([(-0.5, 3, 2), (0.5, 6, 3)], "f double, s long, n long")
+    got = [r[0] for r in df.select(popularity_ln("f", "s", "n")).collect()]
+    assert got[0] is None and got[1] == pytest.approx(math.log(10.0))
+
+
+def test_truncate_to_int(spark):
+    df = one_col(spark, [1.7, -1.7, 0.0, 2.0], "double")
+    assert [r[0] for r in df.select(truncate_to_int("v")).collect()] == [1, -1, 0, 2]
+
+
+def test_stable_round_half_up_and_noise(spark):
+    df = one_col(spark, [2.675, 0.0003125, 1.2345499999999997, -2.5], "double")
+    got = [r[0] for r in df.select(stable_round("v", 2), stable_round("v", 6),
+                                   stable_round("v", 4), stable_round("v", 0)).collect()]
+    assert got[0] == 2.68
+    got6 = [r[0] for r in df.select(stable_round("v", 6)).collect()]
+    assert got6[1] == 0.000313
+    got4 = [r[0] for r in df.select(stable_round("v", 4)).collect()]
+    assert got4[2] == 1.2346
+    got0 = [r[0] for r in df.select(stable_round("v", 0)).collect()]
+    assert got0[3] == -3.0
+
+
+def test_functions_stay_in_codegen(spark):
+    """No Python UDF in any scalar builder: the plan has no Python evaluation."""
+    df = one_col(spark, ["a"]).select(clean_string("v"), na_to_zero("v"), translate_confidence("v"))
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
+    assert F is not None

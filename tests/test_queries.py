@@ -1,0 +1,62 @@
+"""Every registered query against its DuckDB SQL on the sf0.001 tables, and the
+driver entry points."""
+
+import os
+import sys
+
+import duckdb
+import pytest
+
+from conftest import ROOT, SF_SMALL
+
+sys.path.insert(0, os.path.join(ROOT, "tools"))
+from check_oracle import TABLES, digest  # noqa: E402
+
+import __spark_entry__ as entry  # noqa: E402
+
+QUERIES = entry.queries()
+SQL = entry.oracle_sql()
+
+
+@pytest.fixture(scope="module")
+def duck():
+    con = duckdb.connect()
+    for t in TABLES:
+        p = os.path.join(SF_SMALL, f"{t}.parquet")
+        if os.path.exists(p):
+            con.execute(f"create view {t} as select * from read_parquet('{p}')")
+    yield con
+    con.close()
+
+
+def test_every_key_has_sql_or_is_model_output():
+    rows_only = set(QUERIES) - set(SQL)
+    assert rows_only == {"assemble_vectors", "train_forest", "model_roundtrip", "score_requests",
+                         "downloads_kmeans"}
+    assert set(SQL) <= set(QUERIES)
+
+
+@pytest.mark.parametrize("name", sorted(SQL))
+def test_query_matches_oracle(spark, duck, name):
+    df = QUERIES[name](spark, SF_SMALL)
+    cols = df.columns
+    got = [tuple(r) for r in df.collect()]
+    res = duck.execute(SQL[name])
+    ocols = [d[0] for d in res.description]
+    want = res.fetchall()
+    assert sorted(cols) == sorted(ocols)
+    assert len(got) == len(want)
+    assert digest(got, cols)[0] == digest(want, ocols)[0]
+
+
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(SQL)))
+def test_model_queries_run(spark, name):
+    df = QUERIES[name](spark, SF_SMALL)
+    assert df.count() > 0
+
+
+def test_entry_smoke(spark):
+    df = entry.entry(spark)
+    assert df.columns == ["artist_name", "title", "td_confidence", "artist_hotness", "song_hotness",
+                          "td_meanPrice"]
+    assert df.count() > 0
