@@ -31,14 +31,17 @@ FEATURE_COLUMNS = ("artist_name", "title", "td_confidence", "artist_hotness",
                    "song_hotness", "td_meanPrice")
 
 
-def read_delimited(spark: SparkSession, path: str, schema: StructType, sep: str = ",",
+def read_delimited(spark: SparkSession, path, schema: StructType | None = None, sep: str = ",",
                    header: bool = True) -> DataFrame:
     """CSV with a fixed column count; rows of another width are dropped.
 
-    ``columnPruning`` is switched off so the drop happens for every projection,
-    including ``count()`` (with pruning, short rows survive narrow reads).
+    Without ``schema`` the header names the (text) columns and fixes the
+    width.  ``columnPruning`` is switched off so the drop happens for every
+    projection, including ``count()`` (with pruning, short rows survive
+    narrow reads).
     """
-    return (spark.read.schema(schema)
+    reader = spark.read.schema(schema) if schema is not None else spark.read
+    return (reader
             .option("header", header)
             .option("sep", sep)
             .option("mode", "DROPMALFORMED")
