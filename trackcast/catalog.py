@@ -412,11 +412,16 @@ def lookup_title(spark, sf_dir):
     return _lookup_level(spark, sf_dir, "title")
 
 
+def _stored_features(t: fx.SourceTables) -> DataFrame:
+    """The lookup table as the scorer reads it: a written table (the global
+    fallback is then a scalar subquery over stored data, not a recompute)."""
+    return sinks.materialize(feat.lookup_features(fx.music_inputs(t)), "lookup_features")
+
+
 @query
 def resolve_features(spark, sf_dir):
     t = _t(spark, sf_dir)
-    features = feat.lookup_features(fx.music_inputs(t))
-    return rounded(lk.resolve_features(fx.requests(t), features), 4)
+    return rounded(lk.resolve_features(fx.requests(t), _stored_features(t)), 4)
 
 
 # =================================================================== report
@@ -425,9 +430,14 @@ def _matrix(spark, sf_dir):
     return feat.training_matrix(_inputs(spark, sf_dir), sort_by_artist=False)
 
 
+def _stored_matrix(spark, sf_dir):
+    """The matrix as the report job reads it (multi-pass consumers)."""
+    return sinks.materialize(_matrix(spark, sf_dir), "matrix")
+
+
 @query
 def column_profile(spark, sf_dir):
-    return rounded(rp.profile_report(_matrix(spark, sf_dir)), 4)
+    return rounded(rp.profile_report(_stored_matrix(spark, sf_dir)), 4)
 
 
 @query
@@ -437,18 +447,20 @@ def download_correlations(spark, sf_dir):
 
 @query
 def density_2d(spark, sf_dir):
-    return rp.density_report(_matrix(spark, sf_dir))
+    return rp.density_report(_stored_matrix(spark, sf_dir))
 
 
 @query
 def downloads_kmeans(spark, sf_dir):
-    return rp.downloads_kmeans(_matrix(spark, sf_dir))
+    return rp.downloads_kmeans(_stored_matrix(spark, sf_dir))
 
 
 # =================================================================== split / model
 
 def _split_rows(spark, sf_dir) -> DataFrame:
-    return sp.artist_split(feat.training_rows(_inputs(spark, sf_dir)))
+    """Training rows with their side, written once: the split job's output that
+    metrics, baseline and forest queries all continue from."""
+    return sinks.materialize(sp.artist_split(feat.training_rows(_inputs(spark, sf_dir))), "split_rows")
 
 
 @query
@@ -484,7 +496,7 @@ def assemble_vectors(spark, sf_dir):
 
 
 def _fit(spark, sf_dir):
-    rows = _split_rows(spark, sf_dir).cache()
+    rows = _split_rows(spark, sf_dir)
     train = tr.training_set(rows.filter(F.col("split") == sp.TRAIN))
     test = tr.training_set(rows.filter(F.col("split") == sp.TEST))
     model = tr.train_forest(train, TEST_TREES, TEST_DEPTH)
@@ -512,8 +524,7 @@ def model_roundtrip(spark, sf_dir):
 def score_requests(spark, sf_dir):
     model, _, _ = _fit(spark, sf_dir)
     t = _t(spark, sf_dir)
-    features = feat.lookup_features(fx.music_inputs(t))
-    return sc.score_requests(fx.requests(t), features, model).select(
+    return sc.score_requests(fx.requests(t), _stored_features(t), model).select(
         "request_id", "artist", "title", "match_level", "predicted_downloads")
 
 
