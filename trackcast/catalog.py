@@ -412,16 +412,10 @@ def lookup_title(spark, sf_dir):
     return _lookup_level(spark, sf_dir, "title")
 
 
-def _stored_features(t: fx.SourceTables) -> DataFrame:
-    """The lookup table as the scorer reads it: a written table (the global
-    fallback is then a scalar subquery over stored data, not a recompute)."""
-    return sinks.materialize(feat.lookup_features(fx.music_inputs(t)), "lookup_features")
-
-
 @query
 def resolve_features(spark, sf_dir):
     t = _t(spark, sf_dir)
-    return rounded(lk.resolve_features(fx.requests(t), _stored_features(t)), 4)
+    return rounded(lk.resolve_features(fx.requests(t), feat.lookup_features(fx.music_inputs(t))), 4)
 
 
 # =================================================================== report
@@ -524,7 +518,8 @@ def model_roundtrip(spark, sf_dir):
 def score_requests(spark, sf_dir):
     model, _, _ = _fit(spark, sf_dir)
     t = _t(spark, sf_dir)
-    return sc.score_requests(fx.requests(t), _stored_features(t), model).select(
+    features = feat.lookup_features(fx.music_inputs(t))
+    return sc.score_requests(fx.requests(t), features, model).select(
         "request_id", "artist", "title", "match_level", "predicted_downloads")
 
 

@@ -12,6 +12,14 @@ The inner joins run before the left joins, the most selective first:
 
 which equals the original left-to-right chains: the left joins are keyed on
 song columns only, and every artist table has one row per artist.
+
+Hot artists.  The per-artist table and the cleaned training rows are written
+once (they are small) before the song rows meet them.  The planner then sees
+their true size: under the broadcast threshold they are broadcast, above it
+the join is a shuffle join of two plain shuffle stages, the shape in which
+AQE splits a skewed partition (an artist holding a third of all songs) over
+many tasks.  Joined straight from an aggregate, the hot partition would stay
+one task.
 """
 
 from __future__ import annotations
@@ -24,6 +32,7 @@ from ..operators.clean import clean_downloads, clean_song_info, clean_song_info_
 from ..operators.joins import join_likes, join_play_count, join_training
 from ..operators.terms import (DEFAULT_TOP_K, artist_song_stats, genre_overlap, term_features,
                                term_hotness, term_pairs, top_terms)
+from ..sinks import materialize
 from ..sources.fixtures import MusicInputs
 
 # Column order of the training matrix (position = feature index, 16 = label).
@@ -69,15 +78,16 @@ def lookup_song_features(inputs: MusicInputs, top_k: int = DEFAULT_TOP_K) -> Dat
 
     The inner artist join runs first (it can only remove songs), then plays.
     """
-    songs = clean_song_info(inputs.song_info).join(lookup_artist_table(inputs, top_k), "artist_id")
+    artists = materialize(lookup_artist_table(inputs, top_k), "lookup_artists")
+    songs = clean_song_info(inputs.song_info).join(artists, "artist_id")
     return join_play_count(songs, inputs.play_count)
 
 
 def lookup_features(inputs: MusicInputs, top_k: int = DEFAULT_TOP_K) -> DataFrame:
     """L2: (artist_name, title, td_confidence, artist_hotness, song_hotness, td_meanPrice)
     per song row, with the training row's rating and price (0 when none, J8 + P8)."""
-    joined = join_training(lookup_song_features(inputs, top_k), clean_downloads(inputs.downloads),
-                           "left")
+    training = materialize(clean_downloads(inputs.downloads), "training_rows")
+    joined = join_training(lookup_song_features(inputs, top_k), training, "left")
     return joined.select(
         "artist_name", "title",
         F.coalesce("td_confidence", F.lit(0)).alias("td_confidence"),
@@ -140,10 +150,12 @@ def training_rows(inputs: MusicInputs, top_k: int = DEFAULT_TOP_K) -> DataFrame:
     label.
     """
     songs = clean_song_info_wide(inputs.song_info)
-    training = clean_downloads(inputs.downloads).filter(F.col("td_artist") != "")
+    training = materialize(clean_downloads(inputs.downloads).filter(F.col("td_artist") != ""),
+                           "training_rows")
     matched = join_training(songs, training, "inner")
     matched = join_likes(join_play_count(matched, inputs.play_count), inputs.track_likes)
-    matched = matched.join(explore_artist_table(inputs, top_k), "artist_id")
+    matched = matched.join(materialize(explore_artist_table(inputs, top_k), "explore_artists"),
+                           "artist_id")
     pop = popularity("artist_familiarity", "song_count", "similar_artist_count")
     cols = [pop.alias(c) if c == "popularity" else F.col(c) for c in TRAINING_COLUMNS]
     return matched.select(*cols, "td_artist", "song_id", "track_id")
