@@ -425,13 +425,13 @@ def _matrix(spark, sf_dir):
 
 
 def _stored_matrix(spark, sf_dir):
-    """The matrix as the report job reads it (multi-pass consumers)."""
+    """The matrix as the report job reads it (for two-pass consumers)."""
     return sinks.materialize(_matrix(spark, sf_dir), "matrix")
 
 
 @query
 def column_profile(spark, sf_dir):
-    return rounded(rp.profile_report(_stored_matrix(spark, sf_dir)), 4)
+    return rounded(rp.profile_report(_matrix(spark, sf_dir)), 4)
 
 
 @query
@@ -446,15 +446,16 @@ def density_2d(spark, sf_dir):
 
 @query
 def downloads_kmeans(spark, sf_dir):
-    return rp.downloads_kmeans(_stored_matrix(spark, sf_dir))
+    return rp.downloads_kmeans(_matrix(spark, sf_dir))
 
 
 # =================================================================== split / model
 
-def _split_rows(spark, sf_dir) -> DataFrame:
-    """Training rows with their side, written once: the split job's output that
-    metrics, baseline and forest queries all continue from."""
-    return sinks.materialize(sp.artist_split(feat.training_rows(_inputs(spark, sf_dir))), "split_rows")
+def _split_rows(spark, sf_dir, stored: bool = False) -> DataFrame:
+    """Training rows with their side; ``stored`` writes them once for the
+    forest queries, which read them for both sides and several passes."""
+    rows = sp.artist_split(feat.training_rows(_inputs(spark, sf_dir)))
+    return sinks.materialize(rows, "split_rows") if stored else rows
 
 
 @query
@@ -490,7 +491,7 @@ def assemble_vectors(spark, sf_dir):
 
 
 def _fit(spark, sf_dir):
-    rows = _split_rows(spark, sf_dir)
+    rows = _split_rows(spark, sf_dir, stored=True)
     train = tr.training_set(rows.filter(F.col("split") == sp.TRAIN))
     test = tr.training_set(rows.filter(F.col("split") == sp.TEST))
     model = tr.train_forest(train, TEST_TREES, TEST_DEPTH)

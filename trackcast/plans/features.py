@@ -13,13 +13,14 @@ The inner joins run before the left joins, the most selective first:
 which equals the original left-to-right chains: the left joins are keyed on
 song columns only, and every artist table has one row per artist.
 
-Hot artists.  The per-artist table and the cleaned training rows are written
-once (they are small) before the song rows meet them.  The planner then sees
-their true size: under the broadcast threshold they are broadcast, above it
-the join is a shuffle join of two plain shuffle stages, the shape in which
-AQE splits a skewed partition (an artist holding a third of all songs) over
-many tasks.  Joined straight from an aggregate, the hot partition would stay
-one task.
+Hot artists.  The per-artist table is written once (it is small) before the
+song rows meet it.  The planner then sees its true size: under the broadcast
+threshold it is broadcast, above it the join is a shuffle join of two plain
+shuffle stages, the shape in which AQE splits a skewed partition (an artist
+holding a third of all songs) over many tasks.  Joined straight from the
+aggregate (already partitioned by artist), the hot partition would stay one
+task.  Tables joined on another key than they were aggregated on get a fresh
+shuffle anyway and need no such step.
 """
 
 from __future__ import annotations
@@ -86,8 +87,8 @@ def lookup_song_features(inputs: MusicInputs, top_k: int = DEFAULT_TOP_K) -> Dat
 def lookup_features(inputs: MusicInputs, top_k: int = DEFAULT_TOP_K) -> DataFrame:
     """L2: (artist_name, title, td_confidence, artist_hotness, song_hotness, td_meanPrice)
     per song row, with the training row's rating and price (0 when none, J8 + P8)."""
-    training = materialize(clean_downloads(inputs.downloads), "training_rows")
-    joined = join_training(lookup_song_features(inputs, top_k), training, "left")
+    joined = join_training(lookup_song_features(inputs, top_k), clean_downloads(inputs.downloads),
+                           "left")
     return joined.select(
         "artist_name", "title",
         F.coalesce("td_confidence", F.lit(0)).alias("td_confidence"),
@@ -150,8 +151,7 @@ def training_rows(inputs: MusicInputs, top_k: int = DEFAULT_TOP_K) -> DataFrame:
     label.
     """
     songs = clean_song_info_wide(inputs.song_info)
-    training = materialize(clean_downloads(inputs.downloads).filter(F.col("td_artist") != ""),
-                           "training_rows")
+    training = clean_downloads(inputs.downloads).filter(F.col("td_artist") != "")
     matched = join_training(songs, training, "inner")
     matched = join_likes(join_play_count(matched, inputs.play_count), inputs.track_likes)
     matched = matched.join(materialize(explore_artist_table(inputs, top_k), "explore_artists"),

@@ -17,16 +17,18 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite") -> str:
     return path
 
 
-def read_table(spark: SparkSession, path: str) -> DataFrame:
-    """Read back a written intermediate."""
-    return spark.read.parquet(path)
+def read_table(spark: SparkSession, path: str, schema=None) -> DataFrame:
+    """Read back a written intermediate (a known schema skips inference)."""
+    reader = spark.read.schema(schema) if schema is not None else spark.read
+    return reader.parquet(path)
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` under the shared checkpoint folder and continue from the
-    files: cuts the lineage so lost executors never recompute the upstream."""
+    files: cuts the lineage so lost executors never recompute the upstream,
+    and the planner sees the table's true size."""
     path = write_table(df, scratch_path(df.sparkSession, name))
-    return read_table(df.sparkSession, path)
+    return read_table(df.sparkSession, path, df.schema)
 
 
 def write_delimited(df: DataFrame, path: str, sep: str = ",", header: bool = False,
