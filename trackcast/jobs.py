@@ -62,9 +62,12 @@ def split_matrix(spark: SparkSession, matrix_path: str, out_dir: str, train_perc
 def train_and_evaluate(spark: SparkSession, train_path: str, test_path: str, out_dir: str,
                        feature_index: Sequence[int] = tr.SCORING_FEATURES,
                        num_trees: int = tr.NUM_TREES, max_depth: int = tr.MAX_DEPTH,
-                       seed: int = tr.SEED) -> dict[str, str]:
+                       seed: int = tr.SEED) -> dict:
     out = out_dir.rstrip("/")
-    train = tr.training_set(sinks.read_table(spark, train_path), feature_index).cache()
+    train_rows = sinks.read_table(spark, train_path)
+    unknown = (train_rows.filter(F.col("td_confidence") == -1).count()
+               if tr.CATEGORICAL_POSITION in feature_index else 0)
+    train = tr.training_set(train_rows, feature_index).cache()
     test = tr.training_set(sinks.read_table(spark, test_path), feature_index)
     model = tr.train_forest(train, num_trees, max_depth, seed)
     model_path = tr.save_model(model, f"{out}/model")
@@ -74,7 +77,7 @@ def train_and_evaluate(spark: SparkSession, train_path: str, test_path: str, out
         pairs = actual_vs_predicted(model.transform(df))
         sinks.write_delimited(pairs, f"{out}/actual_predicted/{name}", ",")
     train.unpersist()
-    return {"model": model_path, "metrics": metrics_path}
+    return {"model": model_path, "metrics": metrics_path, "unknown_rating_rows_left_out": unknown}
 
 
 def score_requests_file(spark: SparkSession, requests_path: str, features_path: str,
