@@ -15,6 +15,7 @@ that check the two agree.
 
 from __future__ import annotations
 
+import os
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,19 +25,37 @@ from pyspark.sql import functions as F
 class SourceTables:
     """Parquet readers for the base tables of one scale-factor folder.
 
-    Each table is resolved once (one footer/schema look-up) and the same
-    relation is handed to every view, so identical scans and exchanges in
-    one plan are recognised and reused.
+    Each table is resolved once and the same relation is handed to every
+    view, so identical scans and exchanges in one plan are recognised and
+    reused.  Inferred schemas are remembered per file version (path, size,
+    modification time), as a catalog would supply them, so later reads skip
+    the footer-reading job.
     """
 
+    _schemas: dict[tuple, object] = {}
+
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
         self._tables: dict[str, DataFrame] = {}
 
+    def _version(self, path: str):
+        try:
+            st = os.stat(path)
+            return (path, st.st_size, st.st_mtime_ns)
+        except OSError:  # not a local path: no caching
+            return None
+
     def __call__(self, name: str) -> DataFrame:
         if name not in self._tables:
-            self._tables[name] = self.spark.read.parquet(f"{self.root}/{name}.parquet")
+            path = f"{self.root}/{name}.parquet"
+            key = self._version(path)
+            schema = self._schemas.get(key) if key else None
+            reader = self.spark.read.schema(schema) if schema is not None else self.spark.read
+            df = reader.parquet(path)
+            if key and schema is None:
+                self._schemas[key] = df.schema
+            self._tables[name] = df
         return self._tables[name]
 
 
