@@ -68,3 +68,19 @@ def test_pipeline_from_files(spark, tables, input_files, scratch):
     report = jobs.column_report(spark, matrix_path, scratch("report"))
     assert sinks.read_table(spark, report["profile"]).count() == 16
     assert sinks.read_table(spark, report["correlations"]).count() == 16
+
+
+def test_cli_report_and_split(spark, tables, scratch, capsys):
+    import json
+
+    from trackcast.__main__ import main
+
+    matrix = scratch("cli_matrix")
+    rows = feat.training_rows(fx.music_inputs(tables))
+    sinks.write_table(rows.select(*feat.TRAINING_COLUMNS, "td_artist"), matrix)
+    main(["split", "--matrix", matrix, "--out", scratch("cli_split")])
+    split = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert set(split) == {TRAIN, TEST}
+    main(["report", "--matrix", matrix, "--out", scratch("cli_report")])
+    report = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert sinks.read_table(spark, report["kmeans"]).count() == 8
