@@ -57,6 +57,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
         return sc.getCheckpointDir()
+    if not sc.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir is not set: point it at the cluster's shared "
+                           "file system (written intermediates go there)")
     local = tempfile.mkdtemp(prefix="trackcast-checkpoints-")
     sc.setCheckpointDir(local)
     return sc.getCheckpointDir()
