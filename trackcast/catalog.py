@@ -453,7 +453,8 @@ def downloads_kmeans(spark, sf_dir):
 
 def _split_rows(spark, sf_dir, stored: bool = False) -> DataFrame:
     """Training rows with their side; ``stored`` writes them once for the
-    forest queries, which read them for both sides and several passes."""
+    queries that read them more than once (baseline: aggregate and probe
+    side; forest: both sides and several passes)."""
     rows = sp.artist_split(feat.training_rows(_inputs(spark, sf_dir)))
     return sinks.materialize(rows, "split_rows") if stored else rows
 
@@ -468,7 +469,7 @@ def artist_split(spark, sf_dir):
 def _baseline_predictions(spark, sf_dir) -> DataFrame:
     """Deterministic predictor: the train side's mean downloads per rating
     (global train mean for an unseen rating); both sides scored."""
-    rows = _split_rows(spark, sf_dir)
+    rows = _split_rows(spark, sf_dir, stored=True)
     return tr.baseline_predictions(rows)
 
 

@@ -2,7 +2,9 @@
 
 No side is hinted: Spark broadcasts a side only when its measured size is
 below the threshold (AQE re-checks with run-time sizes) and otherwise
-shuffles both; skewed artist partitions are split by AQE's skew-join handling.
+shuffles both; skewed artist partitions are split by AQE's skew-join handling
+(per-artist tables are stored first so that it applies, see
+:func:`join_artist_feature`).
 """
 
 from __future__ import annotations
@@ -12,6 +14,8 @@ from typing import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..sinks import materialize
+
 
 def left_join_fill(left: DataFrame, right: DataFrame, on, fill: Mapping[str, object]) -> DataFrame:
     """Left join, then replace the NULLs of unmatched rows (P8) with typed zeros."""
@@ -34,8 +38,18 @@ def join_likes(songs: DataFrame, likes: DataFrame) -> DataFrame:
 
 
 def join_artist_feature(df: DataFrame, feature: DataFrame, how: str = "left",
-                        fill: Mapping[str, object] | None = None) -> DataFrame:
-    """Attach one per-artist table on ``artist_id``."""
+                        fill: Mapping[str, object] | None = None, store: bool = True) -> DataFrame:
+    """Attach one per-artist table on ``artist_id``.
+
+    The per-artist table (one row per artist, small) is written first
+    (``store=False`` for a table already read from storage).  Joined straight from its aggregate it would
+    arrive partitioned by artist, and AQE only splits a skewed partition (an
+    artist holding a third of the songs) when both join inputs are plain
+    shuffle stages; the written table also gives the planner its true size,
+    so it is broadcast when under the threshold.
+    """
+    if store:
+        feature = materialize(feature, "artist_feature")
     out = df.join(feature, "artist_id", how)
     return out.na.fill(dict(fill)) if fill else out
 

@@ -30,10 +30,9 @@ from pyspark.sql import functions as F
 
 from ..functions import AVERAGED_CONFIDENCE, na_to_zero, popularity, to_double
 from ..operators.clean import clean_downloads, clean_song_info, clean_song_info_wide
-from ..operators.joins import join_likes, join_play_count, join_training
+from ..operators.joins import join_artist_feature, join_likes, join_play_count, join_training
 from ..operators.terms import (DEFAULT_TOP_K, artist_song_stats, genre_overlap, term_features,
                                term_hotness, term_pairs, top_terms)
-from ..sinks import materialize
 from ..sources.fixtures import MusicInputs
 
 # Column order of the training matrix (position = feature index, 16 = label).
@@ -79,8 +78,8 @@ def lookup_song_features(inputs: MusicInputs, top_k: int = DEFAULT_TOP_K) -> Dat
 
     The inner artist join runs first (it can only remove songs), then plays.
     """
-    artists = materialize(lookup_artist_table(inputs, top_k), "lookup_artists")
-    songs = clean_song_info(inputs.song_info).join(artists, "artist_id")
+    songs = join_artist_feature(clean_song_info(inputs.song_info), lookup_artist_table(inputs, top_k),
+                                "inner")
     return join_play_count(songs, inputs.play_count)
 
 
@@ -138,7 +137,7 @@ def explore_song_table(inputs: MusicInputs, top_k: int = DEFAULT_TOP_K) -> DataF
     """Every song with all song- and artist-level features (before the training join)."""
     songs = clean_song_info_wide(inputs.song_info)
     with_song_level = join_likes(join_play_count(songs, inputs.play_count), inputs.track_likes)
-    return with_song_level.join(explore_artist_table(inputs, top_k), "artist_id")
+    return join_artist_feature(with_song_level, explore_artist_table(inputs, top_k), "inner")
 
 
 def training_rows(inputs: MusicInputs, top_k: int = DEFAULT_TOP_K) -> DataFrame:
@@ -154,8 +153,7 @@ def training_rows(inputs: MusicInputs, top_k: int = DEFAULT_TOP_K) -> DataFrame:
     training = clean_downloads(inputs.downloads).filter(F.col("td_artist") != "")
     matched = join_training(songs, training, "inner")
     matched = join_likes(join_play_count(matched, inputs.play_count), inputs.track_likes)
-    matched = matched.join(materialize(explore_artist_table(inputs, top_k), "explore_artists"),
-                           "artist_id")
+    matched = join_artist_feature(matched, explore_artist_table(inputs, top_k), "inner")
     pop = popularity("artist_familiarity", "song_count", "similar_artist_count")
     cols = [pop.alias(c) if c == "popularity" else F.col(c) for c in TRAINING_COLUMNS]
     return matched.select(*cols, "td_artist", "song_id", "track_id")
