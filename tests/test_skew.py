@@ -75,3 +75,35 @@ def test_hot_artist_split_in_training_rows(spark):
                 spark.conf.set(k, v)
     assert n == 120_000
     assert "skew=true" in plan
+
+
+def test_hot_artist_in_requests_is_split(spark):
+    from trackcast.operators.lookup import resolve_features
+
+    old = {k: spark.conf.get(k, None) for k in SKEW_CONF}
+    for k, v in SKEW_CONF.items():
+        spark.conf.set(k, v)
+    try:
+        feats = spark.range(20_000).select(
+            (F.col("id") % 400).cast("string").alias("artist_name"),
+            (F.col("id") % 50).cast("string").alias("title"),
+            F.lit(3).alias("td_confidence"), (F.col("id") * 0.5).alias("artist_hotness"),
+            F.lit(1.0).alias("song_hotness"), F.lit(2.0).alias("td_meanPrice"))
+        reqs = spark.range(150_000).select(
+            F.col("id").alias("request_id"),
+            F.when(F.col("id") % 3 == 0, F.lit("7")).otherwise((F.col("id") % 400).cast("string")).alias("artist"),
+            F.concat(F.lit("t"), F.col("id").cast("string")).alias("title"))
+        df = resolve_features(reqs, feats)
+        rows = df.groupBy("match_level").count().collect()
+        out = df.select("request_id", "match_level")
+        n = len(out.collect())
+        plan = out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+    assert n == 150_000
+    assert dict(map(tuple, rows)) == {"artist": 150_000}
+    assert "skew=true" in plan
