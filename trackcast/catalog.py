@@ -309,52 +309,57 @@ def genre_overlap_skip_na(spark, sf_dir):
 
 # =================================================================== join stages
 
-def _lookup_chain(inputs: fx.MusicInputs):
-    f1 = feat.lookup_songs_with_plays(inputs)
-    f2 = jn.join_artist_feature(f1, inputs.similar_counts, "left", {"similar_artist_count": 0})
-    f3 = jn.join_artist_feature(f2, feat.lookup_genre_overlap(inputs), "inner")
-    return f1, f2, f3
-
-
-def _explore_chain(inputs: fx.MusicInputs):
+def _lookup_stage(inputs: fx.MusicInputs, stage: int) -> DataFrame:
+    """The lookup build's join chain up to ``stage`` (1: plays, 2: similar, 3: overlap)."""
+    df = feat.lookup_songs_with_plays(inputs)
+    if stage >= 2:
+        df = jn.join_artist_feature(df, inputs.similar_counts, "left", {"similar_artist_count": 0})
+    if stage >= 3:
+        df = jn.join_artist_feature(df, feat.lookup_genre_overlap(inputs), "inner")
+    return df
+
+
+def _explore_stage(inputs: fx.MusicInputs, stage: int) -> DataFrame:
+    """The training build's chain up to ``stage`` (1: song count, 2: term sums, 3: likes)."""
     wide = cl.clean_song_info_wide(inputs.song_info)
-    e1 = jn.join_play_count(wide, inputs.play_count)
-    e2 = jn.join_artist_feature(e1, art.song_count(wide), "inner")
-    e3 = jn.join_artist_feature(e2, art.weight_dot_freq(inputs.artist_terms), "left",
-                                {"weight_dot_freq": 0.0})
-    e4 = jn.join_artist_feature(e3, inputs.similar_counts, "left", {"similar_artist_count": 0})
-    e5 = jn.join_likes(e4, inputs.track_likes)
-    return e2, e3, e5
+    df = jn.join_artist_feature(jn.join_play_count(wide, inputs.play_count), art.song_count(wide), "inner")
+    if stage >= 2:
+        df = jn.join_artist_feature(df, art.weight_dot_freq(inputs.artist_terms), "left",
+                                    {"weight_dot_freq": 0.0})
+    if stage >= 3:
+        df = jn.join_artist_feature(df, inputs.similar_counts, "left", {"similar_artist_count": 0})
+        df = jn.join_likes(df, inputs.track_likes)
+    return df
 
 
 @query
 def join_play_count(spark, sf_dir):
-    return rounded(_lookup_chain(_inputs(spark, sf_dir))[0])
+    return rounded(_lookup_stage(_inputs(spark, sf_dir), 1))
 
 
 @query
 def join_similar_count(spark, sf_dir):
-    return rounded(_lookup_chain(_inputs(spark, sf_dir))[1])
+    return rounded(_lookup_stage(_inputs(spark, sf_dir), 2))
 
 
 @query
 def join_genre_overlap(spark, sf_dir):
-    return rounded(_lookup_chain(_inputs(spark, sf_dir))[2])
+    return rounded(_lookup_stage(_inputs(spark, sf_dir), 3))
 
 
 @query
 def join_song_count(spark, sf_dir):
-    return rounded(_explore_chain(_inputs(spark, sf_dir))[0])
+    return rounded(_explore_stage(_inputs(spark, sf_dir), 1))
 
 
 @query
 def join_weight_dot_freq(spark, sf_dir):
-    return rounded(_explore_chain(_inputs(spark, sf_dir))[1])
+    return rounded(_explore_stage(_inputs(spark, sf_dir), 2))
 
 
 @query
 def join_likes(spark, sf_dir):
-    return rounded(_explore_chain(_inputs(spark, sf_dir))[2])
+    return rounded(_explore_stage(_inputs(spark, sf_dir), 3))
 
 
 @query
