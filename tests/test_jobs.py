@@ -65,6 +65,14 @@ def test_pipeline_from_files(spark, tables, input_files, scratch):
     assert scored.count() == fx.requests(tables).count()
     assert scored.filter(F.col("predicted_downloads").isNull()).count() == 0
 
+    stream_out = scratch("scores_stream")
+    q = jobs.start_request_stream(spark, f"{base}/requests", out["features"], trained["model"],
+                                  stream_out, averages_path=out["averages"], once=True)
+    q.awaitTermination(120)
+    cols = ["artist", "title", "match_level", "predicted_downloads"]
+    streamed = spark.read.parquet(stream_out).select(*cols)
+    assert sorted(map(tuple, streamed.collect())) == sorted(map(tuple, scored.select(*cols).collect()))
+
     report = jobs.column_report(spark, matrix_path, scratch("report"))
     assert sinks.read_table(spark, report["profile"]).count() == 16
     assert sinks.read_table(spark, report["correlations"]).count() == 16

@@ -86,3 +86,32 @@ def test_metrics_and_averages_files(spark, scratch):
     lines = [r[0] for r in spark.read.text(apath).collect()]
     assert lines[0] == "mean_confidence,mean_artist_hotness,mean_song_hotness,mean_mean_price"
     assert lines[1] == "3,1.0,2.0,3.0"
+
+
+def test_real_input_readers_on_dirty_files(spark, scratch):
+    from trackcast.sources import files
+
+    base = scratch("dirty_inputs")
+    songs = write_text(base + "/song_info.csv", [
+        "song_id;track_id;artist_id;artist_name;title;extra;artist_hotttnesss;artist_familiarity;"
+        "loudness;tempo;duration;song_hotttnesss;year",
+        "s1;t1;a1;Abba;SOS;x;0.5;0.6;-3;120;200;NA;1975",
+        "s2;t2;a1;Abba;Waterloo;x;0.5;0.6;-3;120;200;0.7;1974",
+        "s3;t3;a2;broken row",
+    ])
+    got = files.read_song_info(spark, songs)
+    assert got.columns[:3] == ["song_id", "track_id", "artist_id"]
+    assert sorted(r.song_id for r in got.collect()) == ["s1", "s2"]
+    assert got.count() == 2
+
+    terms = write_text(base + "/artist_terms.csv", ["id;term;w;f", "a1;pop;0.5;4", "a2;rock;NA;1"])
+    t = files.read_artist_terms(spark, terms)
+    assert t.columns == ["artist_id", "artist_term", "weight", "freq"]
+    assert t.count() == 2
+
+    downloads = write_text(base + "/downloads.csv", [
+        "artist;title;mean_price;downloads;confidence",
+        "Abba;SOS;1.5;100;good", "Abba;SOS;bad line", "Queen;Song;2.0;50;very good;"])
+    d = files.read_downloads(spark, downloads)
+    assert sorted(tuple(r) for r in d.collect()) == [
+        ("Abba", "SOS", "1.5", "100", "good"), ("Queen", "Song", "2.0", "50", "very good")]

@@ -44,6 +44,13 @@ def main(argv=None) -> None:
     p.add_argument("--averages")
     p = sub.add_parser("report")
     p.add_argument("--matrix", required=True); p.add_argument("--out", required=True)
+    p = sub.add_parser("stream", help="score request files as they arrive in a folder")
+    p.add_argument("--requests-dir", required=True); p.add_argument("--features", required=True)
+    p.add_argument("--model", required=True); p.add_argument("--out", required=True)
+    p.add_argument("--checkpoint", help="query checkpoint (default: under spark.checkpoint.dir)")
+    p.add_argument("--averages")
+    p.add_argument("--once", action="store_true", help="process what is there, then stop")
+    p.add_argument("--trigger", default="10 seconds")
     a = ap.parse_args(argv)
 
     builder = SparkSession.builder.appName(f"trackcast-{a.job}")
@@ -63,8 +70,13 @@ def main(argv=None) -> None:
         result = jobs.train_and_evaluate(spark, a.train, a.test, a.out, idx, a.trees, a.depth, a.seed)
     elif a.job == "score":
         result = jobs.score_requests_file(spark, a.requests, a.features, a.model, a.out, a.averages)
-    else:
+    elif a.job == "report":
         result = jobs.column_report(spark, a.matrix, a.out)
+    else:
+        query = jobs.start_request_stream(spark, a.requests_dir, a.features, a.model, a.out,
+                                          a.checkpoint, a.averages, a.once, a.trigger)
+        query.awaitTermination()
+        result = {"scores": a.out}
     print(json.dumps(result))
 
 

@@ -9,6 +9,7 @@
                                                                 [M1-M5, K4, K5, F13]
     score      requests file -> predicted downloads per request [L1, L5, S9, S7]
     report     matrix -> mean/median, correlations, density, k-means [L6]
+    stream     request files arriving in a folder -> scores (Structured Streaming)
 
 Every job reads and writes through Spark only; intermediate results are
 written tables, so a lost executor never forces a recompute from raw input.
@@ -80,13 +81,17 @@ def train_and_evaluate(spark: SparkSession, train_path: str, test_path: str, out
     return {"model": model_path, "metrics": metrics_path, "unknown_rating_rows_left_out": unknown}
 
 
+def _read_averages(spark: SparkSession, averages_path: str | None) -> DataFrame | None:
+    if not averages_path:
+        return None
+    raw = spark.read.option("header", True).csv(averages_path)
+    return raw.select(*[F.col(c).try_cast("double").alias(c) for c in raw.columns])
+
+
 def score_requests_file(spark: SparkSession, requests_path: str, features_path: str,
                         model_path: str, out_path: str, averages_path: str | None = None) -> str:
     features = read_feature_file(spark, features_path, header=True)
-    averages = None
-    if averages_path:
-        raw = spark.read.option("header", True).csv(averages_path)
-        averages = raw.select(*[F.col(c).try_cast("double").alias(c) for c in raw.columns])
+    averages = _read_averages(spark, averages_path)
     requests = read_requests(spark, requests_path)
     scored = sc.score_requests(requests, features, tr.load_model(model_path), averages)
     return sinks.write_table(scored, out_path)
@@ -102,3 +107,15 @@ def column_report(spark: SparkSession, matrix_path: str, out_dir: str) -> dict[s
         "kmeans": rp.downloads_kmeans(matrix),
     }
     return {name: sinks.write_table(df, f"{out}/{name}") for name, df in parts.items()}
+
+
+def start_request_stream(spark: SparkSession, requests_dir: str, features_path: str,
+                         model_path: str, out_path: str, checkpoint: str | None = None,
+                         averages_path: str | None = None, once: bool = False,
+                         trigger: str = "10 seconds"):
+    from .streaming import start_scoring
+
+    return start_scoring(spark, requests_dir, read_feature_file(spark, features_path, header=True),
+                         tr.load_model(model_path), out_path, checkpoint,
+                         _read_averages(spark, averages_path), available_now=once,
+                         processing_time=trigger)
