@@ -58,3 +58,56 @@ def test_translate_confidence_exact_words(spark, words):
     got = [r[0] for r in df.select(translate_confidence("v")).collect()]
     assert got == [table.get(w, -1) if w is not None else -1 for w in words]
     assert F is not None
+
+
+def brute_resolve(features, artist, title):
+    """The per-request loop: exact, then artist, then title, else global averages."""
+    def clean(s):
+        return None if s is None else re.sub(r"[^A-Za-z0-9]", "", s).lower()
+
+    def level_values(rows):
+        if len(rows) == 1:
+            r = rows[0]
+            return (r[2], r[3], r[4], r[5])
+        n = len(rows)
+        return (3, sum(r[3] for r in rows) / n, sum(r[4] for r in rows) / n, sum(r[5] for r in rows) / n)
+
+    a, t = clean(artist), clean(title)
+    for level, match in (("exact", lambda r: r[0] == a and r[1] == t),
+                         ("artist", lambda r: r[0] == a),
+                         ("title", lambda r: r[1] == t)):
+        rows = [r for r in features if match(r)]
+        if rows:
+            return (level, *level_values(rows))
+    return ("global",)
+
+
+NAMES = st.sampled_from(["abba", "queen", "u2", "a-ha", "ABBA!", None])
+TITLES = st.sampled_from(["sos", "waterloo", "one", "Take On Me", None])
+FEATURE_ROW = st.tuples(st.sampled_from(["abba", "queen", "u2", "aha"]),
+                        st.sampled_from(["sos", "waterloo", "one", "takeonme"]), st.integers(-1, 5), st.integers(0, 100).map(float), st.integers(0, 10).map(float),
+                        st.integers(0, 50).map(float))
+
+
+@settings(max_examples=6, deadline=None)
+@given(st.lists(FEATURE_ROW, min_size=1, max_size=12), st.lists(st.tuples(NAMES, TITLES), min_size=1, max_size=15))
+def test_resolve_matches_per_request_loop(spark, features, requests):
+    from trackcast.operators.lookup import resolve_features
+
+    fdf = spark.createDataFrame(features, "artist_name string, title string, td_confidence int, "
+                                          "artist_hotness double, song_hotness double, td_meanPrice double")
+    rdf = spark.createDataFrame([(i, a, t) for i, (a, t) in enumerate(requests)],
+                                "request_id long, artist string, title string")
+    got = {r["request_id"]: (r["match_level"], r["td_confidence"], r["artist_hotness"], r["song_hotness"],
+                             r["td_meanPrice"]) for r in resolve_features(rdf, fdf).collect()}
+    n = len(features)
+    glob = ("global", 3, sum(f[3] for f in features) / n, sum(f[4] for f in features) / n,
+            sum(f[5] for f in features) / n)
+    for i, (a, t) in enumerate(requests):
+        want = brute_resolve(features, a, t)
+        if want[0] == "global":
+            want = glob
+        g = got[i]
+        assert g[:2] == want[:2], (a, t, g, want)
+        for x, y in zip(g[2:], want[2:]):
+            assert abs(x - y) < 1e-9
