@@ -25,6 +25,7 @@ shuffle anyway and need no such step.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -33,6 +34,7 @@ from ..operators.clean import clean_downloads, clean_song_info, clean_song_info_
 from ..operators.joins import join_artist_feature, join_likes, join_play_count, join_training
 from ..operators.terms import (DEFAULT_TOP_K, artist_song_stats, genre_overlap, term_features,
                                term_hotness, term_pairs, top_terms)
+from ..sinks import materialize
 from ..sources.fixtures import MusicInputs
 
 # Column order of the training matrix (position = feature index, 16 = label).
@@ -57,29 +59,50 @@ def lookup_songs_with_plays(inputs: MusicInputs) -> DataFrame:
         "play_count", "song_id")
 
 
-def lookup_genre_overlap(inputs: MusicInputs, top_k: int = DEFAULT_TOP_K) -> DataFrame:
+def _write_sharing(build, name: str, *shared: DataFrame) -> DataFrame:
+    """Write a per-artist table whose plan reads the ``shared`` aggregates on
+    two branches (which prune different columns, so their exchanges are not
+    reused): they are cached for this one write and released right after."""
+    for df in shared:
+        df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return materialize(build(), name)
+    finally:
+        for df in shared:
+            df.unpersist()
+
+
+def lookup_genre_overlap(inputs: MusicInputs, top_k: int = DEFAULT_TOP_K,
+                         pairs: DataFrame | None = None) -> DataFrame:
     """L4, first variant: top terms over the cleaned songs (missing hotness = 0)."""
-    pairs = term_pairs(inputs.artist_terms)
+    pairs = pairs if pairs is not None else term_pairs(inputs.artist_terms)
     stats = artist_song_stats(inputs.song_info, na_to_zero("artist_hotttnesss"))
     top = top_terms(term_hotness(pairs, stats), top_k)
     return genre_overlap(pairs, top, top_k, "top_1000_count")
 
 
-def lookup_artist_table(inputs: MusicInputs, top_k: int = DEFAULT_TOP_K) -> DataFrame:
+def lookup_artist_table(inputs: MusicInputs, top_k: int = DEFAULT_TOP_K,
+                        pairs: DataFrame | None = None) -> DataFrame:
     """Per artist: similar-artist count (0 when none) and term overlap; only
     artists having terms (the overlap join is an inner join)."""
-    return (lookup_genre_overlap(inputs, top_k)
+    return (lookup_genre_overlap(inputs, top_k, pairs)
             .join(inputs.similar_counts, "artist_id", "left")
             .na.fill({"similar_artist_count": 0}))
 
 
+def stored_lookup_artist_table(inputs: MusicInputs, top_k: int = DEFAULT_TOP_K) -> DataFrame:
+    """:func:`lookup_artist_table` written once, the term pairs scanned once."""
+    pairs = term_pairs(inputs.artist_terms)
+    return _write_sharing(lambda: lookup_artist_table(inputs, top_k, pairs), "lookup_artists", pairs)
+
+
 def lookup_song_features(inputs: MusicInputs, top_k: int = DEFAULT_TOP_K) -> DataFrame:
     """The song-level intermediate (J1, J2, J6) before the training join.
 
     The inner artist join runs first (it can only remove songs), then plays.
     """
-    songs = join_artist_feature(clean_song_info(inputs.song_info), lookup_artist_table(inputs, top_k),
-                                "inner")
+    songs = join_artist_feature(clean_song_info(inputs.song_info),
+                                stored_lookup_artist_table(inputs, top_k), "inner", store=False)
     return join_play_count(songs, inputs.play_count)
 
 
@@ -106,15 +129,17 @@ def global_averages(features: DataFrame) -> DataFrame:
 
 # ---------------------------------------------------------------- training matrix (L3)
 
-def explore_artist_table(inputs: MusicInputs, top_k: int = DEFAULT_TOP_K) -> DataFrame:
+def explore_artist_table(inputs: MusicInputs, top_k: int = DEFAULT_TOP_K,
+                         pairs: DataFrame | None = None, stats: DataFrame | None = None) -> DataFrame:
     """J3 + J6 (inner) and J4 + J2 (left, 0 when none) as one per-artist table.
 
     One aggregate over the songs gives the song count and the raw hotness sums
     (missing hotness skipped: L4 second variant); one over (artist, term)
     gives overlap and term sums.
     """
-    stats = artist_song_stats(inputs.song_info, to_double("artist_hotttnesss"))
-    pairs = term_pairs(inputs.artist_terms)
+    stats = stats if stats is not None else artist_song_stats(inputs.song_info,
+                                                              to_double("artist_hotttnesss"))
+    pairs = pairs if pairs is not None else term_pairs(inputs.artist_terms)
     top = top_terms(term_hotness(pairs, stats), top_k)
     terms = term_features(pairs, top, top_k, "top_50_count")
     return (stats.select("artist_id", "song_count")
@@ -125,6 +150,15 @@ def explore_artist_table(inputs: MusicInputs, top_k: int = DEFAULT_TOP_K) -> Dat
                     F.coalesce("similar_artist_count", F.lit(0)).alias("similar_artist_count")))
 
 
+def stored_explore_artist_table(inputs: MusicInputs, top_k: int = DEFAULT_TOP_K) -> DataFrame:
+    """:func:`explore_artist_table` written once, songs and term pairs each
+    aggregated once."""
+    pairs = term_pairs(inputs.artist_terms)
+    stats = artist_song_stats(inputs.song_info, to_double("artist_hotttnesss"))
+    return _write_sharing(lambda: explore_artist_table(inputs, top_k, pairs, stats),
+                          "explore_artists", pairs, stats)
+
+
 def explore_genre_overlap(inputs: MusicInputs, top_k: int = DEFAULT_TOP_K) -> DataFrame:
     """L4, second variant: top terms over the raw songs (missing hotness skipped)."""
     pairs = term_pairs(inputs.artist_terms)
@@ -137,7 +171,8 @@ def explore_song_table(inputs: MusicInputs, top_k: int = DEFAULT_TOP_K) -> DataF
     """Every song with all song- and artist-level features (before the training join)."""
     songs = clean_song_info_wide(inputs.song_info)
     with_song_level = join_likes(join_play_count(songs, inputs.play_count), inputs.track_likes)
-    return join_artist_feature(with_song_level, explore_artist_table(inputs, top_k), "inner")
+    return join_artist_feature(with_song_level, stored_explore_artist_table(inputs, top_k), "inner",
+                               store=False)
 
 
 def training_rows(inputs: MusicInputs, top_k: int = DEFAULT_TOP_K) -> DataFrame:
@@ -153,7 +188,8 @@ def training_rows(inputs: MusicInputs, top_k: int = DEFAULT_TOP_K) -> DataFrame:
     training = clean_downloads(inputs.downloads).filter(F.col("td_artist") != "")
     matched = join_training(songs, training, "inner")
     matched = join_likes(join_play_count(matched, inputs.play_count), inputs.track_likes)
-    matched = join_artist_feature(matched, explore_artist_table(inputs, top_k), "inner")
+    matched = join_artist_feature(matched, stored_explore_artist_table(inputs, top_k), "inner",
+                                  store=False)
     pop = popularity("artist_familiarity", "song_count", "similar_artist_count")
     cols = [pop.alias(c) if c == "popularity" else F.col(c) for c in TRAINING_COLUMNS]
     return matched.select(*cols, "td_artist", "song_id", "track_id")
