@@ -85,7 +85,8 @@ def brute_resolve(features, artist, title):
 NAMES = st.sampled_from(["abba", "queen", "u2", "a-ha", "ABBA!", None])
 TITLES = st.sampled_from(["sos", "waterloo", "one", "Take On Me", None])
 FEATURE_ROW = st.tuples(st.sampled_from(["abba", "queen", "u2", "aha"]),
-                        st.sampled_from(["sos", "waterloo", "one", "takeonme"]), st.integers(-1, 5), st.integers(0, 100).map(float), st.integers(0, 10).map(float),
+                        st.sampled_from(["sos", "waterloo", "one", "takeonme"]), st.integers(-1, 5),
+                        st.integers(0, 100).map(float), st.integers(0, 10).map(float),
                         st.integers(0, 50).map(float))
 
 
