@@ -51,6 +51,7 @@ def main(argv=None) -> None:
     p.add_argument("--averages")
     p.add_argument("--once", action="store_true", help="process what is there, then stop")
     p.add_argument("--trigger", default="10 seconds")
+    p.add_argument("--max-files-per-trigger", type=int, help="bound on one micro-batch")
     a = ap.parse_args(argv)
 
     builder = SparkSession.builder.appName(f"trackcast-{a.job}")
@@ -74,7 +75,8 @@ def main(argv=None) -> None:
         result = jobs.column_report(spark, a.matrix, a.out)
     else:
         query = jobs.start_request_stream(spark, a.requests_dir, a.features, a.model, a.out,
-                                          a.checkpoint, a.averages, a.once, a.trigger)
+                                          a.checkpoint, a.averages, a.once, a.trigger,
+                                          a.max_files_per_trigger)
         query.awaitTermination()
         result = {"scores": a.out}
     print(json.dumps(result))

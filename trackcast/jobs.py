@@ -112,10 +112,10 @@ def column_report(spark: SparkSession, matrix_path: str, out_dir: str) -> dict[s
 def start_request_stream(spark: SparkSession, requests_dir: str, features_path: str,
                          model_path: str, out_path: str, checkpoint: str | None = None,
                          averages_path: str | None = None, once: bool = False,
-                         trigger: str = "10 seconds"):
+                         trigger: str = "10 seconds", max_files_per_trigger: int | None = None):
     from .streaming import start_scoring
 
     return start_scoring(spark, requests_dir, read_feature_file(spark, features_path, header=True),
                          tr.load_model(model_path), out_path, checkpoint,
                          _read_averages(spark, averages_path), available_now=once,
-                         processing_time=trigger)
+                         processing_time=trigger, max_files_per_trigger=max_files_per_trigger)

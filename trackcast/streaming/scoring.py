@@ -7,6 +7,10 @@ to the per-level match statistics (a static, pre-aggregated table written
 once to the checkpoint folder: stream-static joins, no state), run through
 the forest, and appended to a Parquet sink.  The sink and the query
 checkpoint make the output exactly-once across restarts and lost executors.
+
+AQE does not re-plan inside micro-batches, so a batch's size is bounded with
+``max_files_per_trigger``; the statistics table is broadcast by its stored
+size when small, otherwise joined by shuffle.
 """
 
 from __future__ import annotations
@@ -47,9 +51,11 @@ def score_stream(requests: DataFrame, stats: DataFrame, fallback: Column, model)
 def start_scoring(spark: SparkSession, requests_folder: str, features: DataFrame, model,
                   out_path: str, checkpoint: str | None = None,
                   averages: DataFrame | None = None, available_now: bool = False,
-                  processing_time: str = "10 seconds") -> StreamingQuery:
+                  processing_time: str = "10 seconds",
+                  max_files_per_trigger: int | None = None) -> StreamingQuery:
     stats, fallback = scoring_tables(features, averages)
-    scored = score_stream(request_stream(spark, requests_folder), stats, fallback, model)
+    requests = request_stream(spark, requests_folder, max_files_per_trigger=max_files_per_trigger)
+    scored = score_stream(requests, stats, fallback, model)
     writer = (scored.writeStream.format("parquet").outputMode("append")
               .option("path", out_path)
               .option("checkpointLocation", checkpoint or scratch_path(spark, "scoring-stream")))
