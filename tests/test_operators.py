@@ -191,3 +191,19 @@ def test_artist_split_is_disjoint_and_stable(spark):
     frac = out.filter(F.col("split") == sp.TRAIN).count() / 5000
     assert 0.6 < frac < 0.95
     assert rows(out) == rows(sp.artist_split(df))
+
+
+def test_exact_median_with_infinities_matches_numpy(spark):
+    inf = float("inf")
+    cols = {
+        "a": [-inf, 1.0, 2.0, inf, inf],
+        "b": [1.0, inf],
+        "c": [-inf, -inf, 3.0, 4.0],
+        "d": [inf, inf, -inf],
+    }
+    width = max(len(v) for v in cols.values())
+    data = [tuple(cols[c][i] if i < len(cols[c]) else None for c in cols) for i in range(width)]
+    df = spark.createDataFrame(data, ", ".join(f"{c} double" for c in cols))
+    got = {r[0]: r[2] for r in pf.column_profile(df, list(cols), buckets=8).collect()}
+    for c, vals in cols.items():
+        assert got[c] == float(np.median(np.array(vals))), c

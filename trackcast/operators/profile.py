@@ -14,6 +14,7 @@ histogram.
 
 from __future__ import annotations
 
+import math
 from typing import Sequence
 
 from pyspark import StorageLevel
@@ -22,6 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
 
 DEFAULT_BUCKETS = 1024
+INF = float("inf")
 MAX_PASSES = 40
 
 
@@ -104,7 +106,8 @@ def exact_quantile_ranks(df: DataFrame, cols: Sequence[str], counts: dict, mins:
 
 def column_profile(df: DataFrame, cols: Sequence[str], buckets: int = DEFAULT_BUCKETS) -> DataFrame:
     """(column, mean, median) per column; median is exact (linear
-    interpolation of the two middle values for an even count)."""
+    interpolation of the two middle values for an even count; infinities are
+    ordered at the ends, as in numpy)."""
     spark = df.sparkSession
     data = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).persist(
         StorageLevel.MEMORY_AND_DISK)
@@ -112,24 +115,41 @@ def column_profile(df: DataFrame, cols: Sequence[str], buckets: int = DEFAULT_BU
         aggs = []
         for c in cols:
             x = F.when(~F.isnan(c), F.col(c))
-            aggs += [F.count(x).alias(f"n_{c}"), F.min(x).alias(f"min_{c}"),
-                     F.max(x).alias(f"max_{c}"), F.avg(x).alias(f"avg_{c}")]
+            finite = F.when(F.abs(x) != F.lit(INF), x)
+            aggs += [F.count(x).alias(f"n_{c}"), F.count(F.when(x == -INF, 1)).alias(f"neg_{c}"),
+                     F.count(F.when(x == INF, 1)).alias(f"pos_{c}"),
+                     F.min(finite).alias(f"min_{c}"), F.max(finite).alias(f"max_{c}"),
+                     F.avg(x).alias(f"avg_{c}")]
         first = data.agg(*aggs).collect()[0]
-        counts = {c: first[f"n_{c}"] for c in cols}
+        # Infinite values sit at both ends of the order; only ranks that fall
+        # between them need the selection, over the finite values.
+        targets, finite_ranks = {}, {}
+        for c in cols:
+            n, neg, pos = first[f"n_{c}"], first[f"neg_{c}"], first[f"pos_{c}"]
+            for r in {(n - 1) // 2, n // 2} if n else set():
+                if r < neg:
+                    targets[(c, r)] = -INF
+                elif r >= n - pos:
+                    targets[(c, r)] = INF
+                else:
+                    finite_ranks.setdefault(c, []).append(r - neg)
+        counts = {c: first[f"n_{c}"] - first[f"neg_{c}"] - first[f"pos_{c}"] for c in cols}
         mins = {c: first[f"min_{c}"] for c in cols}
         maxs = {c: first[f"max_{c}"] for c in cols}
-        ranks = {c: [(counts[c] - 1) // 2, counts[c] // 2] for c in cols if counts[c] > 0}
-        found = exact_quantile_ranks(data, cols, counts, mins, maxs, ranks, buckets)
+        found = exact_quantile_ranks(data, cols, counts, mins, maxs, finite_ranks, buckets)
+        for (c, rf), v in found.items():
+            targets[(c, rf + first[f"neg_{c}"])] = v
     finally:
         data.unpersist()
     rows = []
     for c in cols:
-        if counts[c] == 0:
+        n = first[f"n_{c}"]
+        if n == 0:
             rows.append((c, None, None))
             continue
-        lo = found[(c, (counts[c] - 1) // 2)]
-        hi = found[(c, counts[c] // 2)]
-        rows.append((c, first[f"avg_{c}"], lo + (hi - lo) * 0.5))
+        lo, hi = targets[(c, (n - 1) // 2)], targets[(c, n // 2)]
+        mid = lo + (hi - lo) * 0.5 if math.isfinite(lo) and math.isfinite(hi) else (lo + hi) / 2
+        rows.append((c, first[f"avg_{c}"], mid))
     schema = StructType([StructField("column_name", StringType()),
                          StructField("mean", DoubleType()), StructField("median", DoubleType())])
     return spark.createDataFrame(rows, schema)
