@@ -207,3 +207,11 @@ def test_exact_median_with_infinities_matches_numpy(spark):
     got = {r[0]: r[2] for r in pf.column_profile(df, list(cols), buckets=8).collect()}
     for c, vals in cols.items():
         assert got[c] == float(np.median(np.array(vals))), c
+
+
+def test_density_ignores_non_finite_points(spark):
+    inf = float("inf")
+    df = spark.createDataFrame([(0.0, 0.0), (inf, 1.0), (4.0, 4.0), (float("nan"), 2.0), (2.0, -inf)],
+                               "x double, y double")
+    got = sorted(tuple(r)[1:] for r in pf.density_2d(df, "y", ["x"], bins=4).collect())
+    assert got == [(0, 0, 1), (3, 3, 1)]

@@ -155,6 +155,11 @@ def column_profile(df: DataFrame, cols: Sequence[str], buckets: int = DEFAULT_BU
     return spark.createDataFrame(rows, schema)
 
 
+def _finite(c: str):
+    x = F.col(c)
+    return x.isNotNull() & ~F.isnan(x) & (F.abs(x) != F.lit(INF))
+
+
 def correlations(df: DataFrame, label: str, cols: Sequence[str]) -> DataFrame:
     """Pearson r of each column with ``label`` over rows where both are set.
 
@@ -175,12 +180,13 @@ def density_2d(df: DataFrame, y: str, cols: Sequence[str], bins: int = 20) -> Da
     """Counts on a ``bins`` x ``bins`` grid of (column, y) per column.
 
     Each axis spans the column's own [min, max] over rows where both values
-    are set; the top edge falls in the last bin; a constant axis is bin 0.
+    are finite numbers (as a scatter plot shows them); the top edge falls in
+    the last bin; a constant axis is bin 0.
     """
     long = (df.select(*[F.col(c).cast("double").alias(c) for c in cols],
                       F.col(y).cast("double").alias("_y"))
             .unpivot(["_y"], list(cols), "column_name", "x")
-            .filter(F.col("x").isNotNull() & F.col("_y").isNotNull()))
+            .filter(_finite("x") & _finite("_y")))
     ranges = long.groupBy("column_name").agg(
         F.min("x").alias("x_min"), F.max("x").alias("x_max"),
         F.min("_y").alias("y_min"), F.max("_y").alias("y_max"))

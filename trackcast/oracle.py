@@ -421,7 +421,8 @@ def _bin(v: str, lo: str, hi: str, bins: int = 20) -> str:
 
 SQL["density_2d"] = ctes(REPORT_CTES, "long as (" + "\n union all ".join(
     f"select '{c}' column_name, cast({c} as double) x, cast(td_downloads as double) y from rp_ln "
-    f"where {c} is not null and td_downloads is not null" for c in PROFILE_COLUMNS) + ")",
+    f"where isfinite(cast({c} as double)) and isfinite(cast(td_downloads as double))"
+    for c in PROFILE_COLUMNS) + ")",
     """ranges as (select column_name, min(x) x_min, max(x) x_max, min(y) y_min, max(y) y_max
   from long group by column_name)""") + f"""select l.column_name, {_bin('l.x', 'r.x_min', 'r.x_max')} x_bin,
   {_bin('l.y', 'r.y_min', 'r.y_max')} y_bin, count(*) n_rows
