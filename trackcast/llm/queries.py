@@ -6,18 +6,32 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontamination
+from . import decontamination, mixing, sharding, url_filter
 from .frames import table
 
 
+def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.digest(table(spark, sf_dir, "documents"))
+
+
+def op5_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.digest(table(spark, sf_dir, "pages"))
+
+
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.digest(table(spark, sf_dir, "documents"))
+
+
 def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
-    op10_benchmark_decontamination,
+    op1_sharding, op5_url_filters, op6_mixing, op10_benchmark_decontamination,
 )}
 
 ORACLE_SQL: dict[str, str] = {
+    "op5_url_filters": url_filter.SQL,
+    "op6_mixing": mixing.SQL,
     "op10_benchmark_decontamination": decontamination.SQL,
 }
