@@ -185,8 +185,8 @@ def _matches(words: Words, hashes: np.ndarray, made: dict, block: Block, prefixe
 
 def contamination(docs: DataFrame, items: DataFrame, text: str = "text", item_id: str = "item_id",
                   item_text: str = "text", window: int = WINDOW, shingle: int = SHINGLE,
-                  block_words: int = BLOCK_WORDS) -> tuple[DataFrame, list[str]]:
-    """``docs`` with the columns n_words, n_hit (words inside any occurrence of an
+                  block_words: int = BLOCK_WORDS, keep: list[str] | None = None) -> tuple[DataFrame, list[str]]:
+    """``docs`` (or its columns ``keep``) with the columns n_words, n_hit (words inside any occurrence of an
     item window), items (ids of the items with occurring windows, sorted as
     strings), and the names these columns got.
 
@@ -229,7 +229,7 @@ def contamination(docs: DataFrame, items: DataFrame, text: str = "text", item_id
         return work
 
     return append_columns(docs, text, [("n_words", T.LongType()), ("n_hit", T.LongType()),
-                                       ("items", T.ArrayType(T.StringType()))], factory)
+                                       ("items", T.ArrayType(T.StringType()))], factory, keep)
 
 
 def contaminated(n_hit, n_words):
@@ -245,7 +245,7 @@ def decontaminate(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
 
 def digest(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
     """One row per document: the columns of query ``op10_benchmark_decontamination``."""
-    out, (n_words, n_hit, found) = contamination(docs.select("doc_id", "text"), items, **options)
+    out, (n_words, n_hit, found) = contamination(docs.select("doc_id", "text"), items, keep=["doc_id"], **options)
     return out.select(
         "doc_id", F.col(n_words).alias("n_words"), F.col(n_hit).alias("n_hit"),
         F.size(found).cast("long").alias("n_items"),

@@ -32,17 +32,20 @@ def free_names(taken: Iterable[str], wanted: Iterable[str]) -> list[str]:
 
 
 def append_columns(docs: DataFrame, text: str, fields: list[tuple[str, T.DataType]],
-                   factory: Callable[[], Callable[[pa.Array], list[pa.Array]]]) -> tuple[DataFrame, list[str]]:
-    """``docs`` with columns computed from the whole texts, one Arrow batch at a
-    time and without a shuffle; also the names they got (see ``free_names``)."""
-    names = free_names(docs.columns, [n for n, _ in fields])
-    schema = T.StructType([*docs.schema.fields, *(T.StructField(n, t) for n, (_, t) in zip(names, fields))])
-    at, header = docs.columns.index(text), [*docs.columns, *names]
+                   factory: Callable[[], Callable[[pa.Array], list[pa.Array]]],
+                   keep: list[str] | None = None) -> tuple[DataFrame, list[str]]:
+    """``docs`` (or its columns ``keep``) with columns computed from the whole
+    texts, one Arrow batch at a time and without a shuffle; also the names they
+    got (see ``free_names``)."""
+    keep = docs.columns if keep is None else keep
+    names = free_names(keep, [n for n, _ in fields])
+    schema = T.StructType([*(docs.schema[c] for c in keep), *(T.StructField(n, t) for n, (_, t) in zip(names, fields))])
+    at, kept, header = docs.columns.index(text), [docs.columns.index(c) for c in keep], [*keep, *names]
 
     def run(batches):
         work = factory()
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([*batch.columns, *work(batch.column(at))], names=header)
+            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in kept), *work(batch.column(at))], names=header)
 
     return docs.mapInArrow(run, schema), names
 

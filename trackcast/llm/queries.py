@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontamination, mixing, sharding, url_filter
+from . import (decontamination, langid, line_spread, mixing, near_dedup, quality, quality_rules, sharding,
+               url_filter, warc)
 from .frames import table
 
 
@@ -14,6 +15,18 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.digest(table(spark, sf_dir, "documents"))
 
 
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.digest(table(spark, sf_dir, "documents"))
+
+
+def op3_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.label_documents(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op5_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.digest(table(spark, sf_dir, "pages"))
 
@@ -22,16 +35,30 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.digest(table(spark, sf_dir, "documents"))
 
 
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.digest(table(spark, sf_dir, "pages"))
+
+
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_spread.digest(table(spark, sf_dir, "documents"))
+
+
+def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
-    op1_sharding, op5_url_filters, op6_mixing, op10_benchmark_decontamination,
+    op1_sharding, op2_language_id, op3_order_minhash, op4_quality_classifier, op5_url_filters, op6_mixing,
+    op7_warc, op8_line_dedup, op9_quality_rules, op10_benchmark_decontamination,
 )}
 
 ORACLE_SQL: dict[str, str] = {
     "op5_url_filters": url_filter.SQL,
     "op6_mixing": mixing.SQL,
+    "op8_line_dedup": line_spread.SQL,
     "op10_benchmark_decontamination": decontamination.SQL,
 }
