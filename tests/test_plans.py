@@ -7,6 +7,7 @@ import pytest
 
 import __spark_entry__ as entry
 from conftest import SF_SMALL
+from trackcast import catalog
 
 FORBIDDEN = {
     "CartesianProduct": "cross join",
@@ -17,7 +18,7 @@ FORBIDDEN = {
     "collect_set": "whole group gathered",
 }
 
-QUERIES = entry.queries()
+QUERIES = {k: q for k, q in entry.queries().items() if k in catalog.queries()}
 
 
 def plan_text(df) -> str:

@@ -13,9 +13,10 @@ sys.path.insert(0, os.path.join(ROOT, "tools"))
 from check_oracle import TABLES, digest  # noqa: E402
 
 import __spark_entry__ as entry  # noqa: E402
+from trackcast import catalog  # noqa: E402
 
-QUERIES = entry.queries()
-SQL = entry.oracle_sql()
+QUERIES = {k: q for k, q in entry.queries().items() if k in catalog.queries()}
+SQL = {k: q for k, q in entry.oracle_sql().items() if k in QUERIES}
 
 
 @pytest.fixture(scope="module")
