@@ -19,7 +19,7 @@ def input_files(spark, tables):
     w = sinks.write_delimited
     w(fx.song_info(tables), f"{base}/song_info", ";", header=True)
     w(fx.play_count(tables), f"{base}/play_count", ",", header=True)
-    w(fx.similar_artist_pairs(tables), f"{base}/similar_artists", ";", header=True)
+    w(fx.similar_artists(tables), f"{base}/similar_artists", ";", header=True)
     w(fx.artist_terms(tables), f"{base}/artist_terms", ";", header=True)
     w(fx.track_likes(tables), f"{base}/track_likes", ",", header=True)
     w(fx.downloads(tables), f"{base}/downloads", ";", header=True)
@@ -59,15 +59,15 @@ def test_pipeline_from_files(spark, tables, input_files, scratch):
     metrics = spark.read.option("sep", ";").csv(trained["metrics"])
     assert metrics.count() == 12
 
-    scored_path = jobs.score_requests_file(spark, f"{base}/requests", out["features"], trained["model"],
+    scored_path = jobs.score_requests_file(spark, f"{base}/requests", out["statistics"], trained["model"],
                                            scratch("scores"), out["averages"])
     scored = sinks.read_table(spark, scored_path)
     assert scored.count() == fx.requests(tables).count()
     assert scored.filter(F.col("predicted_downloads").isNull()).count() == 0
 
     stream_out = scratch("scores_stream")
-    q = jobs.start_request_stream(spark, f"{base}/requests", out["features"], trained["model"],
-                                  stream_out, averages_path=out["averages"], once=True)
+    q = jobs.start_request_stream(spark, f"{base}/requests", out["statistics"], trained["model"],
+                                  stream_out, scratch("stream_checkpoint"), averages_path=out["averages"], once=True)
     q.awaitTermination(120)
     cols = ["artist", "title", "match_level", "predicted_downloads"]
     streamed = spark.read.parquet(stream_out).select(*cols)

@@ -21,9 +21,9 @@ def rows(df):
     return sorted(tuple(r) for r in df.collect())
 
 
-def test_similar_counts_without_pairs_equal_pair_counts(tables):
-    pairs = fx.similar_artist_pairs(tables)
-    assert rows(fx.similar_artist_counts(tables)) == rows(art.similar_artist_count(pairs))
+def test_similar_artist_count_counts_non_null_pairs(spark):
+    pairs = spark.createDataFrame([("1", "2"), ("1", "2"), ("1", None), ("2", None)], "artist_id string, similar_artist string")
+    assert rows(art.similar_artist_count(pairs)) == [("1", 2), ("2", 0)]
 
 
 def test_term_hotness_equals_exploded_join(tables):
@@ -58,6 +58,12 @@ def test_top_terms_ties_broken_by_term(spark):
     assert [r[0] for r in tm.top_terms(hot, 3).collect()] == ["c", "a", "b"]
 
 
+def test_top_terms_order_by_the_exact_average(spark):
+    hot = spark.createDataFrame([("a", 0.5), ("b", 0.50000004), ("c", 0.1), ("d", 1e30), ("e", float("inf"))],
+                                "artist_term string, artist_hotness double")
+    assert [r[0] for r in tm.top_terms(hot, 3).collect()] == ["e", "d", "b"]
+
+
 def test_genre_overlap_bounded_and_brute_force(tables):
     terms, songs = fx.artist_terms(tables), fx.song_info(tables)
     pairs = tm.term_pairs(terms)
@@ -135,7 +141,7 @@ def test_exact_median_matches_numpy(spark):
                      None if i % 3 == 0 else rnd.random() * 1e-3, None))
     data.append((1e300, 1.0, 7.0, -5.0, None))
     df = spark.createDataFrame(data, "a double, b double, c double, d double, e double")
-    got = {r[0]: (r[1], r[2]) for r in pf.column_profile(df, ["a", "b", "c", "d", "e"], buckets=16).collect()}
+    got = {r[0]: (r[1], r[2]) for r in pf.column_profile(df, ["a", "b", "c", "d", "e"]).collect()}
     for j, c in enumerate("abcd"):
         vals = np.array([row[j] for row in data if row[j] is not None])
         assert got[c][1] == pytest.approx(float(np.median(vals)), rel=1e-12)
@@ -143,6 +149,26 @@ def test_exact_median_matches_numpy(spark):
     assert got["e"] == (None, None)
 
 
+def test_exact_median_of_wide_ranges_and_ties(spark, monkeypatch):
+    rnd = random.Random(9)
+    wide = [10 ** rnd.uniform(-300, 300) for _ in range(4000)]
+    ends = [-1.7e308, 1.7e308] * 2000
+    half = [0.0] * 2000 + [1.0] * 2000
+    ties = [rnd.choice([1.0, 2.0, 2.0, 2.0, 3.0]) for _ in range(4000)]
+    near = [1 + i * 1e-15 for i in range(4000)]
+    data = list(zip(wide, ends, half, ties, near))
+    df = spark.createDataFrame(data, "a double, b double, c double, d double, e double")
+    for most, accuracy in ((10_000, 10_000), (5, 40)):  # the second one takes many rounds
+        monkeypatch.setattr(pf, "ACCURACY", accuracy)
+        n = {c: 4000 for c in "abcde"}
+        got = pf.exact_ranks(df, {c: [0, 1999, 2000, 3999] for c in "abcde"}, n, most)
+        for j, c in enumerate("abcde"):
+            order = sorted(row[j] for row in data)
+            assert [got[c, r] for r in (0, 1999, 2000, 3999)] == [order[r] for r in (0, 1999, 2000, 3999)]
+    got = {r[0]: r[2] for r in pf.column_profile(df, list("bc")).collect()}
+    assert got == {"b": 0.0, "c": 0.5}
+
+
 def test_correlation_constant_is_null(spark):
     df = spark.createDataFrame([(1.0, 2.0, 5.0), (2.0, 4.1, 5.0), (3.0, 5.9, 5.0), (4.0, None, 5.0)],
                                "y double, x double, k double")
@@ -183,6 +209,28 @@ def test_actual_vs_predicted_truncates(spark):
     assert tuple(mt.actual_vs_predicted(df).first()) == (1, -1, 2)
 
 
+def test_int_predictions_saturate(spark):
+    big = spark.createDataFrame([(3e9, -3e9), (float("nan"), None), (float("inf"), 2147483646.9)], "label double, prediction double")
+    assert [tuple(r) for r in mt.actual_vs_predicted(big).collect()] == [
+        (2147483647, -2147483648, 4294967295), (0, None, None), (2147483647, 2147483646, 1)]
+
+
+def test_stable_round_keeps_what_it_cannot_round(spark):
+    from trackcast.functions import stable_round
+
+    df = spark.createDataFrame([(1.23456789,), (1e29,), (-1e300,), (float("inf"),), (None,)], "x double")
+    assert [r[0] for r in df.select(stable_round("x", 4)).collect()] == [1.2346, 1e29, -1e300, float("inf"), None]
+
+
+def test_downloads_need_a_price_or_a_label_by_use(spark):
+    from trackcast.operators.clean import clean_downloads
+
+    raw = spark.createDataFrame([("a", "x", "1.5", "7", "good"), ("b", "x", "NA", "7", "good"), ("c", "x", "1.5", "NA", "good")],
+                                "artist string, title string, mean_price string, downloads string, confidence string")
+    assert {r["td_artist"] for r in clean_downloads(raw).collect()} == {"a", "c"}
+    assert {r["td_artist"] for r in clean_downloads(raw, "td_downloads").collect()} == {"a", "b"}
+
+
 def test_artist_split_is_disjoint_and_stable(spark):
     df = spark.range(5000).select(F.concat(F.lit("artist"), (F.col("id") % 300).cast("string")).alias("td_artist"))
     out = sp.artist_split(df)
@@ -204,7 +252,7 @@ def test_exact_median_with_infinities_matches_numpy(spark):
     width = max(len(v) for v in cols.values())
     data = [tuple(cols[c][i] if i < len(cols[c]) else None for c in cols) for i in range(width)]
     df = spark.createDataFrame(data, ", ".join(f"{c} double" for c in cols))
-    got = {r[0]: r[2] for r in pf.column_profile(df, list(cols), buckets=8).collect()}
+    got = {r[0]: r[2] for r in pf.column_profile(df, list(cols)).collect()}
     for c, vals in cols.items():
         assert got[c] == float(np.median(np.array(vals))), c
 

@@ -1,5 +1,6 @@
 """A hot artist (a third of all songs) is split over several tasks."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from trackcast.plans import features as feat
@@ -77,7 +78,8 @@ def test_hot_artist_split_in_training_rows(spark):
     assert "skew=true" in plan
 
 
-def test_hot_artist_in_requests_is_split(spark):
+@pytest.mark.parametrize("level", ["exact", "artist", "title"])
+def test_hot_key_in_requests_is_split(spark, level):
     from trackcast.operators.lookup import resolve_features
 
     old = {k: spark.conf.get(k, None) for k in SKEW_CONF}
@@ -89,10 +91,14 @@ def test_hot_artist_in_requests_is_split(spark):
             (F.col("id") % 50).cast("string").alias("title"),
             F.lit(3).alias("td_confidence"), (F.col("id") * 0.5).alias("artist_hotness"),
             F.lit(1.0).alias("song_hotness"), F.lit(2.0).alias("td_meanPrice"))
-        reqs = spark.range(150_000).select(
-            F.col("id").alias("request_id"),
-            F.when(F.col("id") % 3 == 0, F.lit("7")).otherwise((F.col("id") % 400).cast("string")).alias("artist"),
-            F.concat(F.lit("t"), F.col("id").cast("string")).alias("title"))
+        hot, spread = F.col("id") % 3 == 0, (F.col("id") % 400).cast("string")
+        own = F.concat(F.lit("t"), F.col("id").cast("string"))
+        artist, title = {
+            "artist": (F.when(hot, F.lit("7")).otherwise(spread), own),
+            "title": (own, F.when(hot, F.lit("7")).otherwise((F.col("id") % 50).cast("string"))),
+            "exact": (F.when(hot, F.lit("7")).otherwise(spread), F.when(hot, F.lit("7")).otherwise((F.col("id") % 50).cast("string"))),
+        }[level]
+        reqs = spark.range(150_000).select(F.col("id").alias("request_id"), artist.alias("artist"), title.alias("title"))
         df = resolve_features(reqs, feats)
         rows = df.groupBy("match_level").count().collect()
         out = df.select("request_id", "match_level")
@@ -105,5 +111,5 @@ def test_hot_artist_in_requests_is_split(spark):
             else:
                 spark.conf.set(k, v)
     assert n == 150_000
-    assert dict(map(tuple, rows)) == {"artist": 150_000}
+    assert dict(map(tuple, rows)) == {level: 150_000}
     assert "skew=true" in plan

@@ -38,6 +38,14 @@ def test_split_drops_trailing_empty_fields(spark, scratch):
     assert len(kept) == 2
 
 
+def test_header_is_the_first_file_s_whatever_the_sizes(spark, scratch):
+    base = scratch("hdr_folder")
+    write_text(base + "/a.txt", ["x;y", "0;0"])
+    write_text(base + "/b.txt", [f"{i};{i}" for i in range(5000)])
+    lines = dl.read_split_lines(spark, base, ";", header=True)
+    assert lines.count() == 5001 and lines.where(F.col("fields")[0] == "x").count() == 0
+
+
 def test_header_given_as_text(spark, scratch):
     path = write_text(scratch("hdr") + "/part.txt", ["x;y", "1;2", "x;y", "3;4"])
     lines = dl.read_split_lines(spark, path, ";", header="x;y")
@@ -60,6 +68,9 @@ def test_feature_file_roundtrip_gzip(spark, scratch):
     back = dl.read_feature_file(spark, path, header=True)
     assert sorted(map(tuple, back.collect())) == sorted(map(tuple, df.collect()))
     assert dict(back.dtypes)["td_confidence"] == "int"
+    shuffled = sinks.write_delimited(df.select(*sorted(df.columns, reverse=True)), scratch("features"), ",", header=True)
+    back = dl.read_feature_file(spark, shuffled, header=True)
+    assert sorted(map(tuple, back.collect())) == sorted(map(tuple, df.collect()))
 
 
 def test_feature_index_file(spark, scratch):

@@ -2,7 +2,10 @@
 
 import os
 
+import pytest
+
 from trackcast import sinks
+from trackcast.operators import lookup as lk
 from trackcast.plans import features as feat
 from trackcast.plans import scoring as sc
 from trackcast.plans import training as tr
@@ -27,9 +30,18 @@ def test_stream_scores_like_batch(spark, tables, scratch):
             fh.write("\n".join(chunk) + "\n")
 
     out = scratch("scored_stream")
-    q = start_scoring(spark, folder, features, model, out, available_now=True)
-    q.awaitTermination(120)
+    stats = lk.read_match_statistics(spark, lk.write_match_statistics(features, scratch("statistics")))
+    checkpoint = scratch("checkpoint")
+    start_scoring(spark, folder, stats, model, out, checkpoint, available_now=True).awaitTermination(120)
+    assert spark.read.parquet(out).count() == len(lines)
+    with open(os.path.join(local, "later.txt"), "w", encoding="utf-8") as fh:  # a restart scores what came since
+        fh.write("Somebody;Else\n")
+    start_scoring(spark, folder, stats, model, out, checkpoint, available_now=True).awaitTermination(120)
     got = spark.read.parquet(out).select("artist", "title", "match_level", "predicted_downloads")
+    reqs = reqs.union(spark.createDataFrame([("Somebody", "Else")], "artist string, title string"))
     want = sc.score_requests(reqs, features, model).select("artist", "title", "match_level",
                                                            "predicted_downloads")
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    empty = lk.read_match_statistics(spark, lk.write_match_statistics(features.limit(0), scratch("statistics")))
+    with pytest.raises(ValueError):
+        start_scoring(spark, folder, empty, model, scratch("none"), scratch("checkpoint"), available_now=True)

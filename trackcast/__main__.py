@@ -8,7 +8,8 @@ import json
 from pyspark.sql import SparkSession
 
 from . import jobs
-from .session import RECOMMENDED_CONF, ensure_checkpoint_dir
+from .session import RECOMMENDED_CONF, ensure_checkpoint_dir, remove_scratch
+from .sources.delimited import read_feature_index
 from .sources.files import InputPaths
 
 
@@ -36,18 +37,20 @@ def main(argv=None) -> None:
     p.add_argument("--train", required=True); p.add_argument("--test", required=True)
     p.add_argument("--out", required=True)
     p.add_argument("--features", default="0,1,6,13", help="feature positions, comma separated")
+    p.add_argument("--feature-index", help="a file with that list; goes before --features")
     p.add_argument("--trees", type=int, default=30); p.add_argument("--depth", type=int, default=5)
     p.add_argument("--seed", type=int, default=42)
     p = sub.add_parser("score")
-    p.add_argument("--requests", required=True); p.add_argument("--features", required=True)
+    p.add_argument("--requests", required=True)
+    p.add_argument("--statistics", required=True, help="the match statistics of the features job")
     p.add_argument("--model", required=True); p.add_argument("--out", required=True)
     p.add_argument("--averages")
     p = sub.add_parser("report")
     p.add_argument("--matrix", required=True); p.add_argument("--out", required=True)
     p = sub.add_parser("stream", help="score request files as they arrive in a folder")
-    p.add_argument("--requests-dir", required=True); p.add_argument("--features", required=True)
+    p.add_argument("--requests-dir", required=True); p.add_argument("--statistics", required=True)
     p.add_argument("--model", required=True); p.add_argument("--out", required=True)
-    p.add_argument("--checkpoint", help="query checkpoint (default: under spark.checkpoint.dir)")
+    p.add_argument("--checkpoint", required=True, help="the query's checkpoint folder, the same on every start")
     p.add_argument("--averages")
     p.add_argument("--once", action="store_true", help="process what is there, then stop")
     p.add_argument("--trigger", default="10 seconds")
@@ -67,18 +70,20 @@ def main(argv=None) -> None:
     elif a.job == "split":
         result = jobs.split_matrix(spark, a.matrix, a.out, a.train_percent)
     elif a.job == "train":
-        idx = [int(x) for x in a.features.split(",") if x.strip()]
+        idx = (read_feature_index(spark, a.feature_index) if a.feature_index
+               else [int(x) for x in a.features.split(",") if x.strip()])
         result = jobs.train_and_evaluate(spark, a.train, a.test, a.out, idx, a.trees, a.depth, a.seed)
     elif a.job == "score":
-        result = jobs.score_requests_file(spark, a.requests, a.features, a.model, a.out, a.averages)
+        result = jobs.score_requests_file(spark, a.requests, a.statistics, a.model, a.out, a.averages)
     elif a.job == "report":
         result = jobs.column_report(spark, a.matrix, a.out)
     else:
-        query = jobs.start_request_stream(spark, a.requests_dir, a.features, a.model, a.out,
+        query = jobs.start_request_stream(spark, a.requests_dir, a.statistics, a.model, a.out,
                                           a.checkpoint, a.averages, a.once, a.trigger,
                                           a.max_files_per_trigger)
         query.awaitTermination()
         result = {"scores": a.out}
+    remove_scratch(spark)
     print(json.dumps(result))
 
 

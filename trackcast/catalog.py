@@ -34,13 +34,6 @@ from .sources import fixtures as fx
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-# Top-k used by the stand-alone term queries: the test data has 150 terms, so
-# the original 1000 would keep them all and test nothing about the cut.
-TEST_TOP_K = 40
-# Forest size for the registered ML queries (small: they check the dataflow).
-TEST_TREES = 10
-TEST_DEPTH = 5
-
 
 def rounded(df: DataFrame, digits: int = 6, **per_column: int) -> DataFrame:
     """Round every double column (``per_column`` overrides the digits)."""
@@ -142,8 +135,9 @@ def roundtrip_parquet(spark, sf_dir):
 
 @query
 def read_gzip_features(spark, sf_dir):
-    """The lookup table as gzip CSV with header, read by column name."""
-    path = sinks.write_delimited(feat.lookup_features(_inputs(spark, sf_dir)),
+    """The lookup table as gzip CSV with header, its columns in another order, read by name."""
+    features = feat.lookup_features(_inputs(spark, sf_dir))
+    path = sinks.write_delimited(features.select(*sorted(features.columns, reverse=True)),
                                  scratch_path(spark, "features_gz"), ",", header=True,
                                  compression="gzip")
     return rounded(dl.read_feature_file(spark, path, header=True), td_meanPrice=4)
@@ -162,15 +156,14 @@ def global_averages(spark, sf_dir):
     """A3/K3: the averages row, written with header and read back."""
     avg = feat.global_averages(feat.lookup_features(_inputs(spark, sf_dir)))
     path = sinks.write_averages(avg, scratch_path(spark, "averages"))
-    back = dl.read_delimited(spark, path, dl.text_schema(*avg.columns), ",", header=True)
-    return rounded(back.select(F.col("mean_confidence").try_cast("int").alias("mean_confidence"),
-                               *[to_double(c).alias(c) for c in avg.columns[1:]]), 4)
+    return rounded(dl.read_averages(spark, path), 4)
 
 
 @query
 def stage_row_counts(spark, sf_dir):
-    """K6: row count of every input and stage, one job each."""
-    inputs = _inputs(spark, sf_dir)
+    """K6: row count of every input and stage, over tables written once."""
+    raw = _inputs(spark, sf_dir)
+    inputs = fx.MusicInputs(**{name: sinks.materialize(df, name) for name, df in vars(raw).items()})
     stages = [
         ("song_info", inputs.song_info), ("play_count", inputs.play_count),
         ("similar_artist_count", inputs.similar_counts), ("artist_terms", inputs.artist_terms),
@@ -272,7 +265,7 @@ def song_count(spark, sf_dir):
 
 @query
 def similar_artist_count(spark, sf_dir):
-    return fx.similar_artist_counts(_t(spark, sf_dir))
+    return art.similar_artist_count(fx.similar_artists(_t(spark, sf_dir)))
 
 
 @query
@@ -281,7 +274,7 @@ def weight_dot_freq(spark, sf_dir):
 
 
 def _top(inputs: fx.MusicInputs, hotness, k: int):
-    pairs = tm.term_pairs(inputs.artist_terms)
+    pairs = sinks.materialize(tm.term_pairs(inputs.artist_terms), "term_pairs")  # read twice
     stats = tm.artist_song_stats(inputs.song_info, hotness)
     return pairs, tm.top_terms(tm.term_hotness(pairs, stats), k)
 
@@ -289,22 +282,22 @@ def _top(inputs: fx.MusicInputs, hotness, k: int):
 @query
 def top_terms(spark, sf_dir):
     """Hottest terms over the cleaned songs (missing hotness as 0)."""
-    _, top = _top(_inputs(spark, sf_dir), na_to_zero("artist_hotttnesss"), TEST_TOP_K)
+    _, top = _top(_inputs(spark, sf_dir), na_to_zero("artist_hotttnesss"), tm.DEFAULT_TOP_K)
     return rounded(top, 4)
 
 
 @query
 def genre_overlap(spark, sf_dir):
     """A6/O1/L4 (missing hotness as 0)."""
-    pairs, top = _top(_inputs(spark, sf_dir), na_to_zero("artist_hotttnesss"), TEST_TOP_K)
-    return tm.genre_overlap(pairs, top, TEST_TOP_K, "top_term_count")
+    pairs, top = _top(_inputs(spark, sf_dir), na_to_zero("artist_hotttnesss"), tm.DEFAULT_TOP_K)
+    return tm.genre_overlap(pairs, top, tm.DEFAULT_TOP_K, "top_term_count")
 
 
 @query
 def genre_overlap_skip_na(spark, sf_dir):
     """L4 (raw songs, missing hotness skipped)."""
-    pairs, top = _top(_inputs(spark, sf_dir), to_double("artist_hotttnesss"), TEST_TOP_K)
-    return tm.genre_overlap(pairs, top, TEST_TOP_K, "top_term_count")
+    pairs, top = _top(_inputs(spark, sf_dir), to_double("artist_hotttnesss"), tm.DEFAULT_TOP_K)
+    return tm.genre_overlap(pairs, top, tm.DEFAULT_TOP_K, "top_term_count")
 
 
 # =================================================================== join stages
@@ -392,6 +385,15 @@ def select_feature_subset(spark, sf_dir):
     return rounded(tr.select_feature_subset(matrix, tr.SCORING_FEATURES), td_meanPrice=4)
 
 
+@query
+def feature_index_subset(spark, sf_dir):
+    """The feature positions written to an index file, read back and used."""
+    index = spark.createDataFrame([(",".join(str(float(i)) for i in reversed(tr.SCORING_FEATURES)),)], "value string")
+    path = scratch_path(spark, "feature_index")
+    index.write.text(path)
+    return rounded(tr.select_feature_subset(_matrix(spark, sf_dir), dl.read_feature_index(spark, path)), td_meanPrice=4)
+
+
 # =================================================================== lookups
 
 def _lookup_level(spark, sf_dir, level):
@@ -423,6 +425,16 @@ def resolve_features(spark, sf_dir):
     return rounded(lk.resolve_features(fx.requests(t), feat.lookup_features(fx.music_inputs(t))), 4)
 
 
+@query
+def score_from_averages(spark, sf_dir):
+    """The statistics and the averages file written, read back, and the file used as the fallback."""
+    t = _t(spark, sf_dir)
+    features = sinks.materialize(feat.lookup_features(fx.music_inputs(t)), "lookup_features")
+    stats = lk.read_match_statistics(spark, lk.write_match_statistics(features, scratch_path(spark, "match_statistics")))
+    averages = dl.read_averages(spark, sinks.write_averages(feat.global_averages(features), scratch_path(spark, "averages")))
+    return rounded(lk.resolve_stored(fx.requests(t), stats, averages), 4)
+
+
 # =================================================================== report
 
 def _matrix(spark, sf_dir):
@@ -436,7 +448,7 @@ def _stored_matrix(spark, sf_dir):
 
 @query
 def column_profile(spark, sf_dir):
-    return rounded(rp.profile_report(_matrix(spark, sf_dir)), 4)
+    return rounded(rp.profile_report(_stored_matrix(spark, sf_dir)), 4)
 
 
 @query
@@ -451,7 +463,11 @@ def density_2d(spark, sf_dir):
 
 @query
 def downloads_kmeans(spark, sf_dir):
-    return rp.downloads_kmeans(_matrix(spark, sf_dir))
+    """M7, as what holds for any clustering: its sizes add up, its centres are means."""
+    found = rp.downloads_kmeans(_matrix(spark, sf_dir))
+    near = F.abs(F.col("center") - F.col("mean")) <= 1e-6 * F.greatest(F.abs(F.col("mean")), F.lit(1.0))
+    return found.agg(F.sum("n_rows").alias("n_rows"), F.count(F.lit(1)).alias("n_clusters"),
+                     F.bool_and(near).alias("centres_are_means"))
 
 
 # =================================================================== split / model
@@ -483,6 +499,15 @@ def regression_metrics(spark, sf_dir):
     return rounded(mt.regression_metrics(_baseline_predictions(spark, sf_dir)), 6)
 
 
+@query
+def metrics_file(spark, sf_dir):
+    """K4: the metrics written as ``set;metric;value`` lines and read back."""
+    metrics = mt.regression_metrics(_baseline_predictions(spark, sf_dir)).select("set_name", "metric", "value")
+    path = sinks.write_metrics(metrics, scratch_path(spark, "metrics"))
+    back = dl.read_delimited(spark, path, dl.text_schema("set_name", "metric", "value"), ";", header=False)
+    return rounded(back.select("set_name", "metric", to_double("value").alias("value")), 6)
+
+
 @query
 def actual_vs_predicted(spark, sf_dir):
     pred = _baseline_predictions(spark, sf_dir).filter(F.col("set_name") == tr.TEST_SET_NAME)
@@ -493,21 +518,28 @@ def actual_vs_predicted(spark, sf_dir):
 def assemble_vectors(spark, sf_dir):
     from pyspark.ml.functions import vector_to_array
     assembled = tr.training_set(_matrix(spark, sf_dir))
-    return assembled.select("label", vector_to_array("features").alias("features"))
+    x = vector_to_array("features")
+    return rounded(assembled.select("label", *[x[i].alias(f"f{i}") for i in range(len(tr.SCORING_FEATURES))]), f3=4)
 
 
 def _fit(spark, sf_dir):
     rows = _split_rows(spark, sf_dir, stored=True)
     train = tr.training_set(rows.filter(F.col("split") == sp.TRAIN))
     test = tr.training_set(rows.filter(F.col("split") == sp.TEST))
-    model = tr.train_forest(train, TEST_TREES, TEST_DEPTH)
+    model = tr.train_forest(train)
     return model, train, test
 
 
 @query
 def train_forest(spark, sf_dir):
+    """M3-M5: both sets scored in full; a forest's prediction is a mean of training
+    labels, so it lies between their ends."""
     model, train, test = _fit(spark, sf_dir)
-    return tr.evaluate(model, {tr.TEST_SET_NAME: test, tr.TRAIN_SET_NAME: train})
+    low, high = train.agg(F.min("label"), F.max("label")).first()
+    scored = tr.predict_sets(model, {tr.TEST_SET_NAME: test, tr.TRAIN_SET_NAME: train})
+    return rounded(scored.groupBy("set_name").agg(
+        F.count("prediction").alias("n_rows"), F.avg("label").alias("label_mean"),
+        F.bool_and(F.col("prediction").between(low, high)).alias("in_range")), 4)
 
 
 @query
@@ -517,8 +549,7 @@ def model_roundtrip(spark, sf_dir):
     loaded = tr.load_model(path)
     first = model.transform(test).withColumnRenamed("prediction", "prediction_saved")
     both = loaded.transform(first)
-    return both.select("label", "prediction_saved", F.col("prediction").alias("prediction_loaded"),
-                       (F.col("prediction") == F.col("prediction_saved")).alias("same"))
+    return rounded(both.select("label", (F.col("prediction") == F.col("prediction_saved")).alias("same")))
 
 
 @query
@@ -526,8 +557,9 @@ def score_requests(spark, sf_dir):
     model, _, _ = _fit(spark, sf_dir)
     t = _t(spark, sf_dir)
     features = feat.lookup_features(fx.music_inputs(t))
-    return sc.score_requests(fx.requests(t), features, model).select(
-        "request_id", "artist", "title", "match_level", "predicted_downloads")
+    scored = sc.score_requests(fx.requests(t), features, model)
+    return rounded(scored.select("request_id", "artist", "title", "match_level", *sc.SCORE_INPUTS,
+                                 F.col("predicted_downloads").isNotNull().alias("scored")), 4)
 
 
 # Keys whose function name differs (they shadow library names inside this module).

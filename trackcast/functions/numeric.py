@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ._col import ColumnOrName, as_col
 
+INT_MAX = (1 << 31) - 1
 # The only spellings of infinity a JVM double parser accepts.
 JVM_INFINITY_SPELLINGS = ["Infinity", "+Infinity", "-Infinity"]
 
@@ -64,8 +65,14 @@ def popularity_ln(familiarity: ColumnOrName, song_count: ColumnOrName,
 
 
 def truncate_to_int(c: ColumnOrName) -> Column:
-    """drop the fraction toward zero (1.7 -> 1, -1.7 -> -1)."""
-    return as_col(c).cast("int")
+    """drop the fraction toward zero (1.7 -> 1, -1.7 -> -1).
+
+    Saturates at the ends of the int range and takes NaN as 0, as the JVM's
+    double-to-int conversion does.
+    """
+    x = as_col(c).cast("double")
+    return (F.when(F.isnan(x), F.lit(0)).when(x >= F.lit(float(INT_MAX)), F.lit(INT_MAX))
+            .when(x <= F.lit(float(-INT_MAX - 1)), F.lit(-INT_MAX - 1)).otherwise(x.cast("int")))
 
 
 def squared_error(label: ColumnOrName, prediction: ColumnOrName) -> Column:
@@ -77,6 +84,8 @@ def stable_round(c: ColumnOrName, digits: int) -> Column:
     """Round half-up on the decimal value after snapping to 9 decimals.
 
     Used only on reported numbers, so last-bit float noise from a different
-    summation order cannot flip a rounding tie.
+    summation order cannot flip a rounding tie.  Values from 1e28 on have no
+    digits to round and stay as they are.
     """
-    return F.round(as_col(c).try_cast("decimal(38,9)"), digits).cast("double")
+    x = as_col(c).cast("double")
+    return F.when(F.abs(x) < 1e28, F.round(x.try_cast("decimal(38,9)"), digits).cast("double")).otherwise(x)

@@ -1,7 +1,8 @@
 """End-to-end jobs over the application's files (what ``spark-submit`` runs).
 
     features   songs, plays, similar artists, terms, downloads -> lookup table
-               (gzip CSV with header) + averages file          [L2, A3, K2, K3]
+               (gzip CSV with header), averages file, and the match statistics
+               of each level that scoring reads                [L2, A3, A4, K2, K3]
     matrix     all six inputs -> training matrix (Parquet, with the artist
                key for splitting)                               [L3, K1]
     split      matrix -> train / test folders, artist-disjoint  [M6]
@@ -20,16 +21,16 @@ from __future__ import annotations
 from typing import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from . import sinks
+from .operators.lookup import read_match_statistics, resolve_stored, write_match_statistics
 from .operators.metrics import actual_vs_predicted
 from .operators.split import TEST, TRAIN, artist_split
 from .plans import features as feat
 from .plans import report as rp
 from .plans import scoring as sc
 from .plans import training as tr
-from .sources.delimited import read_feature_file, read_requests
+from .sources.delimited import read_averages, read_requests
 from .sources.files import InputPaths, read_music_inputs
 
 MATRIX_KEY_COLUMNS = ("td_artist",)
@@ -43,7 +44,8 @@ def build_features(spark: SparkSession, paths: InputPaths, out_dir: str,
     feature_path = sinks.write_delimited(features, f"{out}/features", ",", header=True,
                                          compression="gzip")
     averages_path = sinks.write_averages(feat.global_averages(features), f"{out}/averages")
-    return {"features": feature_path, "averages": averages_path}
+    statistics_path = write_match_statistics(features, f"{out}/match_statistics")
+    return {"features": feature_path, "averages": averages_path, "statistics": statistics_path}
 
 
 def build_training_matrix(spark: SparkSession, paths: InputPaths, out_path: str,
@@ -64,11 +66,9 @@ def train_and_evaluate(spark: SparkSession, train_path: str, test_path: str, out
                        feature_index: Sequence[int] = tr.SCORING_FEATURES,
                        num_trees: int = tr.NUM_TREES, max_depth: int = tr.MAX_DEPTH,
                        seed: int = tr.SEED) -> dict:
+    """Fit on every training row, evaluate on every row of both sets (read from the written split)."""
     out = out_dir.rstrip("/")
-    train_rows = sinks.read_table(spark, train_path)
-    unknown = (train_rows.filter(F.col("td_confidence") == -1).count()
-               if tr.CATEGORICAL_POSITION in feature_index else 0)
-    train = tr.training_set(train_rows, feature_index).cache()
+    train = tr.training_set(sinks.read_table(spark, train_path), feature_index)
     test = tr.training_set(sinks.read_table(spark, test_path), feature_index)
     model = tr.train_forest(train, num_trees, max_depth, seed)
     model_path = tr.save_model(model, f"{out}/model")
@@ -77,24 +77,15 @@ def train_and_evaluate(spark: SparkSession, train_path: str, test_path: str, out
     for name, df in ((TEST, test), (TRAIN, train)):
         pairs = actual_vs_predicted(model.transform(df))
         sinks.write_delimited(pairs, f"{out}/actual_predicted/{name}", ",")
-    train.unpersist()
-    return {"model": model_path, "metrics": metrics_path, "unknown_rating_rows_left_out": unknown}
+    return {"model": model_path, "metrics": metrics_path}
 
 
-def _read_averages(spark: SparkSession, averages_path: str | None) -> DataFrame | None:
-    if not averages_path:
-        return None
-    raw = spark.read.option("header", True).csv(averages_path)
-    return raw.select(*[F.col(c).try_cast("double").alias(c) for c in raw.columns])
-
-
-def score_requests_file(spark: SparkSession, requests_path: str, features_path: str,
+def score_requests_file(spark: SparkSession, requests_path: str, statistics_path: str,
                         model_path: str, out_path: str, averages_path: str | None = None) -> str:
-    features = read_feature_file(spark, features_path, header=True)
-    averages = _read_averages(spark, averages_path)
-    requests = read_requests(spark, requests_path)
-    scored = sc.score_requests(requests, features, tr.load_model(model_path), averages)
-    return sinks.write_table(scored, out_path)
+    """Score from the statistics that the ``features`` job has written."""
+    averages = read_averages(spark, averages_path) if averages_path else None
+    resolved = resolve_stored(read_requests(spark, requests_path), read_match_statistics(spark, statistics_path), averages)
+    return sinks.write_table(sc.score_resolved(resolved, tr.load_model(model_path)), out_path)
 
 
 def column_report(spark: SparkSession, matrix_path: str, out_dir: str) -> dict[str, str]:
@@ -109,13 +100,13 @@ def column_report(spark: SparkSession, matrix_path: str, out_dir: str) -> dict[s
     return {name: sinks.write_table(df, f"{out}/{name}") for name, df in parts.items()}
 
 
-def start_request_stream(spark: SparkSession, requests_dir: str, features_path: str,
-                         model_path: str, out_path: str, checkpoint: str | None = None,
+def start_request_stream(spark: SparkSession, requests_dir: str, statistics_path: str,
+                         model_path: str, out_path: str, checkpoint: str,
                          averages_path: str | None = None, once: bool = False,
                          trigger: str = "10 seconds", max_files_per_trigger: int | None = None):
     from .streaming import start_scoring
 
-    return start_scoring(spark, requests_dir, read_feature_file(spark, features_path, header=True),
-                         tr.load_model(model_path), out_path, checkpoint,
-                         _read_averages(spark, averages_path), available_now=once,
+    averages = read_averages(spark, averages_path) if averages_path else None
+    return start_scoring(spark, requests_dir, read_match_statistics(spark, statistics_path),
+                         tr.load_model(model_path), out_path, checkpoint, averages, available_now=once,
                          processing_time=trigger, max_files_per_trigger=max_files_per_trigger)

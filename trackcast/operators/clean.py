@@ -58,11 +58,12 @@ def keep_numeric(df: DataFrame, *columns: str) -> DataFrame:
     return df.filter(cond) if cond is not None else df
 
 
-def clean_downloads(raw: DataFrame) -> DataFrame:
+def clean_downloads(raw: DataFrame, require: str = "td_meanPrice") -> DataFrame:
     """The training rows (artist, title, mean price, downloads, rating).
 
-    Price and downloads must both be numbers (the label would otherwise fail
-    to parse later); names are cleaned and the rating becomes a level.
+    Rows without a number in ``require`` go: the price for the lookup table, the
+    label ``td_downloads`` for the training matrix; the other one may be missing.
+    Names are cleaned and the rating becomes a level.
     """
     typed = raw.select(
         clean_string("artist").alias("td_artist"),
@@ -71,4 +72,4 @@ def clean_downloads(raw: DataFrame) -> DataFrame:
         to_double("downloads").alias("td_downloads"),
         translate_confidence("confidence").alias("td_confidence"),
     )
-    return typed.filter(F.col("td_meanPrice").isNotNull() & F.col("td_downloads").isNotNull())
+    return typed.filter(F.col(require).isNotNull())

@@ -44,4 +44,4 @@ def actual_vs_predicted(pred: DataFrame, label: str = "label",
                         prediction: str = "prediction") -> DataFrame:
     """label and prediction truncated to int and their absolute difference."""
     a, p = truncate_to_int(label), truncate_to_int(prediction)
-    return pred.select(a.alias("actual"), p.alias("predicted"), F.abs(a - p).alias("abs_diff"))
+    return pred.select(a.alias("actual"), p.alias("predicted"), F.abs(a.cast("long") - p).alias("abs_diff"))

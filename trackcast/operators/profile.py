@@ -1,15 +1,12 @@
 """Column profile (A8), correlation with the label (A9), 2-D density.
 
-Exact median without gathering a column: a selection by histogram narrowing.
-For every target rank a value interval [lo, hi] and the count of values
-below ``lo`` are kept.  One pass buckets the values inside each interval into
-``B`` equal-width buckets (count, min, max per bucket: one grouped aggregate),
-the driver reads the <= B rows per target and keeps the bucket holding the
-rank.  A bucket whose min equals its max, or whose first/last rank is the
-target, gives the value directly; otherwise its [min, max] is the next
-interval.  Each pass shrinks the interval by about B, so a handful of passes
-suffices even for doubles, and no task ever holds more than one partial
-histogram.
+Exact median without gathering a column: a selection by sketched brackets.  A
+quantile sketch (bounded size, one aggregate for all columns) gives two values
+that enclose the wanted ranks; a second aggregate counts the values below and
+inside the bracket; a bracket of few values is read and ranked, a larger one is
+sketched again.  The sketch works on ranks, so the spread of the values does not
+matter: every round shrinks a bracket by ``SHRINK`` or more, and 10^11 rows take
+three.  Infinities are ordinary values at the ends of the order.
 """
 
 from __future__ import annotations
@@ -17,138 +14,91 @@ from __future__ import annotations
 import math
 from typing import Sequence
 
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
+from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-DEFAULT_BUCKETS = 1024
 INF = float("inf")
-MAX_PASSES = 40
-
-
-def _long_values(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """(name, x) for every non-null value (an Expand, no shuffle)."""
-    wide = df.select(*[F.col(c).cast("double").alias(c) for c in cols])
-    return (wide.unpivot([], list(cols), "name", "x")
-            .filter(F.col("x").isNotNull() & ~F.isnan("x")))
-
-
-def exact_quantile_ranks(df: DataFrame, cols: Sequence[str], counts: dict, mins: dict,
-                         maxs: dict, ranks: dict, buckets: int = DEFAULT_BUCKETS) -> dict:
-    """Values at the requested 0-based ranks: ``ranks[col] = [r, ...]``.
-
-    Returns {(col, rank): value}.  ``counts/mins/maxs`` are the per-column
-    non-null count, min and max from a previous pass.
-    """
-    spark: SparkSession = df.sparkSession
-    found: dict = {}
-    # search id -> [col, rank, lo, hi, below]
-    open_: dict = {}
-    sid = 0
-    for c in cols:
-        for r in sorted(set(ranks.get(c, []))):
-            if counts[c] == 0:
-                continue
-            if r == 0:
-                found[(c, r)] = mins[c]
-            elif r == counts[c] - 1:
-                found[(c, r)] = maxs[c]
-            elif mins[c] == maxs[c]:
-                found[(c, r)] = mins[c]
-            else:
-                open_[sid] = [c, r, mins[c], maxs[c], 0]
-                sid += 1
-    if not open_:
-        return found
-
-    values = _long_values(df, cols)
-    schema = StructType([StructField("sid", LongType()), StructField("name", StringType()),
-                         StructField("lo", DoubleType()), StructField("hi", DoubleType())])
-    for _ in range(MAX_PASSES):
+ACCURACY = 10_000      # of the sketch: a rank is off by rows / ACCURACY at most
+SHRINK = ACCURACY // 8
+MAX_READ = 10_000      # values of a bracket that are read
+
+
+class _Search:
+    """One rank among the values of one column, inside an interval that excludes its ends."""
+
+    def __init__(self, name: str, rank: int, n: int):
+        self.name, self.rank = name, rank
+        self.low, self.high = None, None  # the whole column
+        self.below, self.inside, self.slack = 0, n, 4.0
+
+    def scoped(self) -> Column:
+        x = F.col(self.name)
+        return x if self.low is None else F.when((x > self.low) & (x < self.high), x)
+
+    def bracket(self) -> Column:
+        """Two values, on either side of the wanted one unless the sketch erred."""
+        width, at = self.slack / ACCURACY, self.rank - self.below
+        return F.percentile_approx(self.scoped(), [max(0.0, at / self.inside - width),
+                                                   min(1.0, (at + 1) / self.inside + width)], ACCURACY)
+
+    def counts(self, low: float, high: float) -> list[Column]:
+        x = F.col(self.name)
+        return [F.count(F.when(c, 1)) for c in (x < low, x == low, (x > low) & (x < high), x == high)]
+
+    def narrow(self, low: float, high: float, below: int, at_low: int, between: int, at_high: int) -> float | None:
+        """The value, if it is an end of the bracket; else the search goes on between them."""
+        if below <= self.rank < below + at_low:
+            return low
+        if low < high and 0 <= self.rank - below - at_low - between < at_high:
+            return high
+        if below + at_low <= self.rank < below + at_low + between:
+            self.low, self.high, self.below, self.inside = low, high, below + at_low, between
+        else:
+            self.slack *= 4  # up to the whole interval
+        return None
+
+
+def exact_ranks(df: DataFrame, wanted: dict[str, list[int]], counts: dict[str, int],
+                max_read: int = MAX_READ) -> dict[tuple[str, int], float]:
+    """The values at 0-based ranks of (double) columns; NULL and NaN are left out.
+    ``counts`` is the number of values of each column."""
+    numbers = df.select(*[F.when(~F.isnan(c), F.col(c)).alias(c) for c in wanted])
+    open_ = [_Search(c, r, counts[c]) for c, ranks in wanted.items() for r in sorted(set(ranks))]
+    found: dict[tuple[str, int], float] = {}
+    while open_:
+        small = [s for s in open_ if s.inside <= max_read and s.low is not None]
+        if small:
+            got = numbers.agg(*[F.array_sort(F.collect_list(s.scoped())).alias(f"v{i}") for i, s in enumerate(small)]).first()
+            found |= {(s.name, s.rank): got[i][s.rank - s.below] for i, s in enumerate(small)}
+        open_ = [s for s in open_ if (s.name, s.rank) not in found]
         if not open_:
             break
-        searches = spark.createDataFrame(
-            [(int(s), v[0], float(v[2]), float(v[3])) for s, v in open_.items()], schema)
-        # The search table has at most 2 rows per profiled column.
-        scoped = (values.join(F.broadcast(searches), "name")
-                  .filter((F.col("x") >= F.col("lo")) & (F.col("x") <= F.col("hi"))))
-        bucket = F.least(
-            F.floor((F.col("x") - F.col("lo")) / (F.col("hi") - F.col("lo")) * F.lit(buckets)),
-            F.lit(buckets - 1)).cast("int")
-        hist = (scoped.groupBy("sid", bucket.alias("b"))
-                .agg(F.count(F.lit(1)).alias("n"), F.min("x").alias("mn"), F.max("x").alias("mx"))
-                .collect())
-        per_search: dict = {}
-        for row in hist:
-            per_search.setdefault(row["sid"], []).append((row["b"], row["n"], row["mn"], row["mx"]))
-        for s in list(open_):
-            c, r, lo, hi, below = open_[s]
-            acc = below
-            for b, n, mn, mx in sorted(per_search.get(s, [])):
-                if acc <= r < acc + n:
-                    if mn == mx or r == acc:
-                        found[(c, r)] = mn
-                        del open_[s]
-                    elif r == acc + n - 1:
-                        found[(c, r)] = mx
-                        del open_[s]
-                    else:
-                        open_[s] = [c, r, mn, mx, acc]
-                    break
-                acc += n
-            else:  # pragma: no cover - the interval always holds the rank
-                raise RuntimeError(f"rank {r} of {c} not found in [{lo}, {hi}]")
-    if open_:  # pragma: no cover
-        raise RuntimeError("exact median did not converge")
+        ends = numbers.agg(*[s.bracket().alias(f"b{i}") for i, s in enumerate(open_)]).first()
+        placed = numbers.agg(*[c.alias(f"c{i}_{j}") for i, s in enumerate(open_) for j, c in enumerate(s.counts(*ends[i]))]).first()
+        for i, s in enumerate(open_):
+            value = s.narrow(*ends[i], *placed[4 * i:4 * i + 4])
+            if value is not None:
+                found[s.name, s.rank] = value
+        open_ = [s for s in open_ if (s.name, s.rank) not in found]
     return found
 
 
-def column_profile(df: DataFrame, cols: Sequence[str], buckets: int = DEFAULT_BUCKETS) -> DataFrame:
-    """(column, mean, median) per column; median is exact (linear
-    interpolation of the two middle values for an even count; infinities are
-    ordered at the ends, as in numpy)."""
+def column_profile(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """(column, mean, median) per column; the median is exact (the mean of the
+    two middle values for an even count).  ``df`` is read three times: store it."""
     spark = df.sparkSession
-    data = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).persist(
-        StorageLevel.MEMORY_AND_DISK)
-    try:
-        aggs = []
-        for c in cols:
-            x = F.when(~F.isnan(c), F.col(c))
-            finite = F.when(F.abs(x) != F.lit(INF), x)
-            aggs += [F.count(x).alias(f"n_{c}"), F.count(F.when(x == -INF, 1)).alias(f"neg_{c}"),
-                     F.count(F.when(x == INF, 1)).alias(f"pos_{c}"),
-                     F.min(finite).alias(f"min_{c}"), F.max(finite).alias(f"max_{c}"),
-                     F.avg(x).alias(f"avg_{c}")]
-        first = data.agg(*aggs).collect()[0]
-        # Infinite values sit at both ends of the order; only ranks that fall
-        # between them need the selection, over the finite values.
-        targets, finite_ranks = {}, {}
-        for c in cols:
-            n, neg, pos = first[f"n_{c}"], first[f"neg_{c}"], first[f"pos_{c}"]
-            for r in {(n - 1) // 2, n // 2} if n else set():
-                if r < neg:
-                    targets[(c, r)] = -INF
-                elif r >= n - pos:
-                    targets[(c, r)] = INF
-                else:
-                    finite_ranks.setdefault(c, []).append(r - neg)
-        counts = {c: first[f"n_{c}"] - first[f"neg_{c}"] - first[f"pos_{c}"] for c in cols}
-        mins = {c: first[f"min_{c}"] for c in cols}
-        maxs = {c: first[f"max_{c}"] for c in cols}
-        found = exact_quantile_ranks(data, cols, counts, mins, maxs, finite_ranks, buckets)
-        for (c, rf), v in found.items():
-            targets[(c, rf + first[f"neg_{c}"])] = v
-    finally:
-        data.unpersist()
+    data = df.select(*[F.col(c).cast("double").alias(c) for c in cols])
+    number = {c: F.when(~F.isnan(c), F.col(c)) for c in cols}
+    first = data.agg(*[e for c in cols for e in (F.count(number[c]).alias(f"n_{c}"), F.avg(number[c]).alias(f"avg_{c}"))]).first()
+    n = {c: first[f"n_{c}"] for c in cols}
+    ranks = {c: [(n[c] - 1) // 2, n[c] // 2] for c in cols if n[c]}
+    value = exact_ranks(data, ranks, n) if ranks else {}
     rows = []
     for c in cols:
-        n = first[f"n_{c}"]
-        if n == 0:
-            rows.append((c, None, None))
-            continue
-        lo, hi = targets[(c, (n - 1) // 2)], targets[(c, n // 2)]
-        mid = lo + (hi - lo) * 0.5 if math.isfinite(lo) and math.isfinite(hi) else (lo + hi) / 2
+        lo, hi = (value[c, r] for r in ranks[c]) if c in ranks else (None, None)
+        gap = None if lo is None else hi - lo
+        mid = None if lo is None else lo if lo == hi else lo + gap * 0.5 if math.isfinite(gap) else lo / 2 + hi / 2
         rows.append((c, first[f"avg_{c}"], mid))
     schema = StructType([StructField("column_name", StringType()),
                          StructField("mean", DoubleType()), StructField("median", DoubleType())])

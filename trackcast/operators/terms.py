@@ -20,13 +20,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import stable_round, weight_times_freq
+from ..functions import weight_times_freq
 
 # The reference keeps this many terms.
 DEFAULT_TOP_K = 1000
-# Top-term tables up to this many rows are shipped to every task; the bound is
-# the ``limit`` itself, so the check needs no statistics.
-MAX_BROADCAST_TERMS = 200_000
 
 
 def term_pairs(terms: DataFrame) -> DataFrame:
@@ -63,24 +60,20 @@ def term_hotness(pairs: DataFrame, song_stats: DataFrame) -> DataFrame:
 def top_terms(hotness_by_term: DataFrame, k: int = DEFAULT_TOP_K) -> DataFrame:
     """The k hottest terms, hottest first.
 
-    Ties (equal to 6 decimals) are broken by the term so the cut is stable.
-    ``orderBy().limit()`` plans as a bounded per-partition top-k.
+    Ordered by the exact average; equal averages by the term, so the cut is
+    stable.  ``orderBy().limit()`` plans as a bounded per-partition top-k.
     """
-    return (hotness_by_term
-            .orderBy(F.desc_nulls_last(stable_round("artist_hotness", 6)), F.asc("artist_term"))
-            .limit(k))
+    return hotness_by_term.orderBy(F.desc_nulls_last("artist_hotness"), F.asc("artist_term")).limit(k)
 
 
 def term_features(pairs: DataFrame, top: DataFrame, k: int, overlap_col: str) -> DataFrame:
     """Per artist having terms: the top-term overlap (A6/O1, 0 when none), the
     weight x frequency sum (A5, NULL when no row parses) and its row count.
 
-    The top table has at most ``k`` rows (it is a limit), so it is broadcast
-    when ``k`` is below the bound; a single grouped pass does the rest.
+    The planner knows that the top table has at most ``k`` rows (it is a limit)
+    and broadcasts it while that is small; a single grouped pass does the rest.
     """
     flags = top.select("artist_term").withColumn("_is_top", F.lit(1))
-    if k <= MAX_BROADCAST_TERMS:
-        flags = F.broadcast(flags)
     marked = pairs.join(flags, "artist_term", "left")
     return marked.groupBy("artist_id").agg(
         F.count("_is_top").cast("int").alias(overlap_col),

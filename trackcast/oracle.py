@@ -12,7 +12,8 @@ from __future__ import annotations
 
 
 def R(expr: str, digits: int = 6) -> str:
-    return f"cast(round(try_cast({expr} as decimal(38,9)), {digits}) as double)"
+    return (f"case when abs({expr}) < 1e28 then cast(round(try_cast({expr} as decimal(38,9)), {digits}) as double) "
+            f"else cast({expr} as double) end")
 
 
 def clean(expr: str) -> str:
@@ -41,7 +42,7 @@ V_SONG_INFO = """song_info as (
   select cast(l.l_partkey as varchar) song_id,
          cast(l.l_suppkey as varchar) || '-' || cast(l.l_partkey as varchar) track_id,
          cast(l.l_suppkey as varchar) artist_id, s.s_name artist_name, p.p_name title,
-         s.s_acctbal artist_hotttnesss, s.s_acctbal / 10000 artist_familiarity,
+         round(s.s_acctbal * 100) artist_hotttnesss, s.s_acctbal / 10000 artist_familiarity,
          p.p_size * cast(-0.5 as double) loudness, p.p_size * cast(3 as double) tempo,
          p.p_retailprice duration,
          case when p.p_size % 7 = 0 then 'NA' else cast(p.p_size as varchar) end song_hotttnesss,
@@ -58,18 +59,15 @@ V_PLAY_COUNT = """play_count as (
   from lineitem where l_returnflag = 'R' group by l_partkey, l_suppkey)"""
 
 V_SIMILAR = """similar_artists as (
-  select cast(a.s_suppkey as varchar) artist_id, cast(b.s_suppkey as varchar) similar_artist
-  from supplier a
-  join nation na on a.s_nationkey = na.n_nationkey
-  join nation nb on na.n_regionkey = nb.n_regionkey
-  join supplier b on b.s_nationkey = nb.n_nationkey
-  where a.s_suppkey <> b.s_suppkey and a.s_suppkey % 7 <> 0)"""
+  select cast(a.l_suppkey as varchar) artist_id, cast(b.l_suppkey as varchar) similar_artist
+  from lineitem a join lineitem b on a.l_orderkey = b.l_orderkey and b.l_linenumber = a.l_linenumber + 1
+  where a.l_suppkey % 7 <> 0)"""
 
 V_TERMS = """artist_terms as (
-  select cast(l_suppkey as varchar) artist_id, p_brand || ' ' || p_type artist_term,
+  select cast(l_suppkey as varchar) artist_id, p_brand || ' ' || p_type || ' ' || cast(p_size as varchar) artist_term,
          l_discount weight, l_quantity freq
   from lineitem join part on l_partkey = p_partkey
-  where l_linenumber = 1 and l_suppkey % 11 <> 0)"""
+  where l_suppkey % 11 <> 0)"""
 
 V_LIKES = """track_likes as (
   select cast(user_id % 10 as varchar) || '-' || cast(user_id as varchar) track, count(*) likes
@@ -83,14 +81,15 @@ V_DOWNLOADS = """downloads as (
   join supplier on l_suppkey = s_suppkey
   join part on l_partkey = p_partkey
   join orders on l_orderkey = o_orderkey
-  where l_returnflag = 'A' and l_linenumber = 1
+  where l_returnflag = 'A'
   group by s_name, p_name)"""
 
 V_REQUESTS = """requests as (
-  select p_partkey request_id,
-         case when p_partkey % 4 < 2 then s_name else 'nobody ' || cast(p_partkey as varchar) end artist,
-         case when p_partkey % 2 = 0 then p_name else 'nothing ' || cast(p_partkey as varchar) end title
-  from part join supplier on s_suppkey = p_partkey % 10)"""
+  select l_suppkey || '-' || l_partkey request_id,
+         case when (l_partkey + l_suppkey) % 4 < 2 then s_name else 'nobody ' || l_suppkey || '-' || l_partkey end artist,
+         case when (l_partkey + l_suppkey) % 2 = 0 then p_name else 'nothing ' || l_suppkey || '-' || l_partkey end title
+  from (select distinct l_partkey, l_suppkey from lineitem)
+  join part on l_partkey = p_partkey join supplier on l_suppkey = s_suppkey)"""
 
 # ------------------------------------------------------------------ cleaned tables
 V_SONG_CLEAN = f"""song_clean as (
@@ -107,12 +106,16 @@ V_SONG_WIDE = f"""song_wide as (
          {zero('song_hotttnesss')} song_hotttnesss, try_cast(year as integer) as year
   from song_info)"""
 
-V_TD = f"""td as (
+def v_td(name: str, require: str) -> str:
+    return f"""{name} as (
   select {clean('artist')} td_artist, {clean('title')} td_title,
          {num('mean_price')} td_meanPrice, {num('downloads')} td_downloads,
          {confidence('confidence')} td_confidence
-  from downloads
-  where {num('mean_price')} is not null and {num('downloads')} is not null)"""
+  from downloads where {num(require)} is not null)"""
+
+
+V_TD = v_td("td", "mean_price")            # of the lookup table
+V_TD_LABEL = v_td("td_label", "downloads")  # of the training matrix
 
 V_SIM_COUNT = """sim as (
   select artist_id, count(similar_artist) similar_artist_count
@@ -127,7 +130,7 @@ def v_top(name: str, songs: str, hot: str, k: int) -> str:
   group by t.artist_term),
 {name} as (
   select artist_term, artist_hotness from {name}_hot
-  order by {R('artist_hotness', 6)} desc nulls last, artist_term limit {k})"""
+  order by artist_hotness desc nulls last, artist_term limit {k})"""
 
 
 def v_overlap(name: str, top: str, col: str) -> str:
@@ -190,7 +193,7 @@ def rcols(cols: str, digits: int = 6, **per: int) -> str:
 
 # L3 chain (wide songs, plays, song count, term sums, similar, likes, overlap, training join).
 EXPLORE_CTES = [
-    V_SONG_INFO, V_PLAY_COUNT, V_SIMILAR, V_TERMS, V_LIKES, V_DOWNLOADS, V_SONG_WIDE, V_TD,
+    V_SONG_INFO, V_PLAY_COUNT, V_SIMILAR, V_TERMS, V_LIKES, V_DOWNLOADS, V_SONG_WIDE, V_TD_LABEL,
     V_SIM_COUNT, V_WDF,
     v_top("top_e", "song_info", num("s.artist_hotttnesss"), 1000),
     v_overlap("overlap_e", "top_e", "top_50_count"),
@@ -214,7 +217,7 @@ EXPLORE_CTES = [
          e6.similar_artist_count, e6.likes, td.td_meanPrice, e6.top_50_count,
          log10(greatest(e6.artist_familiarity * e6.song_count * e6.similar_artist_count, 0) + 1) popularity,
          td.td_downloads, td.td_artist
-  from td join e6 on td.td_title = e6.title and td.td_artist = e6.artist_name
+  from td_label td join e6 on td.td_title = e6.title and td.td_artist = e6.artist_name
   where td.td_artist <> '')""",
 ]
 
@@ -307,14 +310,14 @@ SQL["song_count"] = ctes(V_SONG_INFO, V_SONG_WIDE) + (
 SQL["similar_artist_count"] = ctes(V_SIMILAR, V_SIM_COUNT) + (
     "select artist_id, similar_artist_count from sim")
 SQL["weight_dot_freq"] = ctes(V_TERMS, V_WDF) + f"select artist_id, {R('weight_dot_freq')} weight_dot_freq from wdf"
-TOP_T = v_top("top_t", "song_clean", "s.artist_hotness", 40)
+TOP_T = v_top("top_t", "song_clean", "s.artist_hotness", 1000)
 SQL["top_terms"] = ctes(V_SONG_INFO, V_TERMS, V_SONG_CLEAN, TOP_T) + (
     f"select artist_term, {R('artist_hotness', 4)} artist_hotness from top_t")
 SQL["genre_overlap"] = ctes(V_SONG_INFO, V_TERMS, V_SONG_CLEAN, TOP_T,
                             v_overlap("ov", "top_t", "top_term_count")) + (
     "select artist_id, top_term_count from ov")
 SQL["genre_overlap_skip_na"] = ctes(V_SONG_INFO, V_TERMS,
-                                    v_top("top_r", "song_info", num("s.artist_hotttnesss"), 40),
+                                    v_top("top_r", "song_info", num("s.artist_hotttnesss"), 1000),
                                     v_overlap("ov", "top_r", "top_term_count")) + (
     "select artist_id, top_term_count from ov")
 
@@ -453,9 +456,26 @@ SQL["regression_metrics"] = ctes(SPLIT_CTES) + "\n union all ".join(
         ("explained_variance", "vp + power(mp - my, 2)")])
 SQL["actual_vs_predicted"] = ctes(SPLIT_CTES) + (
     "select cast(trunc(label) as integer) actual, cast(trunc(prediction) as integer) predicted, "
-    "abs(cast(trunc(label) as integer) - cast(trunc(prediction) as integer)) abs_diff "
+    "cast(abs(cast(trunc(label) as integer) - cast(trunc(prediction) as integer)) as bigint) abs_diff "
     "from pred where set_name = 'testing data'")
 
 
+# ------------------------------------------------------------------ model outputs
+# What of them does not depend on the learned trees or centres.
+SQL["assemble_vectors"] = ctes(EXPLORE_CTES) + (
+    f"select {R('td_downloads')} as label, cast(case when td_confidence between 0 and 5 then td_confidence else 6 end as double) f0, "
+    f"{R('artist_hotttnesss')} f1, {R('song_hotttnesss')} f2, {R('td_meanPrice', 4)} f3 from m")
+SETS = "case when split = 'test' then 'testing data' else 'training data' end"
+SQL["train_forest"] = ctes(SPLIT_CTES) + (
+    f"select {SETS} set_name, count(*) n_rows, {R('avg(td_downloads)', 4)} label_mean, true in_range from sp group by 1")
+SQL["model_roundtrip"] = ctes(SPLIT_CTES) + f"select {R('td_downloads')} as label, true same from sp where split = 'test'"
+SQL["score_requests"] = SQL["resolve_features"].replace("select r.request_id,", "select true scored, r.request_id,", 1)
+SQL["score_from_averages"] = SQL["resolve_features"]
+SQL["downloads_kmeans"] = ctes(EXPLORE_CTES) + (
+    "select count(*) n_rows, cast(8 as bigint) n_clusters, true centres_are_means from m where td_confidence > 1 and td_downloads is not null")
+SQL["feature_index_subset"] = SQL["select_feature_subset"]
+SQL["metrics_file"] = SQL["regression_metrics"]
+
+
 def oracle_sql() -> dict[str, str]:
     return dict(SQL)

@@ -25,7 +25,6 @@ shuffle anyway and need no such step.
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -59,19 +58,6 @@ def lookup_songs_with_plays(inputs: MusicInputs) -> DataFrame:
         "play_count", "song_id")
 
 
-def _write_sharing(build, name: str, *shared: DataFrame) -> DataFrame:
-    """Write a per-artist table whose plan reads the ``shared`` aggregates on
-    two branches (which prune different columns, so their exchanges are not
-    reused): they are cached for this one write and released right after."""
-    for df in shared:
-        df.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        return materialize(build(), name)
-    finally:
-        for df in shared:
-            df.unpersist()
-
-
 def lookup_genre_overlap(inputs: MusicInputs, top_k: int = DEFAULT_TOP_K,
                          pairs: DataFrame | None = None) -> DataFrame:
     """L4, first variant: top terms over the cleaned songs (missing hotness = 0)."""
@@ -81,23 +67,16 @@ def lookup_genre_overlap(inputs: MusicInputs, top_k: int = DEFAULT_TOP_K,
     return genre_overlap(pairs, top, top_k, "top_1000_count")
 
 
-def lookup_artist_table(inputs: MusicInputs, top_k: int = DEFAULT_TOP_K,
-                        pairs: DataFrame | None = None) -> DataFrame:
-    """Per artist: similar-artist count (0 when none) and term overlap; only
-    artists having terms (the overlap join is an inner join)."""
-    return (lookup_genre_overlap(inputs, top_k, pairs)
-            .join(inputs.similar_counts, "artist_id", "left")
-            .na.fill({"similar_artist_count": 0}))
-
-
 def stored_lookup_artist_table(inputs: MusicInputs, top_k: int = DEFAULT_TOP_K) -> DataFrame:
-    """:func:`lookup_artist_table` written once, the term pairs scanned once."""
-    pairs = term_pairs(inputs.artist_terms)
-    return _write_sharing(lambda: lookup_artist_table(inputs, top_k, pairs), "lookup_artists", pairs)
+    """Term overlap of the artists that have terms (the overlap join is an inner
+    join), written once, the term pairs aggregated once.  The similar-artist
+    count of the join stages is not a column of the lookup table."""
+    pairs = materialize(term_pairs(inputs.artist_terms), "term_pairs")
+    return materialize(lookup_genre_overlap(inputs, top_k, pairs), "lookup_artists")
 
 
 def lookup_song_features(inputs: MusicInputs, top_k: int = DEFAULT_TOP_K) -> DataFrame:
-    """The song-level intermediate (J1, J2, J6) before the training join.
+    """The song-level intermediate (J1, J6) before the training join.
 
     The inner artist join runs first (it can only remove songs), then plays.
     """
@@ -152,19 +131,10 @@ def explore_artist_table(inputs: MusicInputs, top_k: int = DEFAULT_TOP_K,
 
 def stored_explore_artist_table(inputs: MusicInputs, top_k: int = DEFAULT_TOP_K) -> DataFrame:
     """:func:`explore_artist_table` written once, songs and term pairs each
-    aggregated once."""
-    pairs = term_pairs(inputs.artist_terms)
-    stats = artist_song_stats(inputs.song_info, to_double("artist_hotttnesss"))
-    return _write_sharing(lambda: explore_artist_table(inputs, top_k, pairs, stats),
-                          "explore_artists", pairs, stats)
-
-
-def explore_genre_overlap(inputs: MusicInputs, top_k: int = DEFAULT_TOP_K) -> DataFrame:
-    """L4, second variant: top terms over the raw songs (missing hotness skipped)."""
-    pairs = term_pairs(inputs.artist_terms)
-    stats = artist_song_stats(inputs.song_info, to_double("artist_hotttnesss"))
-    top = top_terms(term_hotness(pairs, stats), top_k)
-    return genre_overlap(pairs, top, top_k, "top_term_count")
+    aggregated and written once (two branches of the plan read them)."""
+    pairs = materialize(term_pairs(inputs.artist_terms), "term_pairs")
+    stats = materialize(artist_song_stats(inputs.song_info, to_double("artist_hotttnesss")), "song_stats")
+    return materialize(explore_artist_table(inputs, top_k, pairs, stats), "explore_artists")
 
 
 def explore_song_table(inputs: MusicInputs, top_k: int = DEFAULT_TOP_K) -> DataFrame:
@@ -185,7 +155,7 @@ def training_rows(inputs: MusicInputs, top_k: int = DEFAULT_TOP_K) -> DataFrame:
     label.
     """
     songs = clean_song_info_wide(inputs.song_info)
-    training = clean_downloads(inputs.downloads).filter(F.col("td_artist") != "")
+    training = clean_downloads(inputs.downloads, LABEL_COLUMN).filter(F.col("td_artist") != "")
     matched = join_training(songs, training, "inner")
     matched = join_likes(join_play_count(matched, inputs.play_count), inputs.track_likes)
     matched = join_artist_feature(matched, stored_explore_artist_table(inputs, top_k), "inner",

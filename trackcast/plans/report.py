@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions import popularity_ln
 from ..operators.profile import column_profile, correlations, density_2d
+from ..sinks import materialize
 from .features import LABEL_COLUMN
 
 # The sixteen profiled columns, in report order.
@@ -51,10 +52,19 @@ def density_report(matrix: DataFrame, bins: int = 20) -> DataFrame:
 
 
 def downloads_kmeans(matrix: DataFrame, k: int = KMEANS_K, seed: int = KMEANS_SEED) -> DataFrame:
-    """M7: 1-D k-means on downloads; (cluster, center) ordered by center."""
-    rows = report_rows(matrix).select(F.col(LABEL_COLUMN).cast("double").alias("x"))
-    vec = VectorAssembler(inputCols=["x"], outputCol="features").transform(rows)
-    model = KMeans(k=k, seed=seed, featuresCol="features").fit(vec)
-    centers = sorted(float(c[0]) for c in model.clusterCenters())
+    """M7: 1-D k-means on downloads; (cluster, center, n_rows) ordered by center.
+
+    The passes run over the different values with their counts as weights: the
+    same objective as over all rows.
+    """
+    values = report_rows(matrix).select(F.col(LABEL_COLUMN).cast("double").alias("x")).dropna()
+    counted = materialize(values.groupBy("x").agg(F.count(F.lit(1)).cast("double").alias("weight")), "download_counts")
+    points = VectorAssembler(inputCols=["x"], outputCol="features").transform(counted)
+    model = KMeans(k=k, seed=seed, featuresCol="features", weightCol="weight").fit(points)
+    order = sorted(range(len(model.clusterCenters())), key=lambda i: float(model.clusterCenters()[i][0]))
     spark = matrix.sparkSession
-    return spark.createDataFrame([(i, c) for i, c in enumerate(centers)], "cluster int, center double")
+    centers = spark.createDataFrame([(i, n, float(model.clusterCenters()[i][0])) for n, i in enumerate(order)],
+                                    "prediction int, cluster int, center double")
+    sizes = model.transform(points).groupBy("prediction").agg(
+        F.sum("weight").cast("long").alias("n_rows"), (F.sum(F.col("x") * F.col("weight")) / F.sum("weight")).alias("mean"))
+    return sizes.join(F.broadcast(centers), "prediction").select("cluster", "center", "n_rows", "mean")

@@ -12,6 +12,8 @@ import uuid
 
 from pyspark.sql import SparkSession
 
+_given: list[str] = []  # scratch paths handed out by this process
+
 # Settings every trackcast job relies on.  AQE re-plans joins at run time
 # (broadcast only once a side is measured small, split skewed partitions),
 # which is how hot artists are handled without hand-written salting.
@@ -31,8 +33,10 @@ def build_session(
     app_name: str = "trackcast",
     driver_memory: str | None = None,
     extra: dict | None = None,
+    checkpoint_dir: str | None = None,
 ) -> SparkSession:
-    """Local/test session with the settings above (clusters pass their own)."""
+    """Local/test session with the settings above (clusters pass their own);
+    ``checkpoint_dir`` is where written intermediates go."""
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
@@ -40,6 +44,8 @@ def build_session(
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     if driver_memory:
         conf["spark.driver.memory"] = driver_memory
+    if checkpoint_dir:
+        conf["spark.checkpoint.dir"] = checkpoint_dir
     conf.update(extra or {})
     for key, value in conf.items():
         builder = builder.config(key, value)
@@ -68,8 +74,18 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the checkpoint folder for one written table."""
     base = spark.conf.get("spark.checkpoint.dir", None) or ensure_checkpoint_dir(spark)
-    base = base.rstrip("/")
-    return f"{base}/trackcast/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{base.rstrip('/')}/trackcast/{name}-{uuid.uuid4().hex[:12]}"
+    _given.append(path)
+    return path
+
+
+def remove_scratch(spark: SparkSession) -> None:
+    """Delete the tables this process has written under the checkpoint folder; a
+    job calls it at its end, when nothing reads them any more."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    while _given:
+        path = jvm.org.apache.hadoop.fs.Path(_given.pop())
+        path.getFileSystem(conf).delete(path, True)
 
 
-__all__ = ["build_session", "ensure_checkpoint_dir", "scratch_path", "RECOMMENDED_CONF"]
+__all__ = ["build_session", "ensure_checkpoint_dir", "remove_scratch", "scratch_path", "RECOMMENDED_CONF"]

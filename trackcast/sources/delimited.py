@@ -56,18 +56,30 @@ def split_fields(line: Column | str, sep: str) -> Column:
     return F.split(F.regexp_replace(line, f"(?:{sep})+$", ""), sep)
 
 
+def first_line(lines: DataFrame) -> str | None:
+    """The first line of the first non-empty file in name order, of a text read:
+    the least start of a block of that file, read alone."""
+    at = lines.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"))
+    least = at.agg(F.min(F.struct("file", "start")).alias("least")).first()["least"]
+    if least is None:
+        return None
+    row = lines.where((F.col("_metadata.file_path") == least["file"])
+                      & (F.col("_metadata.file_block_start") == least["start"])).first()
+    return row["value"]
+
+
 def read_split_lines(spark: SparkSession, path: str, sep: str,
                      header: bool | str = False, fields: str = "fields") -> DataFrame:
     """One array of text fields per line.
 
-    ``header=True`` removes every line equal to the first line (a header is
-    repeated once per part file of a written directory); pass the header text
-    itself to avoid the one-row look-up.
+    ``header=True`` takes the first line of the first file (by name) that is not
+    empty for the header and removes every line equal to it (it is repeated once
+    per part file of a written directory); pass the header text itself to avoid
+    the look-up.
     """
     lines = spark.read.text(path)
     if header is True:
-        first = lines.first()
-        header = first["value"] if first is not None else None
+        header = first_line(lines)
     if isinstance(header, str):
         lines = lines.filter(F.col("value") != F.lit(header))
     return lines.select(split_fields("value", sep).alias(fields))
@@ -95,9 +107,10 @@ def read_requests(spark: SparkSession, path: str, sep: str = ";") -> DataFrame:
 def read_feature_file(spark: SparkSession, path: str, header: bool = True) -> DataFrame:
     """The lookup-feature CSV (gzip or plain; Spark decompresses by extension).
 
-    Columns are bound by name through the schema; types are restored here.
+    With a header the columns are found by its names, in any order; without one
+    they are taken by position.  Types are restored here.
     """
-    raw = read_delimited(spark, path, text_schema(*FEATURE_COLUMNS), ",", header)
+    raw = read_delimited(spark, path, None if header else text_schema(*FEATURE_COLUMNS), ",", header)
     return raw.select(
         "artist_name", "title",
         F.col("td_confidence").try_cast("int").alias("td_confidence"),
@@ -105,6 +118,16 @@ def read_feature_file(spark: SparkSession, path: str, header: bool = True) -> Da
     )
 
 
+AVERAGE_COLUMNS = ("mean_confidence", "mean_artist_hotness", "mean_song_hotness", "mean_mean_price")
+
+
+def read_averages(spark: SparkSession, path: str) -> DataFrame:
+    """The one-row averages file (K3), its columns found by the header's names."""
+    raw = read_delimited(spark, path, None, ",", header=True)
+    return raw.select(F.col(AVERAGE_COLUMNS[0]).try_cast("double").cast("int").alias(AVERAGE_COLUMNS[0]),
+                      *[F.col(c).try_cast("double").alias(c) for c in AVERAGE_COLUMNS[1:]])
+
+
 def read_feature_index(spark: SparkSession, path: str) -> list[int]:
     """The one-line list of feature positions (a tiny config file)."""
     row = spark.read.text(path).first()

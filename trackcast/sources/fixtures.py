@@ -5,12 +5,9 @@ function returns the *raw* table as the application would read it from its
 delimited file (names as in the original headers, some values still text),
 so the cleaning operators run on it unchanged.
 
-The similar-artist relation of the mapping is "every other supplier of the same
-region", i.e. all pairs inside a region.  It is never materialised for the
-pipelines: :func:`similar_artist_counts` derives the per-artist count from
-region sizes (one small aggregate), which is what the pair table would be
-counted into.  :func:`similar_artist_pairs` exists for small-fixture tests
-that check the two agree.
+Every input takes all lines of its table but for one condition that leaves keys
+missing for the left joins.  Similar artists are the suppliers of neighbouring
+lines of an order, so the pair table is linear in the lines.
 """
 
 from __future__ import annotations
@@ -21,6 +18,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.artist import similar_artist_count
+
 
 class SourceTables:
     """Parquet readers for the base tables of one scale-factor folder.
@@ -77,7 +76,7 @@ def song_info(t: SourceTables) -> DataFrame:
         _key("l_suppkey").alias("artist_id"),
         F.col("s_name").alias("artist_name"),
         F.col("p_name").alias("title"),
-        F.col("s_acctbal").alias("artist_hotttnesss"),
+        F.round(F.col("s_acctbal") * 100).alias("artist_hotttnesss"),  # whole: its sums are exact in any order
         (F.col("s_acctbal") / F.lit(10000)).alias("artist_familiarity"),
         (size * F.lit(-0.5)).alias("loudness"),
         (size * F.lit(3.0)).alias("tempo"),
@@ -96,41 +95,23 @@ def play_count(t: SourceTables) -> DataFrame:
                     "play_count"))
 
 
-def _supplier_regions(t: SourceTables) -> DataFrame:
-    nation = t("nation").select("n_nationkey", "n_regionkey")
-    return (t("supplier").select("s_suppkey", "s_nationkey")
-            .join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
-            .select("s_suppkey", F.col("n_regionkey").alias("region")))
-
-
-def similar_artist_counts(t: SourceTables) -> DataFrame:
-    """(artist_id, similar_artist_count) of the region relation, without pairs."""
-    regions = _supplier_regions(t)
-    sizes = regions.groupBy("region").agg(F.count(F.lit(1)).alias("region_size"))
-    return (regions.filter(F.col("s_suppkey") % 7 != 0)
-            .join(sizes, "region")
-            .select(_key("s_suppkey").alias("artist_id"),
-                    (F.col("region_size") - 1).alias("similar_artist_count"))
-            .filter(F.col("similar_artist_count") > 0))
-
-
-def similar_artist_pairs(t: SourceTables) -> DataFrame:
-    """The pair table itself; quadratic per region, for small fixtures only."""
-    a = _supplier_regions(t).alias("a")
-    b = _supplier_regions(t).alias("b")
-    return (a.join(b, F.col("a.region") == F.col("b.region"))
-            .filter((F.col("a.s_suppkey") != F.col("b.s_suppkey")) & (F.col("a.s_suppkey") % 7 != 0))
-            .select(F.col("a.s_suppkey").cast("string").alias("artist_id"),
-                    F.col("b.s_suppkey").cast("string").alias("similar_artist")))
+def similar_artists(t: SourceTables) -> DataFrame:
+    """The pair table: the supplier of a line and that of the order's next line."""
+    line = t("lineitem").select("l_orderkey", "l_linenumber", "l_suppkey")
+    first = line.filter(F.col("l_suppkey") % 7 != 0)
+    after = line.select("l_orderkey", (F.col("l_linenumber") - 1).alias("l_linenumber"),
+                        _key("l_suppkey").alias("similar_artist"))
+    return first.join(after, ["l_orderkey", "l_linenumber"]).select(
+        _key("l_suppkey").alias("artist_id"), "similar_artist")
 
 
 def artist_terms(t: SourceTables) -> DataFrame:
-    part = t("part").select("p_partkey", "p_brand", "p_type")
-    lines = (t("lineitem").select("l_suppkey", "l_partkey", "l_linenumber", "l_discount", "l_quantity")
-             .filter((F.col("l_linenumber") == 1) & (F.col("l_suppkey") % 11 != 0)))
+    part = t("part").select("p_partkey", "p_brand", "p_type", "p_size")
+    lines = (t("lineitem").select("l_suppkey", "l_partkey", "l_discount", "l_quantity")
+             .filter(F.col("l_suppkey") % 11 != 0))
     return (lines.join(part, F.col("l_partkey") == F.col("p_partkey"))
             .select(_key("l_suppkey").alias("artist_id"),
-                    F.concat(F.col("p_brand"), F.lit(" "), F.col("p_type")).alias("artist_term"),
+                    F.concat_ws(" ", "p_brand", "p_type", _key("p_size")).alias("artist_term"),
                     F.col("l_discount").alias("weight"),
                     F.col("l_quantity").alias("freq")))
 
@@ -145,9 +126,8 @@ def track_likes(t: SourceTables) -> DataFrame:
 
 def downloads(t: SourceTables) -> DataFrame:
     lines = (t("lineitem")
-             .select("l_orderkey", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice",
-                     "l_returnflag", "l_linenumber")
-             .filter((F.col("l_returnflag") == "A") & (F.col("l_linenumber") == 1)))
+             .select("l_orderkey", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_returnflag")
+             .filter(F.col("l_returnflag") == "A"))
     joined = (lines
               .join(t("supplier").select("s_suppkey", "s_name"), F.col("l_suppkey") == F.col("s_suppkey"))
               .join(t("part").select("p_partkey", "p_name"), F.col("l_partkey") == F.col("p_partkey"))
@@ -168,15 +148,16 @@ def downloads(t: SourceTables) -> DataFrame:
 
 
 def requests(t: SourceTables) -> DataFrame:
-    part = t("part").select("p_partkey", "p_name")
-    supplier = t("supplier").select("s_suppkey", "s_name")
-    key = F.col("p_partkey")
-    return (part.join(supplier, supplier.s_suppkey == key % 10)
-            .select(key.alias("request_id"),
-                    F.when(key % 4 < 2, F.col("s_name"))
-                    .otherwise(F.concat(F.lit("nobody "), key.cast("string"))).alias("artist"),
-                    F.when(key % 2 == 0, F.col("p_name"))
-                    .otherwise(F.concat(F.lit("nothing "), key.cast("string"))).alias("title")))
+    """A request per (supplier, part) pair of the lines, over all artists; in turn for
+    an artist and title that exist, one of the two, or neither."""
+    pairs = t("lineitem").select("l_partkey", "l_suppkey").distinct()
+    kind = (F.col("l_partkey") + F.col("l_suppkey")) % 4
+    name = F.concat(_key("l_suppkey"), F.lit("-"), _key("l_partkey"))
+    return (pairs.join(t("part").select("p_partkey", "p_name"), F.col("l_partkey") == F.col("p_partkey"))
+            .join(t("supplier").select("s_suppkey", "s_name"), F.col("l_suppkey") == F.col("s_suppkey"))
+            .select(name.alias("request_id"),
+                    F.when(kind < 2, F.col("s_name")).otherwise(F.concat(F.lit("nobody "), name)).alias("artist"),
+                    F.when(kind % 2 == 0, F.col("p_name")).otherwise(F.concat(F.lit("nothing "), name)).alias("title")))
 
 
 @dataclass
@@ -195,7 +176,7 @@ def music_inputs(t: SourceTables) -> MusicInputs:
     return MusicInputs(
         song_info=song_info(t),
         play_count=play_count(t),
-        similar_counts=similar_artist_counts(t),
+        similar_counts=similar_artist_count(similar_artists(t)),
         artist_terms=artist_terms(t),
         track_likes=track_likes(t),
         downloads=downloads(t),

@@ -1,5 +1,5 @@
 """Streaming form of the request scorer."""
 
-from .scoring import request_stream, score_stream, scoring_tables, start_scoring
+from .scoring import fallback_row, request_stream, score_stream, start_scoring
 
-__all__ = ["request_stream", "score_stream", "scoring_tables", "start_scoring"]
+__all__ = ["request_stream", "score_stream", "fallback_row", "start_scoring"]

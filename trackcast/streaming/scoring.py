@@ -19,10 +19,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from .. import sinks
-from ..operators.lookup import global_values, match_statistics, resolve_with_statistics
+from ..operators.lookup import global_values, resolve_with_statistics
 from ..plans.scoring import score_resolved
-from ..session import scratch_path
 from ..sources.delimited import parse_requests
 
 
@@ -35,30 +33,33 @@ def request_stream(spark: SparkSession, folder: str, sep: str = ";",
     return parse_requests(lines, sep).withColumn("received_at", F.current_timestamp())
 
 
-def scoring_tables(features: DataFrame, averages: DataFrame | None = None) -> tuple[DataFrame, Column]:
-    """Materialise the match statistics once; the fallback row becomes literals
-    (one row of four numbers)."""
-    stats = sinks.materialize(match_statistics(features), "match_statistics")
+def fallback_row(stats: DataFrame, averages: DataFrame | None = None) -> Column:
+    """The global fallback as literals (one row of four numbers)."""
     row = global_values(stats, averages).first()
-    fallback = F.struct(*[F.lit(row[c]).alias(c) for c in row.asDict()])
-    return stats, fallback
+    if row is None:
+        raise ValueError("no fallback: the match statistics come from an empty feature table, "
+                         "and no averages are given")
+    return F.struct(*[F.lit(row[c]).alias(c) for c in row.asDict()])
 
 
 def score_stream(requests: DataFrame, stats: DataFrame, fallback: Column, model) -> DataFrame:
     return score_resolved(resolve_with_statistics(requests, stats, fallback), model)
 
 
-def start_scoring(spark: SparkSession, requests_folder: str, features: DataFrame, model,
-                  out_path: str, checkpoint: str | None = None,
+def start_scoring(spark: SparkSession, requests_folder: str, stats: DataFrame, model,
+                  out_path: str, checkpoint: str,
                   averages: DataFrame | None = None, available_now: bool = False,
                   processing_time: str = "10 seconds",
                   max_files_per_trigger: int | None = None) -> StreamingQuery:
-    stats, fallback = scoring_tables(features, averages)
+    """``stats``: written match statistics; ``checkpoint``: the query's own folder, the
+    same on every start (another one would number its batches from 0 again, and the
+    sink would take new requests for batches that it has)."""
+    fallback = fallback_row(stats, averages)
     requests = request_stream(spark, requests_folder, max_files_per_trigger=max_files_per_trigger)
     scored = score_stream(requests, stats, fallback, model)
     writer = (scored.writeStream.format("parquet").outputMode("append")
               .option("path", out_path)
-              .option("checkpointLocation", checkpoint or scratch_path(spark, "scoring-stream")))
+              .option("checkpointLocation", checkpoint))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(
         processingTime=processing_time)
     return writer.start()
