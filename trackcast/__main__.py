@@ -8,7 +8,7 @@ import json
 from pyspark.sql import SparkSession
 
 from . import jobs
-from .session import RECOMMENDED_CONF, ensure_checkpoint_dir, remove_scratch
+from .session import RECOMMENDED_CONF, ensure_checkpoint_dir, remove_scratch, scratch_mark
 from .sources.delimited import read_feature_index
 from .sources.files import InputPaths
 
@@ -62,6 +62,7 @@ def main(argv=None) -> None:
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     ensure_checkpoint_dir(spark)
+    started = scratch_mark()
 
     if a.job == "features":
         result = jobs.build_features(spark, _inputs(a), a.out, a.top_k)
@@ -83,7 +84,7 @@ def main(argv=None) -> None:
                                           a.max_files_per_trigger)
         query.awaitTermination()
         result = {"scores": a.out}
-    remove_scratch(spark)
+    remove_scratch(spark, started)
     print(json.dumps(result))
 
 

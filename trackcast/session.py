@@ -79,13 +79,18 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return path
 
 
-def remove_scratch(spark: SparkSession) -> None:
-    """Delete the tables this process has written under the checkpoint folder; a
-    job calls it at its end, when nothing reads them any more."""
+def scratch_mark() -> int:
+    """A point in time for :func:`remove_scratch`."""
+    return len(_given)
+
+
+def remove_scratch(spark: SparkSession, since: int) -> None:
+    """Delete the tables this process has written under the checkpoint folder since
+    that mark; a job does so at its end, when nothing reads them any more."""
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    while _given:
+    while len(_given) > since:
         path = jvm.org.apache.hadoop.fs.Path(_given.pop())
         path.getFileSystem(conf).delete(path, True)
 
 
-__all__ = ["build_session", "ensure_checkpoint_dir", "remove_scratch", "scratch_path", "RECOMMENDED_CONF"]
+__all__ = ["build_session", "ensure_checkpoint_dir", "remove_scratch", "scratch_mark", "scratch_path", "RECOMMENDED_CONF"]
