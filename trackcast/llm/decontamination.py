@@ -15,13 +15,13 @@ join prefix:
 
 The benchmark side is broadcast in blocks of at most ``block_words`` item words,
 so that a broadcast and a task's memory have a fixed bound whatever the size of
-the benchmark; every block meets every document in the same map stage.  The
-documents are never shuffled, so a hot source or passage cannot skew a task.
+the benchmark.  One block, the usual case, needs no shuffle of documents at all,
+so a hot source or passage cannot skew a task; with more, every block is a pass
+over the documents, and the passes' hits (narrow rows) are merged by text.
 """
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,12 +30,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .frames import append_columns
+from .frames import append_columns, free_names, stored
 from .text import ALNUM, LOWER, Words, groups, shingles, words_of
 
 WINDOW = 13          # item words in a window
 SHINGLE = 5          # words in a shingle (fewer for windows that are shorter)
-BLOCK_WORDS = 1_000_000  # item words broadcast at once: about 40 MB
+BLOCK_WORDS = 1_000_000  # item words broadcast at once: about 80 MB
 _BITS = 21           # size of the bit filter in front of the exact lookup
 
 
@@ -96,6 +96,10 @@ class Block:
             keys, key = np.unique(used, return_inverse=True)
             self.by_k[int(k)] = (keys, win, off, key)
 
+    def __getstate__(self):
+        """Tasks get the windows, not the shingles of each."""
+        return {k: v for k, v in vars(self).items() if k != "by_k"}
+
     def prefixes(self, counts: dict[int, np.ndarray]) -> dict[int, tuple]:
         """By shingle length: sorted prefix shingles and, grouped by shingle, the
         (window, offset) pairs that they stand for.  Rarest first, then leftmost."""
@@ -127,30 +131,30 @@ def blocks(items: DataFrame, item_id: str, text: str, window: int, shingle: int,
         yield Block(held, window, shingle)
 
 
-def _count_shingles(docs: DataFrame, text: str, parts: list) -> dict[tuple[int, int], np.ndarray]:
-    """Occurrences of every item shingle over all documents, by (block, shingle length)."""
+def _count_shingles(docs: DataFrame, text: str, block: Block) -> dict[int, np.ndarray]:
+    """Occurrences of every item shingle over all documents, by shingle length."""
+    held = docs.sparkSession.sparkContext.broadcast({k: v[0] for k, v in block.by_k.items()})
+
     def run(batches):
-        tables = [(b, k, _Lookup(keys)) for b, part in enumerate(parts) for k, keys in part.value.items()]
-        sums = [np.zeros(len(t.keys), np.int64) for _, _, t in tables]
+        tables = [(k, _Lookup(keys)) for k, keys in held.value.items()]
+        sums = [np.zeros(len(t.keys), np.int64) for _, t in tables]
         for batch in batches:
             for _, _, data, offsets in groups(batch.column(0)):
                 words = _lower_words(data, offsets)
-                hashes, made = words.hashes(), {}
-                for (_, k, lookup), total in zip(tables, sums):
-                    if k not in made:
-                        made[k] = shingles(hashes, words.first, k)[0]
-                    _, at = lookup.find(made[k])
+                hashes = words.hashes()
+                for (k, lookup), total in zip(tables, sums):
+                    _, at = lookup.find(shingles(hashes, words.first, k)[0])
                     total += np.bincount(at, minlength=len(total))
-        for (b, k, _), total in zip(tables, sums):
+        for (k, _), total in zip(tables, sums):
             at = np.flatnonzero(total)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(at), b, np.int32)), pa.array(np.full(len(at), k, np.int32)),
-                 pa.array(at), pa.array(total[at])], names=["block", "k", "key", "n"])
-
-    found = docs.select(text).mapInArrow(run, "block int, k int, key long, n long")
-    out = {(b, k): np.zeros(len(keys), np.int64) for b, part in enumerate(parts) for k, keys in part.value.items()}
-    for r in found.groupBy("block", "k", "key").agg(F.sum("n").alias("n")).toLocalIterator():
-        out[r["block"], r["k"]][r["key"]] = r["n"]
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), k, np.int32)), pa.array(at), pa.array(total[at])],
+                                             names=["k", "key", "n"])
+
+    found = docs.select(text).mapInArrow(run, "k int, key long, n long")
+    out = {k: np.zeros(len(keys), np.int64) for k, keys in held.value.items()}
+    for r in found.groupBy("k", "key").agg(F.sum("n").alias("n")).toLocalIterator():
+        out[r["k"]][r["key"]] = r["n"]
+    held.unpersist()
     return out
 
 
@@ -194,41 +198,89 @@ def contamination(docs: DataFrame, items: DataFrame, text: str = "text", item_id
     no window; repeated items (equal id and text) count once, a null id is called
     ``null``.  An empty benchmark gives no hits.  Every document is kept.
     """
-    sc = docs.sparkSession.sparkContext
-    held, keys = [], []
+    keep = docs.columns if keep is None else keep
+    found, last = [], None
     for block in blocks(items, item_id, item_text, window, shingle, block_words):
-        held.append(sc.broadcast(block))
-        keys.append(sc.broadcast({k: v[0] for k, v in block.by_k.items()}))
-    counts = _count_shingles(docs, text, keys) if held else {}
-    prefix = [sc.broadcast(h.value.prefixes({k: counts[b, k] for k in h.value.by_k})) for b, h in enumerate(held)]
+        if last is not None:  # more than one: the hits of each are a table
+            rows, names = _with_hits(docs.select(text), text, last, [text])
+            found.append(stored(rows.where(F.size(names[1]) > 0).select(
+                _text_key(text).alias("k"), F.col(names[1]).alias("spans"), F.col(names[2]).alias("items")).distinct(), "item-hits"))
+            last[0].unpersist()
+            last[1].unpersist()
+        last = _prepared(docs, text, block)
+    out, (n_words, spans, ids) = _with_hits(docs, text, last, [*keep, text] if found and text not in keep else keep)
+    if found:
+        k, more, other = free_names(out.columns, ["k", "more", "other"])
+        hits = found[0]
+        for f in found[1:]:
+            hits = hits.unionByName(f)
+        hits = stored(hits.groupBy("k").agg(F.flatten(F.collect_list("spans")).alias("spans"), F.flatten(F.collect_list("items")).alias("items")), "item-hits")
+        out = out.withColumn(k, _text_key(text)).join(
+            hits.select(F.col("k").alias(k), F.col("spans").alias(more), F.col("items").alias(other)), k, "left")
+        none = F.array().cast("array<int>"), F.array().cast("array<string>")
+        out = out.withColumns({spans: F.concat(spans, F.coalesce(more, none[0])), ids: F.concat(ids, F.coalesce(other, none[1]))})
+    n_hit, names = free_names([*keep, n_words, spans, ids], ["n_hit"])[0], free_names(keep, ["n_words", "n_hit", "items"])
+    out = out.withColumn(n_hit, _covered(F.col(spans)))
+    return out.select(*keep, F.col(n_words).alias(names[0]), F.col(n_hit).alias(names[1]),
+                      F.array_sort(F.array_distinct(ids)).alias(names[2])), names
+
+
+def _text_key(text: str):
+    return F.struct(F.xxhash64(text).alias("a"), F.xxhash64(F.lit("+"), text).alias("b"))
+
+
+def _covered(spans):
+    """Words inside any of the spans [start, end, start, end, ...]: every span counts
+    what lies behind the furthest end before it."""
+    pairs = F.array_sort(F.transform(F.sequence(F.lit(0), F.floor(F.size(spans) / 2 - 1).cast("int")), lambda i: F.struct(
+        spans[(i * 2).cast("int")].alias("s"), spans[(i * 2 + 1).cast("int")].alias("e"))))
+    start = F.struct(F.lit(0).alias("n"), F.lit(0).alias("end"))
+    total = F.aggregate(pairs, start, lambda acc, p: F.struct(
+        (acc["n"] + F.greatest(F.lit(0), p["e"] - F.greatest(p["s"], acc["end"]))).alias("n"),
+        F.greatest(acc["end"], p["e"]).alias("end")), lambda acc: acc["n"])
+    return F.when(F.size(spans) > 0, total).otherwise(0).cast("long")
+
+
+def _prepared(docs: DataFrame, text: str, block: Block) -> tuple:
+    """Broadcasts of a block's windows and of their prefixes."""
+    sc = docs.sparkSession.sparkContext
+    return sc.broadcast(block), sc.broadcast(block.prefixes(_count_shingles(docs, text, block)))
+
 
+def _with_hits(docs: DataFrame, text: str, block: tuple | None, keep: list[str]) -> tuple[DataFrame, list[str]]:
+    """``docs`` with n_words, spans (merged, flat) of the words hit by the block's windows, and their items."""
     def factory():
-        lookups = [{k: (_Lookup(p[0]), *p[1:]) for k, p in x.value.items()} for x in prefix]
+        held = None if block is None else block[0].value
+        lookups = {} if block is None else {k: (_Lookup(p[0]), *p[1:]) for k, p in block[1].value.items()}
 
         def work(column):
-            n_words, n_hit = np.zeros(len(column), np.int64), np.zeros(len(column), np.int64)
+            n_words = np.zeros(len(column), np.int64)
+            spans: list[list[int]] = [[]] * len(column)
             found: list[list[str]] = [[]] * len(column)
             for at, end, data, offsets in groups(column):
                 words = _lower_words(data, offsets)
                 n_words[at:end] = words.counts
-                hashes, made, edge, items_of = words.hashes(), {}, None, {}
-                for block, lookup in zip(held, lookups):
-                    for s, w in _matches(words, hashes, made, block.value, lookup):
-                        if edge is None:
-                            edge = np.zeros(len(hashes) + 1, np.int64)
-                        edge[s] += 1
-                        edge[s + int(block.value.length[w])] -= 1
-                        items_of.setdefault(int(words.text[s]), set()).add(block.value.ids[block.value.owner[w]])
-                if edge is not None:
-                    inside = np.cumsum(edge[:-1]) > 0
-                    n_hit[at:end] = np.bincount(words.text[inside], minlength=end - at)
-                    for i, ids in items_of.items():
-                        found[at + i] = sorted(ids)
-            return [pa.array(n_words), pa.array(n_hit), pa.array(found, pa.list_(pa.string()))]
+                if not lookups:
+                    continue
+                edge, items_of = None, {}
+                for s, w in _matches(words, words.hashes(), {}, held, lookups):
+                    if edge is None:
+                        edge = np.zeros(len(words.starts) + 1, np.int64)
+                    edge[s] += 1
+                    edge[s + int(held.length[w])] -= 1
+                    items_of.setdefault(int(words.text[s]), set()).add(held.ids[held.owner[w]])
+                if edge is None:
+                    continue
+                inside = np.cumsum(edge[:-1]) > 0
+                for i, ids in items_of.items():
+                    mine = np.diff(np.concatenate([[0], inside[words.first[i]:words.first[i + 1]].astype(np.int8), [0]]))
+                    spans[at + i] = np.flatnonzero(mine).astype(np.int32)  # start, end, start, end, ...
+                    found[at + i] = sorted(ids)
+            return [pa.array(n_words), pa.array(spans, pa.list_(pa.int32())), pa.array(found, pa.list_(pa.string()))]
 
         return work
 
-    return append_columns(docs, text, [("n_words", T.LongType()), ("n_hit", T.LongType()),
+    return append_columns(docs, text, [("n_words", T.LongType()), ("spans", T.ArrayType(T.IntegerType())),
                                        ("items", T.ArrayType(T.StringType()))], factory, keep)
 
 
