@@ -20,6 +20,12 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def bounded(df: DataFrame, rows: int = 100_000) -> DataFrame:
+    """A stored table to join with: broadcast if it has that many narrow rows at
+    most, else left to a shuffle join."""
+    return F.broadcast(df) if df.count() <= rows else df
+
+
 def free_names(taken: Iterable[str], wanted: Iterable[str]) -> list[str]:
     """``wanted``, each with underscores appended until no column in ``taken`` has that name."""
     used, out = {x.lower() for x in taken}, []
