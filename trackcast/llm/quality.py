@@ -87,9 +87,12 @@ def fit(rows: np.ndarray, features: np.ndarray, counts: np.ndarray, grade: np.nd
     if levels < 2 or len(np.unique(grade)) < 2:  # nothing to tell apart: all is of the one grade seen
         seen = int(grade[0]) if n else 0
         return Model(weight, np.where(np.arange(max(SELECT, levels - 1)) < seen, -4.0, 4.0))
-    used, column = np.unique(features, return_inverse=True)
+    used = np.flatnonzero(np.bincount(features, minlength=1 << BITS))
+    place = np.zeros(1 << BITS, np.int32)
+    place[used] = np.arange(len(used))
+    column = place[features]
     size = np.bincount(rows, counts, minlength=n)
-    x = counts / np.sqrt(size[rows])
+    x = (counts / np.sqrt(size)[rows]).astype(np.float32)
     k = levels - 1
     w, cut = np.zeros(len(used)), np.linspace(-2, -1, k) if k > 1 else np.array([-1.0])
     seen = np.bincount(grade, minlength=levels)
@@ -128,12 +131,13 @@ def train(docs: DataFrame, ratings: DataFrame, grade: Column, per_grade: int = P
     """Fit on ``ratings`` (doc_id and what ``grade`` takes); of several grades of a document the lowest counts."""
     sample = labelled(docs, ratings, grade, per_grade, doc_id, text)
     rows, _ = append_columns(sample, "text", [("f", T.BinaryType()), ("n", T.BinaryType())], lambda: _sparse, keep=["grade"])
-    got = sorted(((r["grade"], bytes(r["f"]), bytes(r["n"])) for r in rows.limit(8 * per_grade).collect()))
-    arrays = [(np.frombuffer(f, np.int32), np.frombuffer(n, np.int32)) for _, f, n in got]
-    empty = [np.zeros(0, np.int64)]
-    return fit(np.repeat(np.arange(len(got)), [len(f) for f, _ in arrays]),
-               np.concatenate([f for f, _ in arrays] or empty).astype(np.int64),
-               np.concatenate([n for _, n in arrays] or empty).astype(float), np.array([g for g, _, _ in got], dtype=int))
+    got = sorted((r["grade"], bytes(r["f"]), bytes(r["n"])) for r in rows.limit(8 * per_grade).toLocalIterator())
+    grade_seen = np.array([g for g, _, _ in got], dtype=int)
+    size = np.array([len(f) // 4 for _, f, _ in got], dtype=int)
+    feature = np.frombuffer(b"".join(f for _, f, _ in got), np.int32)
+    count = np.frombuffer(b"".join(n for _, _, n in got), np.int32).astype(np.float32)
+    del got
+    return fit(np.repeat(np.arange(len(size), dtype=np.int32), size), feature, count, grade_seen)
 
 
 def classify(docs: DataFrame, model: Model, text: str = "text", select: int = SELECT, keep_at: float = KEEP_AT,
