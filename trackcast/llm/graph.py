@@ -14,18 +14,24 @@ from .frames import stored
 
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
-    """One step over (u, v), u > v.  Large: every neighbour above u goes to u's
+    """One step over stored (u, v), u > v.  Large: every neighbour above u goes to u's
     least neighbour (or u); small: u and its lesser neighbours go to the least of them."""
-    both = edges if not large else edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    both = stored(both, "star-edges") if large else both
-    least = stored(both.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("c"), F.least("m", "c").alias("m")), "star-least")
+    both = edges.union(edges.select("v", "u")) if large else edges
+    least = stored(both.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("c"), F.least("m", "u").alias("m")), "star-least")
     met = both.join(least, F.col("u") == F.col("c"))
     if large:
         out = met.where(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v"))
     else:
         out = met.where(F.col("v") != F.col("m")).select(F.col("v").alias("u"), F.col("m").alias("v")).union(
             least.select(F.col("c").alias("u"), F.col("m").alias("v")))
-    return out.where(F.col("u") != F.col("v")).distinct()
+    return stored(out.where(F.col("u") != F.col("v")).distinct(), "star")
+
+
+def _settled(edges: DataFrame) -> bool:
+    """Every node hangs on one root, and no root hangs on another."""
+    ends = edges.select(F.col("u").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")).union(
+        edges.select("v", F.lit(0), F.lit(1)))
+    return ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down")).where("up > 1 or (up > 0 and down > 0)").isEmpty()
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -37,13 +43,7 @@ def components(edges: DataFrame) -> DataFrame:
     a, b = (F.col(f"`{c}`") for c in edges.columns)
     now = stored(edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v"))
                  .where(a.isNotNull() & b.isNotNull() & (a != b)).distinct(), "star-0")
-    while not now.isEmpty():
-        step = stored(_star(stored(_star(now, True), "star-large"), False), "star-small")
-        # settled: every node hangs on one root, and no root hangs on another
-        if step.join(step.select(F.col("u").alias("v")).distinct(), "v", "left_semi").isEmpty():
-            if step.groupBy("u").agg(F.count("*").alias("n")).where("n > 1").isEmpty():
-                now = step
-                break
-        now = step
+    while not _settled(now):
+        now = _star(_star(now, True), False)
     roots = now.select(F.col("u").alias("node"), F.col("v").alias("root"))
     return stored(roots.union(roots.select("root", "root").distinct()), "components")

@@ -7,10 +7,12 @@ its own hash and keeps them in text order, so that equal sketches point to
 shared content in the same order (edit similarity), not just to a shared set.
 
 1. Equal texts are one node (a digest); only narrow rows are shuffled for that.
-2. Texts with an equal sketch meet in a bucket.  A bucket links each member to
+2. Texts with an equal sketch meet in a bucket.  A bucket pairs each member with
    one centre, so it makes as many candidate pairs as it has members, never all
-   pairs; further rounds pair the components that a bucket still holds, with
-   other centres, until a round adds no link.
+   pairs.  Texts of different groups may meet there too and hide a centre from
+   its like, so further rounds take the narrower buckets of two neighbouring
+   sketches and pair the components that one still holds with up to ``CENTRES``
+   others of them, until a round adds no link.
 3. A candidate pair is a link if the word edit similarity,
    ``1 - distance / words of the longer text``, is 0.8 or more; the alignment
    walks diagonals inside the band that this threshold leaves.
@@ -22,19 +24,22 @@ stored tables, where Spark splits skewed partitions.
 
 from __future__ import annotations
 
+from bisect import bisect_left
+
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .frames import append_columns, free_names, stored
+from .frames import append_columns, bounded, free_names, stored
 from .graph import components
 from .text import LOWER, NOT_SPACE, groups, mix, shingles, words_of
 
 KMER = 5
 SKETCHES = 24
 SIMILARITY = 0.8
+CENTRES = 2          # of a bucket in a round after the first
 SEED = 5
 
 
@@ -85,11 +90,46 @@ def order_sketches(words, k: int = KMER, sketches: int = SKETCHES, seed: int = S
     return texts, out
 
 
-def edit_distance(a: np.ndarray, b: np.ndarray, most: int) -> int | None:
+def _anchored(a: np.ndarray, b: np.ndarray, va, ca, ia, vb, cb, ib) -> int:
+    """An upper bound of the distance: words that stand once in either text and in
+    the same order are kept; stretches between them are compared word by word if
+    equally long, else replaced."""
+    once = (ca[ia] == 1) & (cb[ib] == 1)
+    at_a, at_b = np.argsort(a, kind="stable"), np.argsort(b, kind="stable")
+    x = at_a[(np.cumsum(ca) - ca)[ia[once]]]
+    y = at_b[(np.cumsum(cb) - cb)[ib[once]]]
+    order = np.argsort(x)
+    x, y = x[order], y[order].tolist()
+    tails, where, back = [], [], []  # longest increasing run of y
+    for i, v in enumerate(y):
+        k = bisect_left(tails, v)
+        back.append(where[k - 1] if k else -1)
+        if k == len(tails):
+            tails.append(v)
+            where.append(i)
+        else:
+            tails[k], where[k] = v, i
+    chain, i = [], where[-1] if where else -1
+    while i >= 0:
+        chain.append(i)
+        i = back[i]
+    chain = np.array(chain[::-1], dtype=np.int64)
+    px = np.concatenate([[-1], x[chain], [len(a)]])
+    py = np.concatenate([[-1], np.array(y, dtype=np.int64)[chain], [len(b)]])
+    gap_a, gap_b = np.diff(px) - 1, np.diff(py) - 1
+    level = gap_a == gap_b
+    n = gap_a[level]
+    at = np.repeat(px[:-1][level] + 1, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+    shift = np.repeat((py - px)[:-1][level], n)
+    return int(np.maximum(gap_a, gap_b)[~level].sum()) + int((a[at] != b[at + shift]).sum())
+
+
+def edit_distance(a: np.ndarray, b: np.ndarray, most: int, exact: bool = True) -> int | None:
     """Word edit distance if it is ``most`` or less, else None.
 
     Walks the furthest points per diagonal for 0, 1, 2, ... edits, only on the
-    diagonals from which the end can still be reached.
+    diagonals from which the end can still be reached.  Without ``exact`` the
+    number may be too high (but not above ``most``): whether it is None stays right.
     """
     if len(a) > len(b):
         a, b = b, a
@@ -110,6 +150,8 @@ def edit_distance(a: np.ndarray, b: np.ndarray, most: int) -> int | None:
     _, ia, ib = np.intersect1d(va, vb, assume_unique=True, return_indices=True)
     if m - int(np.minimum(ca[ia], cb[ib]).sum()) > most:
         return None
+    if exact is False and _anchored(a, b, va, ca, ia, vb, cb, ib) <= most:
+        return most
     one, two, stops = a.tolist(), b.tolist(), {}
 
     def slide(d: int, i: int) -> int:
@@ -147,7 +189,7 @@ def edit_distance(a: np.ndarray, b: np.ndarray, most: int) -> int | None:
 def similar(a: np.ndarray, b: np.ndarray, threshold: float = SIMILARITY) -> bool:
     longer = max(len(a), len(b))
     most = int((1 - threshold) * longer + 1e-9)
-    return longer == 0 or edit_distance(a, b, most) is not None
+    return longer == 0 or edit_distance(a, b, most, exact=False) is not None
 
 
 def _word_lists(column: pa.Array) -> list[np.ndarray]:
@@ -169,53 +211,83 @@ def verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
             for at in range(0, len(batch), 64):  # word lists of few texts at a time
                 part = batch.slice(at, 64)
                 one, two = _word_lists(part.column(2)), _word_lists(part.column(3))
-                keep = pa.array([similar(x, y, threshold) for x, y in zip(one, two)])
+                keep = pa.array([similar(x, y, threshold) for x, y in zip(one, two)], pa.bool_())
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1)], names=["a", "b"]).filter(keep)
 
-    return stored(both.mapInArrow(run, "a string, b string").distinct(), "near-links")
+    return stored(both.mapInArrow(run, "a binary, b binary").distinct(), "near-links")
 
 
-def links(nodes: DataFrame, docs: DataFrame, threshold: float) -> DataFrame:
-    """Verified links between different texts; ``nodes`` (node, doc, sketch), ``docs`` (doc, node, text)."""
-    members = stored(nodes.select("node", F.explode("sketch").alias("bucket")), "near-members")
+def _met(members: DataFrame) -> DataFrame:
+    """The members (node, bucket) of buckets with more than one, and the bucket's centre."""
+    members = stored(members, "near-members")
     buckets = stored(members.groupBy("bucket").agg(F.count("*").alias("n"), F.min("node").alias("centre"))
                      .where("n > 1").drop("n"), "near-buckets")
-    members = stored(members.join(buckets, "bucket"), "near-met")
-    met = members.select("node").distinct()
-    chosen = nodes.join(met, "node", "left_semi").select("node", F.col("doc").alias("first_doc"))
-    texts = stored(docs.join(chosen, (docs["node"] == chosen["node"]) & docs["doc"].eqNullSafe(chosen["first_doc"]))
-                   .select(docs["node"], "text").dropDuplicates(["node"]), "near-texts")
+    return stored(members.join(buckets, "bucket"), "near-met")
+
+
+def linked(nodes: DataFrame, docs: DataFrame, threshold: float, centres: int = CENTRES) -> DataFrame:
+    """(node, root): the components of the verified links between different texts;
+    ``nodes`` (node, doc, sketch), ``docs`` (doc, node, text)."""
+    members = nodes.select("node", F.explode("sketch").alias("bucket"))
+    members = _met(members)
     pairs = stored(members.where("node != centre").select(F.col("centre").alias("a"), F.col("node").alias("b")).distinct(), "near-pairs")
+    met = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+    chosen = nodes.join(met, "node", "left_semi").select("node", F.col("doc").alias("first_doc"))
+    # one text a node; the join goes by node alone, so that what follows needs no other shuffle
+    texts = stored(docs.join(chosen, "node").where(F.coalesce(F.try_subtract("doc", "first_doc"), F.lit(0)) == 0)
+                   .select("node", "text").dropDuplicates(["node"]), "near-texts")
     tested, found, rounds = pairs, verified(pairs, texts, threshold), 0
+    label = components(found)
+    # the members that met, by two neighbouring sketches
+    two = F.transform(F.sequence(F.lit(0), F.size("sketch") - 1), lambda i: F.xxhash64(
+        F.element_at("sketch", i + 1), F.element_at("sketch", (i + 1) % F.size("sketch") + 1)))
+    members = _met(nodes.join(met, "node", "left_semi").select("node", F.explode(F.array_distinct(two)).alias("bucket"))).drop("centre")
     while True:
         rounds += 1
-        label = components(found)
-        held = (members.select("bucket", "node").join(label, "node", "left")
-                .withColumn("root", F.coalesce("root", "node"))
-                .groupBy("bucket", "root").agg(F.min(F.struct(F.xxhash64("node", "bucket", F.lit(rounds)).alias("h"), "node")).alias("m")))
-        held = stored(held, "near-held")
-        centres = stored(held.groupBy("bucket").agg(F.min("m").alias("c"), F.count("*").alias("n")).where("n > 1").drop("n"), "near-centres")
-        more = (held.join(centres, "bucket").where(F.col("m") != F.col("c"))
-                .select(F.least("m.node", "c.node").alias("a"), F.greatest("m.node", "c.node").alias("b")).distinct())
+        held = stored(members.select("bucket", "node").join(label, "node", "left").withColumn("root", F.coalesce("root", "node"))
+                      .groupBy("bucket", "root").agg(F.min(F.struct(F.xxhash64("node", "bucket", F.lit(rounds)).alias("h"), "node")).alias("m"))
+                      .select("bucket", "root", F.col("m.node").alias("node")), "near-held")
+        draws = [F.min(F.struct(F.xxhash64("root", "bucket", F.lit(rounds), F.lit(k)).alias("h"), "root", "node")).alias(f"c{k}") for k in range(centres)]
+        chosen = stored(held.groupBy("bucket").agg(F.count("*").alias("n"), *draws).where("n > 1")
+                        .select("bucket", F.explode(F.array_distinct(F.array(*[
+                            F.struct(F.col(f"c{k}.root").alias("root"), F.col(f"c{k}.node").alias("node")) for k in range(centres)]))).alias("c")), "near-centres")
+        more = (held.join(chosen, "bucket").where(F.col("root") != F.col("c.root"))
+                .select(F.least("node", "c.node").alias("a"), F.greatest("node", "c.node").alias("b")).distinct())
         more = stored(more.join(tested, ["a", "b"], "left_anti"), "near-pairs")
         if more.isEmpty():
-            return found
-        new = verified(more, texts, threshold)
+            return label
+        ends = stored(more.select(F.col("a").alias("node")).union(more.select("b")).distinct(), "near-ends")
+        new = verified(more, stored(texts.join(bounded(ends), "node", "left_semi"), "near-texts"), threshold)
         if new.isEmpty():
-            return found
-        tested, found = tested.union(more), found.union(new)
+            return label
+        label = merged(label, new)
+        tested = tested.union(more)
+
+
+def merged(label: DataFrame, more: DataFrame) -> DataFrame:
+    """``label`` (node, root) after further links: only the roots they join are worked on."""
+    ends = [label.select(F.col("node").alias(e), F.col("root").alias(f"root_{e}")) for e in ("a", "b")]
+    roots = more.join(ends[0], "a", "left").join(ends[1], "b", "left").select(
+        F.coalesce("root_a", "a").alias("a"), F.coalesce("root_b", "b").alias("b"))
+    moved = components(roots).select(F.col("node").alias("old"), F.col("root").alias("new"))
+    known = label.select("node", "root").union(moved.select("old", "old")).distinct()
+    return stored(known.join(moved, F.col("root") == F.col("old"), "left").select("node", F.coalesce("new", "root").alias("root")), "near-label")
+
+
+def _node(text: str) -> Column:
+    return F.unhex(F.md5(text))
 
 
 def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", k: int = KMER,
             sketches: int = SKETCHES, threshold: float = SIMILARITY) -> DataFrame:
-    """(node, class_id): the class of every different text; node is the text's md5,
-    class_id the least doc_id of the class.
+    """(node, root, class_id): the class of every different text; node is the text's
+    md5, root the least node of the class, class_id its least doc_id.
 
     Texts without words have no k-mers and are alike only if equal.  A null text
     is no node.  Repeated rows and equal texts share a node; null doc_ids count
     as the largest.  An empty table gives no rows.
     """
-    narrow = docs.select(F.col(doc_id).alias("doc"), F.md5(text).alias("node"), F.col(text).alias("text")).where("text is not null")
+    narrow = docs.select(F.col(doc_id).alias("doc"), _node(text).alias("node"), F.col(text).alias("text")).where("text is not null")
 
     def factory():
         def work(column):
@@ -223,24 +295,24 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", k: int
             for at, end, data, offsets in groups(column):
                 texts, made = order_sketches(words_of(LOWER[data], offsets, NOT_SPACE), k, sketches)
                 for t, row in zip(texts, made.view(np.int64)):
-                    rows[at + t] = np.unique(row)
+                    rows[at + t] = row
             return [pa.array(rows, pa.list_(pa.int64()))]
         return work
 
     sketched, _ = append_columns(narrow, "text", [("sketch", T.ArrayType(T.LongType()))], factory, keep=["doc", "node"])
     nodes = stored(sketched.groupBy("node").agg(F.min("doc").alias("doc"), F.first("sketch").alias("sketch")), "near-nodes")
-    label = components(links(nodes, narrow, threshold))
+    label = linked(nodes, narrow, threshold)
     root = nodes.select("node", "doc").join(label, "node", "left").withColumn("root", F.coalesce("root", "node"))
     root = stored(root, "near-roots")
     least = stored(root.groupBy("root").agg(F.min("doc").alias("class_id")), "near-least")
-    return stored(root.join(least, "root").select("node", "class_id"), "near-classes")
+    return stored(root.join(least, "root").select("node", "root", "class_id"), "near-classes")
 
 
 def label_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """One row per document: doc_id, class_id, kept (it is the one of its class that stays).
     A document with a null text is a class of its own."""
     label = classes(docs, doc_id, text, **options)
-    rows = docs.select(F.col(doc_id).alias("doc_id"), F.md5(text).alias("node"))
+    rows = docs.select(F.col(doc_id).alias("doc_id"), _node(text).alias("node"))
     joined = rows.join(label, "node", "left").withColumn("class_id", F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("class_id")))
     return joined.select("doc_id", "class_id", F.col("doc_id").eqNullSafe(F.col("class_id")).alias("kept"))
 
@@ -249,16 +321,17 @@ def deduplicate(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **o
     """One document of every class, with its columns: the one with the least
     doc_id (of rows that share it, any one; all null texts stay)."""
     label = classes(docs, doc_id, text, **options)
-    node, class_id = free_names(docs.columns, ["node", "class_id"])
-    rows = docs.withColumn(node, F.md5(text))
-    kept = rows.join(label.select(F.col("node").alias(node), F.col("class_id").alias(class_id)), node, "left").where(
+    node, root, class_id = free_names(docs.columns, ["node", "root", "class_id"])
+    rows = docs.withColumn(node, _node(text))
+    kept = rows.join(label.select(F.col("node").alias(node), F.col("root").alias(root), F.col("class_id").alias(class_id)), node, "left").where(
         F.col(node).isNull() | F.col(doc_id).eqNullSafe(F.col(class_id)))
     # rows that share the least doc_id of their class: of these one stays
-    repeated = docs.where(F.col(text).isNotNull()).groupBy(F.col(doc_id).alias(class_id)).agg(F.count("*").alias("n")).where("n > 1")
+    again = free_names([*docs.columns, node, root, class_id], ["again"])[0]
+    repeated = docs.where(F.col(text).isNotNull()).groupBy(F.col(doc_id).alias(again)).agg(F.count("*").alias("n")).where("n > 1")
     if repeated.isEmpty():
         return kept.select(*docs.columns)
-    repeated = stored(repeated.select(class_id), "near-repeated")
-    same = F.col(class_id).eqNullSafe(repeated[class_id])
-    once = kept.where(F.col(node).isNull()).unionByName(kept.where(F.col(node).isNotNull()).join(repeated, same, "left_anti"))
-    again = kept.where(F.col(node).isNotNull()).join(repeated, same, "left_semi").dropDuplicates([class_id])
-    return once.unionByName(again).select(*docs.columns)
+    repeated = stored(repeated.select(again), "near-repeated")
+    same, some = F.col(class_id).eqNullSafe(F.col(again)), kept.where(F.col(node).isNotNull())
+    out = kept.where(F.col(node).isNull()).unionByName(some.join(repeated, same, "left_anti")).unionByName(
+        some.join(repeated, same, "left_semi").dropDuplicates([root]))
+    return out.select(*docs.columns)
