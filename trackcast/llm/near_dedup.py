@@ -39,7 +39,7 @@ from .text import LOWER, NOT_SPACE, groups, mix, shingles, words_of
 KMER = 5
 SKETCHES = 24
 SIMILARITY = 0.8
-CENTRES = 2          # of a bucket in a round after the first
+CENTRES = 6          # of a bucket in a round after the first
 SEED = 5
 
 
@@ -247,10 +247,13 @@ def linked(nodes: DataFrame, docs: DataFrame, threshold: float, centres: int = C
         held = stored(members.select("bucket", "node").join(label, "node", "left").withColumn("root", F.coalesce("root", "node"))
                       .groupBy("bucket", "root").agg(F.min(F.struct(F.xxhash64("node", "bucket", F.lit(rounds)).alias("h"), "node")).alias("m"))
                       .select("bucket", "root", F.col("m.node").alias("node")), "near-held")
+        if rounds == 1:  # a bucket with one component has nothing more to tell
+            several = stored(held.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").drop("n"), "near-several")
+            members, held = (stored(x.join(bounded(several), "bucket", "left_semi"), "near-open") for x in (members, held))
         draws = [F.min(F.struct(F.xxhash64("root", "bucket", F.lit(rounds), F.lit(k)).alias("h"), "root", "node")).alias(f"c{k}") for k in range(centres)]
-        chosen = stored(held.groupBy("bucket").agg(F.count("*").alias("n"), *draws).where("n > 1")
+        chosen = (held.groupBy("bucket").agg(F.count("*").alias("n"), *draws).where("n > 1")
                         .select("bucket", F.explode(F.array_distinct(F.array(*[
-                            F.struct(F.col(f"c{k}.root").alias("root"), F.col(f"c{k}.node").alias("node")) for k in range(centres)]))).alias("c")), "near-centres")
+                            F.struct(F.col(f"c{k}.root").alias("root"), F.col(f"c{k}.node").alias("node")) for k in range(centres)]))).alias("c")))
         more = (held.join(chosen, "bucket").where(F.col("root") != F.col("c.root"))
                 .select(F.least("node", "c.node").alias("a"), F.greatest("node", "c.node").alias("b")).distinct())
         more = stored(more.join(tested, ["a", "b"], "left_anti"), "near-pairs")
