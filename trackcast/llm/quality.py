@@ -32,6 +32,7 @@ RATE = 0.3
 RIDGE = 1e-4
 SELECT = 2          # the least grade that is selected ...
 KEEP_AT = 0.5       # ... at this probability or more
+_PART = 1 << 19     # entries of the sparse sample that are worked on together
 
 _PUNCT, _UPPER = np.zeros(256, dtype=bool), np.zeros(256, dtype=bool)
 _PUNCT[[*range(0x21, 0x30), *range(0x3A, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x7F)]] = True
@@ -92,7 +93,9 @@ def fit(rows: np.ndarray, features: np.ndarray, counts: np.ndarray, grade: np.nd
     place[used] = np.arange(len(used))
     column = place[features]
     size = np.bincount(rows, counts, minlength=n)
-    x = (counts / np.sqrt(size)[rows]).astype(np.float32)
+    x = counts / np.sqrt(size, dtype=np.float32)[rows]
+    ends = np.append(np.arange(0, len(rows), _PART), len(rows))
+    parts = list(zip(ends[:-1], ends[1:]))  # bounds the temporary arrays
     k = levels - 1
     w, cut = np.zeros(len(used)), np.linspace(-2, -1, k) if k > 1 else np.array([-1.0])
     seen = np.bincount(grade, minlength=levels)
@@ -101,13 +104,18 @@ def fit(rows: np.ndarray, features: np.ndarray, counts: np.ndarray, grade: np.nd
     one = np.eye(levels + 1)
     above, below = one[grade][:, :levels], one[grade + 1][:, :levels]  # cumulative probabilities on either side of the grade
     for t in range(1, steps + 1):
-        score = np.bincount(rows, x * w[column], minlength=n)
+        score = np.zeros(n)
+        for a, b in parts:
+            score += np.bincount(rows[a:b], x[a:b] * w[column[a:b]], minlength=n)
         tail = 1 / (1 + np.exp(-np.clip(score[:, None] - cut[None], -30, 30)))
         slope = np.hstack([np.zeros((n, 1)), tail * (1 - tail)])          # of P(grade >= j), j = 0 .. k
         tail = np.hstack([np.ones((n, 1)), tail])
         p = np.maximum((tail * above).sum(axis=1) - (tail * below).sum(axis=1), 1e-9)
         pull = (slope * (above - below)) * (share / p)[:, None]             # d log p / d score, by threshold
-        g = np.concatenate([-np.bincount(column, x * pull.sum(axis=1)[rows], minlength=len(used)) + ridge * w, pull[:, 1:].sum(axis=0)])
+        gw, total = ridge * w, pull.sum(axis=1)
+        for a, b in parts:
+            gw -= np.bincount(column[a:b], x[a:b] * total[rows[a:b]], minlength=len(used))
+        g = np.concatenate([gw, pull[:, 1:].sum(axis=0)])
         m, v = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g
         step = rate * np.sqrt(1 - 0.99 ** t) / (1 - 0.9 ** t) * m / (np.sqrt(v) + 1e-8)
         w, cut = w - step[:len(used)], np.sort(cut - step[len(used):])
