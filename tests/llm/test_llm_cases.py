@@ -164,6 +164,67 @@ def test_near_duplicates_groups(spark, odd):
     assert near_dedup.deduplicate(odd.limit(0)).count() == near_dedup.label_documents(odd.limit(0)).count() == 0
 
 
+def sketched(texts):
+    column = pa.array(texts)
+    (_, _, data, offsets), = scan.groups(column, 1 << 26)
+    words = scan.words_of(data, offsets, scan.NOT_SPACE)
+    return near_dedup.order_sketches(words)[1], np.split(words.hashes(), words.first[1:-1])
+
+
+def edited(words, edits, rng):
+    out = list(words)
+    for at in rng.sample(range(len(out)), edits):  # scattered over the whole text
+        out[at] = f"z{rng.randrange(10 ** 6)}"
+    return out
+
+
+def around_a_passage(texts, planted, seed):
+    """Texts of 200 words, 120 of them one passage of all; the first ``planted`` have a partner at 0.8 to 0.82."""
+    rng = random.Random(seed)
+    passage = [f"p{i}" for i in range(120)]
+    out = []
+    for _ in range(texts):
+        own = [f"o{rng.randrange(10 ** 6)}" for _ in range(80)]
+        at = rng.randrange(81)
+        out.append(own[:at] + passage + own[at:])
+    out += [edited(out[i], rng.choice([36, 38, 40]), rng) for i in range(planted)]
+    return [" ".join(x) for x in out]
+
+
+def classes_of(spark, texts):
+    df = make(spark, [(i, t, "en", "a", 0) for i, t in enumerate(texts)])
+    got = {r["doc_id"]: r["class_id"] for r in near_dedup.label_documents(df).collect()}
+    return [got[i] for i in range(len(texts))]
+
+
+def test_near_duplicates_large_bucket_is_compared_to_the_end(spark):
+    texts = around_a_passage(1500, 150, 6)
+    sketch, hashes = sketched(texts)
+    equal = [sketch[i] == sketch[1500 + i] for i in range(150)]
+    surely = [i for i in range(150) if (equal[i] & np.roll(equal[i], -1)).any() and near_dedup.similar(hashes[i], hashes[1500 + i])]
+    got = classes_of(spark, texts)
+    assert len(surely) >= 10 and all(got[i] == got[1500 + i] for i in surely)
+
+
+def test_near_duplicates_bounds_and_rare_words_lose_no_similar_pair(spark):
+    texts = around_a_passage(60, 60, 7) + [prose(n, n, 30) for n in range(1, 40)] + [prose(n, n, 30) + " x" for n in range(1, 40)]
+    rows = spark.createDataFrame([(bytes([i]), t) for i, t in enumerate(texts)], "node binary, text string")
+    rare = {}
+    for r in near_dedup.rare_words(rows, 0.8).collect():
+        rare.setdefault(r["node"][0], set()).add(r["word"])
+    (_, _, data, offsets), = scan.groups(pa.array(texts))
+    words = scan.words_of(data, offsets, scan.NOT_SPACE)
+    bag, hashes, close = near_dedup.bags(words), np.split(words.hashes(), words.first[1:-1]), 0
+    for a in range(len(texts)):
+        for b in range(a):
+            longer = max(len(hashes[a]), len(hashes[b]))
+            distance = near_dedup.edit_distance(hashes[a], hashes[b], longer // 5)
+            if distance is not None:
+                close += 1
+                assert near_dedup.least_edits(bag[a], bag[b]) <= distance and rare[a] & rare[b]
+    assert close >= 60
+
+
 def test_components(spark):
     rng = random.Random(4)
     edges = [(f"n{rng.randrange(300):03d}", f"n{rng.randrange(300):03d}") for _ in range(220)]

@@ -8,11 +8,13 @@ shared content in the same order (edit similarity), not just to a shared set.
 
 1. Equal texts are one node (a digest); only narrow rows are shuffled for that.
 2. Texts with an equal sketch meet in a bucket.  A bucket pairs each member with
-   one centre, so it makes as many candidate pairs as it has members, never all
-   pairs.  Texts of different groups may meet there too and hide a centre from
-   its like, so further rounds take the narrower buckets of two neighbouring
-   sketches and pair the components that one still holds with up to ``CENTRES``
-   others of them, until a round adds no link.
+   one centre, so it makes as many candidate pairs as it has members.  Quick
+   rounds over the buckets of two neighbouring sketches pair the components that
+   one still holds with up to ``CENTRES`` others of them, until a round adds no
+   link.  Then all members of different components of a bucket are compared:
+   directly in small buckets; large ones are first split by the members' rare
+   words, of which two similar texts share one.  Lengths and bags of words rule
+   out most pairs before texts are read; no similar pair is lost by that.
 3. A candidate pair is a link if the word edit similarity,
    ``1 - distance / words of the longer text``, is 0.8 or more; the alignment
    walks diagonals inside the band that this threshold leaves.
@@ -39,7 +41,10 @@ from .text import LOWER, NOT_SPACE, groups, mix, shingles, words_of
 KMER = 5
 SKETCHES = 24
 SIMILARITY = 0.8
-CENTRES = 6          # of a bucket in a round after the first
+CENTRES = 6          # of a bucket in a quick round
+SMALL = 64           # members of a bucket that are all compared without splitting it
+ORDER_TEXTS = 4096   # about as many texts are counted for the order of the words
+ORDER_SLOTS = 1 << 18
 SEED = 5
 
 
@@ -200,8 +205,63 @@ def _word_lists(column: pa.Array) -> list[np.ndarray]:
     return out
 
 
-def verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
+def _most(words: int | np.ndarray, threshold: float):
+    """Edits that a pair may have whose longer text has so many words."""
+    return np.floor((1 - threshold) * words + 1e-9).astype(np.int64)
+
+
+def bags(words) -> list[bytes]:
+    """Of each text the counts (to 255) of its words by hash, in a power of two of slots, a few words a slot."""
+    hashes, out = words.hashes(), []
+    for i, j in zip(words.first[:-1], words.first[1:]):
+        slots = max(16, 1 << int((j - i) // 4).bit_length())
+        out.append(np.minimum(np.bincount((hashes[i:j] & np.uint64(slots - 1)).astype(np.int64), minlength=slots), 255).astype(np.uint8).tobytes())
+    return out
+
+
+def least_edits(a: bytes, b: bytes) -> int:
+    """A lower bound of the distance of two texts, from their bags."""
+    x, y = (np.frombuffer(v, np.uint8).astype(np.int64) for v in (a, b))
+    while len(x) != len(y):
+        if len(x) < len(y):
+            x, y = y, x
+        x = x[:len(x) // 2] + x[len(x) // 2:]
+    d = x - y
+    return max(int(d[d > 0].sum()), -int(d[d < 0].sum()))
+
+
+def _level(a: str, b: str, threshold: float) -> Column:
+    """Texts of so many words can be similar."""
+    return F.abs(F.col(a) - F.col(b)) <= F.floor((1 - threshold) * F.greatest(a, b) + 1e-9)
+
+
+def possible(pairs: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame:
+    """The pairs (a, b) without those that lengths and bags rule out: no similar pair is lost."""
+    for end in ("b", "a"):
+        pairs = pairs.join(nodes.select(F.col("node").alias(end), F.col("words").alias(f"words_{end}"), F.col("bag").alias(f"bag_{end}")), end)
+    both = pairs.where(_level("words_a", "words_b", threshold)).select("a", "b", F.greatest("words_a", "words_b"), "bag_a", "bag_b")
+
+    def run(batches):
+        for batch in batches:
+            most = _most(batch.column(2).to_numpy(), threshold)
+            keep = [least_edits(x.as_py(), y.as_py()) <= m for x, y, m in zip(batch.column(3), batch.column(4), most)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    return stored(both.mapInArrow(run, "a binary, b binary"), "near-possible")
+
+
+def _texts(chosen: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
+    """(node, text) of the chosen nodes, one text a node."""
+    first = stored(nodes.select("node", F.col("doc").alias("first_doc")).join(chosen, "node", "left_semi"), "near-chosen")
+    # the join goes by node alone, so that what follows needs no other shuffle
+    return stored(docs.join(bounded(first), "node").where(F.coalesce(F.try_subtract("doc", "first_doc"), F.lit(0)) == 0)
+                  .select("node", "text").dropDuplicates(["node"]), "near-texts")
+
+
+def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, threshold: float) -> DataFrame:
     """The pairs (a, b) whose texts are similar."""
+    pairs = possible(pairs, nodes, threshold)
+    texts = _texts(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct(), nodes, docs)
     both = (pairs.join(texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
             .join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
             .select("a", "b", "text_a", "text_b"))
@@ -225,26 +285,92 @@ def _met(members: DataFrame) -> DataFrame:
     return stored(members.join(buckets, "bucket"), "near-met")
 
 
+def rare_words(texts: DataFrame, threshold: float) -> DataFrame:
+    """(node, word): of each text the rarest of its labelled words, one more than the edits it may have.
+
+    Two similar texts share one of these words, whatever the order of the words
+    is, if it is one for all texts.  It goes by counts on a sample, then by hash.
+    """
+    n = texts.count()
+    some = texts.where(F.pmod(F.xxhash64("node"), F.lit(max(1, n // ORDER_TEXTS))) == 0).select("text")
+
+    def count(batches):
+        total = np.zeros(ORDER_SLOTS, np.int64)
+        for batch in batches:
+            for _, _, data, offsets in groups(batch.column(0)):
+                label, _, _ = _labelled_kmers(words_of(LOWER[data], offsets, NOT_SPACE), 1)
+                total += np.bincount((label % np.uint64(ORDER_SLOTS)).astype(np.int64), minlength=ORDER_SLOTS)
+        at = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(total[at], pa.int64())], names=["slot", "n"])
+
+    counts = some.mapInArrow(count, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
+    order = np.zeros(ORDER_SLOTS, np.int32)
+    order[counts["slot"].to_numpy()] = np.minimum(counts["n"].to_numpy(), 1 << 30)
+
+    def run(batches):
+        for batch in batches:
+            for at, end, data, offsets in groups(batch.column(1)):
+                words = words_of(LOWER[data], offsets, NOT_SPACE)
+                label, _, text = _labelled_kmers(words, 1)
+                by = np.lexsort((label, order[(label % np.uint64(ORDER_SLOTS)).astype(np.int64)], text))
+                by = by[np.arange(len(text)) - words.first[text] <= _most(words.counts, threshold)[text]]
+                for part in range(0, len(by), 1 << 16):
+                    these = by[part:part + (1 << 16)]
+                    yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(at + text[these])), pa.array(label[these].view(np.int64))], names=["node", "word"])
+
+    return texts.select("node", "text").mapInArrow(run, "node binary, word long")
+
+
+def crossing(rows: DataFrame, threshold: float) -> DataFrame:
+    """(a, b): all pairs of nodes of different roots with the same key whose lengths allow it;
+    ``rows`` (key, node, root, words).
+
+    The members of a key's largest root are not set against each other, so a
+    large group of copies costs no more than its pairs with the others.
+    """
+    sizes = stored(rows.groupBy("key", "root").agg(F.count("*").alias("n")), "near-sizes")
+    keys = stored(sizes.groupBy("key").agg(F.count("*").alias("roots"), F.max(F.struct("n", "root"))["root"].alias("largest"))
+                  .where("roots > 1").drop("roots"), "near-keys")
+    rows = stored(rows.join(keys, "key"), "near-rows")
+    other = rows.select("key", F.col("node").alias("b"), F.col("root").alias("root_b"), F.col("words").alias("words_b"))
+    found = (rows.where("root != largest").join(other, "key")
+             .where((F.col("root") != F.col("root_b")) & _level("words", "words_b", threshold)))
+    return found.select(F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b")).distinct()
+
+
+def compared(members: DataFrame, label: DataFrame, nodes: DataFrame, docs: DataFrame, threshold: float) -> DataFrame:
+    """The links between different components among all members (bucket, node) of a bucket.
+
+    Small buckets compare every two members.  A larger one is split by the rare
+    words of its members' texts, which loses no similar pair.
+    """
+    rows = stored(members.join(label, "node", "left").withColumn("root", F.coalesce("root", "node")), "near-open")
+    sizes = stored(rows.groupBy("bucket").agg(F.count("*").alias("n"), F.min("root").alias("r"), F.max("root").alias("s"))
+                   .where("r != s").select("bucket", "n"), "near-sizes")
+    rows = stored(rows.join(sizes, "bucket").join(nodes.select("node", "words"), "node"), "near-open")
+    pairs = crossing(rows.where(F.col("n") <= SMALL).select(F.col("bucket").alias("key"), "node", "root", "words"), threshold)
+    large = rows.where(F.col("n") > SMALL)
+    if not large.isEmpty():
+        words = stored(rare_words(_texts(large.select("node").distinct(), nodes, docs), threshold), "near-rare")
+        split = large.join(words, "node").select(F.xxhash64("bucket", "word").alias("key"), "node", "root", "words")
+        pairs = pairs.union(crossing(stored(split, "near-split"), threshold)).distinct()
+    return verified(stored(pairs, "near-pairs"), nodes, docs, threshold)
+
+
 def linked(nodes: DataFrame, docs: DataFrame, threshold: float, centres: int = CENTRES) -> DataFrame:
     """(node, root): the components of the verified links between different texts;
-    ``nodes`` (node, doc, sketch), ``docs`` (doc, node, text)."""
-    members = nodes.select("node", F.explode("sketch").alias("bucket"))
-    members = _met(members)
+    ``nodes`` (node, doc, sketch, words, bag), ``docs`` (doc, node, text)."""
+    members = _met(nodes.select("node", F.explode("sketch").alias("bucket")))
     pairs = stored(members.where("node != centre").select(F.col("centre").alias("a"), F.col("node").alias("b")).distinct(), "near-pairs")
-    met = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    chosen = nodes.join(met, "node", "left_semi").select("node", F.col("doc").alias("first_doc"))
-    # one text a node; the join goes by node alone, so that what follows needs no other shuffle
-    texts = stored(docs.join(chosen, "node").where(F.coalesce(F.try_subtract("doc", "first_doc"), F.lit(0)) == 0)
-                   .select("node", "text").dropDuplicates(["node"]), "near-texts")
-    tested, found, rounds = pairs, verified(pairs, texts, threshold), 0
-    label = components(found)
+    label = components(verified(pairs, nodes, docs, threshold))
+    rounds = 0
     # the members that met, by two neighbouring sketches
     two = F.transform(F.sequence(F.lit(0), F.size("sketch") - 1), lambda i: F.xxhash64(
         F.element_at("sketch", i + 1), F.element_at("sketch", (i + 1) % F.size("sketch") + 1)))
-    members = _met(nodes.join(met, "node", "left_semi").select("node", F.explode(F.array_distinct(two)).alias("bucket"))).drop("centre")
-    while True:
+    members = _met(nodes.join(members.select("node").distinct(), "node", "left_semi").select("node", F.explode(F.array_distinct(two)).alias("bucket"))).drop("centre")
+    while True:  # quick rounds, so that few components are left to compare
         rounds += 1
-        held = stored(members.select("bucket", "node").join(label, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        held = stored(members.join(label, "node", "left").withColumn("root", F.coalesce("root", "node"))
                       .groupBy("bucket", "root").agg(F.min(F.struct(F.xxhash64("node", "bucket", F.lit(rounds)).alias("h"), "node")).alias("m"))
                       .select("bucket", "root", F.col("m.node").alias("node")), "near-held")
         if rounds == 1:  # a bucket with one component has nothing more to tell
@@ -256,15 +382,12 @@ def linked(nodes: DataFrame, docs: DataFrame, threshold: float, centres: int = C
                             F.struct(F.col(f"c{k}.root").alias("root"), F.col(f"c{k}.node").alias("node")) for k in range(centres)]))).alias("c")))
         more = (held.join(chosen, "bucket").where(F.col("root") != F.col("c.root"))
                 .select(F.least("node", "c.node").alias("a"), F.greatest("node", "c.node").alias("b")).distinct())
-        more = stored(more.join(tested, ["a", "b"], "left_anti"), "near-pairs")
-        if more.isEmpty():
-            return label
-        ends = stored(more.select(F.col("a").alias("node")).union(more.select("b")).distinct(), "near-ends")
-        new = verified(more, stored(texts.join(bounded(ends), "node", "left_semi"), "near-texts"), threshold)
+        new = verified(stored(more, "near-pairs"), nodes, docs, threshold)
         if new.isEmpty():
-            return label
+            break
         label = merged(label, new)
-        tested = tested.union(more)
+    new = compared(members, label, nodes, docs, threshold)
+    return label if new.isEmpty() else merged(label, new)
 
 
 def merged(label: DataFrame, more: DataFrame) -> DataFrame:
@@ -295,15 +418,20 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", k: int
     def factory():
         def work(column):
             rows: list = [[]] * len(column)
+            counts, bag = [], []
             for at, end, data, offsets in groups(column):
-                texts, made = order_sketches(words_of(LOWER[data], offsets, NOT_SPACE), k, sketches)
+                words = words_of(LOWER[data], offsets, NOT_SPACE)
+                texts, made = order_sketches(words, k, sketches)
                 for t, row in zip(texts, made.view(np.int64)):
                     rows[at + t] = row
-            return [pa.array(rows, pa.list_(pa.int64()))]
+                counts.extend(words.counts)
+                bag.extend(bags(words))
+            return [pa.array(rows, pa.list_(pa.int64())), pa.array(counts, pa.int64()), pa.array(bag, pa.binary())]
         return work
 
-    sketched, _ = append_columns(narrow, "text", [("sketch", T.ArrayType(T.LongType()))], factory, keep=["doc", "node"])
-    nodes = stored(sketched.groupBy("node").agg(F.min("doc").alias("doc"), F.first("sketch").alias("sketch")), "near-nodes")
+    sketched, _ = append_columns(narrow, "text", [("sketch", T.ArrayType(T.LongType())), ("words", T.LongType()), ("bag", T.BinaryType())], factory, keep=["doc", "node"])
+    nodes = stored(sketched.groupBy("node").agg(
+        F.min("doc").alias("doc"), *[F.first(c).alias(c) for c in ("sketch", "words", "bag")]), "near-nodes")
     label = linked(nodes, narrow, threshold)
     root = nodes.select("node", "doc").join(label, "node", "left").withColumn("root", F.coalesce("root", "node"))
     root = stored(root, "near-roots")
