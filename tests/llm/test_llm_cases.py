@@ -225,6 +225,32 @@ def test_near_duplicates_bounds_and_rare_words_lose_no_similar_pair(spark):
     assert close >= 60
 
 
+def classes_by_brute_force(texts):
+    """The least index of each text's class: all pairs with an equal sketch are compared."""
+    sketch, hashes = sketched(texts)
+    found = list(range(len(texts)))
+
+    def find(x):
+        while found[x] != x:
+            x = found[x]
+        return x
+
+    for a in range(len(texts)):
+        for b in a + 1 + np.flatnonzero((sketch[a] == sketch[a + 1:]).any(axis=1)):
+            if near_dedup.similar(hashes[a], hashes[b]):
+                x, y = sorted((find(a), find(b)))
+                found[y] = x
+    return [find(x) for x in range(len(texts))]
+
+
+@pytest.mark.parametrize("texts, planted", [(40, 20), (400, 40)])  # buckets that are not split, and that are
+def test_near_duplicates_single_sketch_buckets_are_compared_to_the_end(spark, texts, planted):
+    texts = around_a_passage(texts, planted, 8)
+    want = classes_by_brute_force(texts)
+    assert sum(i != c for i, c in enumerate(want)) >= 10
+    assert classes_of(spark, texts) == want
+
+
 def test_components(spark):
     rng = random.Random(4)
     edges = [(f"n{rng.randrange(300):03d}", f"n{rng.randrange(300):03d}") for _ in range(220)]

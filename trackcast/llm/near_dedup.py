@@ -9,9 +9,9 @@ shared content in the same order (edit similarity), not just to a shared set.
 1. Equal texts are one node (a digest); only narrow rows are shuffled for that.
 2. Texts with an equal sketch meet in a bucket.  A bucket pairs each member with
    one centre, so it makes as many candidate pairs as it has members.  Quick
-   rounds over the buckets of two neighbouring sketches pair the components that
-   one still holds with up to ``CENTRES`` others of them, until a round adds no
-   link.  Then all members of different components of a bucket are compared:
+   rounds over the same buckets pair the components that one still holds with up
+   to ``CENTRES`` others of them, until a round adds no link.  Then all members of
+   different components of a bucket are compared:
    directly in small buckets; large ones are first split by the members' rare
    words, of which two similar texts share one.  Lengths and bags of words rule
    out most pairs before texts are read; no similar pair is lost by that.
@@ -363,11 +363,8 @@ def linked(nodes: DataFrame, docs: DataFrame, threshold: float, centres: int = C
     members = _met(nodes.select("node", F.explode("sketch").alias("bucket")))
     pairs = stored(members.where("node != centre").select(F.col("centre").alias("a"), F.col("node").alias("b")).distinct(), "near-pairs")
     label = components(verified(pairs, nodes, docs, threshold))
-    rounds = 0
-    # the members that met, by two neighbouring sketches
-    two = F.transform(F.sequence(F.lit(0), F.size("sketch") - 1), lambda i: F.xxhash64(
-        F.element_at("sketch", i + 1), F.element_at("sketch", (i + 1) % F.size("sketch") + 1)))
-    members = _met(nodes.join(members.select("node").distinct(), "node", "left_semi").select("node", F.explode(F.array_distinct(two)).alias("bucket"))).drop("centre")
+    # the centre has met all others: what is open is between these
+    members, rounds = members.where("node != centre").select("bucket", "node"), 0
     while True:  # quick rounds, so that few components are left to compare
         rounds += 1
         held = stored(members.join(label, "node", "left").withColumn("root", F.coalesce("root", "node"))
