@@ -251,6 +251,17 @@ def test_near_duplicates_single_sketch_buckets_are_compared_to_the_end(spark, te
     assert classes_of(spark, texts) == want
 
 
+def test_near_duplicates_recall_at_the_threshold(spark):
+    rng = random.Random(9)
+    texts = [[f"o{rng.randrange(5000)}" for _ in range(200)] for _ in range(300)]
+    for edits in (40, 30):  # word edit similarity 0.80 and 0.85, edits scattered
+        partners = [edited(t, edits, rng) for t in texts]
+        one, two = (sketched([" ".join(t) for t in x])[0] for x in (texts, partners))
+        assert (one == two).any(axis=1).mean() >= 0.98
+        got = classes_of(spark, [" ".join(t) for t in texts + partners])
+        assert np.mean([got[300 + i] == i for i in range(300)]) >= 0.98
+
+
 def test_components(spark):
     rng = random.Random(4)
     edges = [(f"n{rng.randrange(300):03d}", f"n{rng.randrange(300):03d}") for _ in range(220)]

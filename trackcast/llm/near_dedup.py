@@ -1,7 +1,7 @@
 """Near-duplicates by Order MinHash, verified by banded alignment of words.
 
-A text is a sequence of lower-cased words; its k-mers are runs of five words
-(one run of all words where there are fewer), labelled with their occurrence
+A text is a sequence of lower-cased words; its k-mers are runs of two words
+(a lone word where there is only one), labelled with their occurrence
 number.  Each of ``SKETCHES`` sketches takes the two least labelled k-mers under
 its own hash and keeps them in text order, so that equal sketches point to
 shared content in the same order (edit similarity), not just to a shared set.
@@ -38,7 +38,7 @@ from .frames import append_columns, bounded, free_names, stored
 from .graph import components
 from .text import LOWER, NOT_SPACE, groups, mix, shingles, words_of
 
-KMER = 5
+KMER = 2
 SKETCHES = 24
 SIMILARITY = 0.8
 CENTRES = 6          # of a bucket in a quick round
