@@ -350,6 +350,17 @@ def test_url_aliases_share_block_decisions(spark):
     assert url_filter.digest(pages.limit(0)).count() == 0
 
 
+def test_url_all_links_of_a_page_count(spark):
+    blocked = "href='http://x.net/es/1'"
+    rows = [(1, "http://a.org/1", f"<link rel=canonical><link rel='canonical' {blocked}>"),   # the first has no target
+            (2, "http://b.org/2", f"<link rel='canonical' href='http://b.org/3'><link {blocked} rel=\"canonical\">"),
+            (3, "http://c.org/3", f"<link rel='alternate  canonical' {blocked}>"),            # a later token of rel
+            (4, "http://d.org/4", f"<link rel='not-canonical' {blocked}><link rel='canonicals' {blocked}>"),
+            (5, "http://e.org/5", '<meta http-equiv=refresh content="5"><meta http-equiv="refresh" content="0; url=http://x.net/es/1">')]
+    got = {r["page_id"]: r["verdict"] for r in url_filter.digest(spark.createDataFrame(rows, PAGES)).collect()}
+    assert got == {1: "block", 2: "block", 3: "block", 4: "allow", 5: "block"}
+
+
 def fill(sizes, weights, share, most):
     """Targets by repeated resharing, as stated."""
     target, open_, left = {}, set(sizes), share * sum(sizes.values())

@@ -19,7 +19,7 @@ RULES = (("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example
          ("block", "net/es/"), ("block", "net/fr/"))
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-_LINK = r"""(?i)<link\b[^>]*\brel\s*=\s*["']?canonical\b[^>]*>"""
+_LINK = r"""(?i)<link\b[^>]*\brel\s*=\s*(?:["']?|"[^">]*\s|'[^'>]*\s)canonical\b[^>]*>"""
 _META = r"""(?i)<meta\b[^>]*\bhttp-equiv\s*=\s*["']?refresh\b[^>]*>"""
 _HREF = r"""(?i)\bhref\s*=\s*["']?([^"'\s>]+)"""
 _GOTO = r"""(?i)\burl\s*=\s*["']?([^"'\s>]+)"""
@@ -71,12 +71,11 @@ def _absolute(link: Column, url: Column, host: Column, path: Column) -> Column:
 
 
 def link_edges(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
-    """(a, b): keys of each page's URL and of the canonical URL and refresh target its HTML names."""
+    """(a, b): keys of each page's URL and of all canonical URLs and refresh targets its HTML names."""
     text = F.col(html)
+    found = lambda tag, target: F.transform(F.regexp_extract_all(text, F.lit(tag), F.lit(0)), lambda t: F.regexp_extract(t, target, 1))
     named = pages.where(F.contains(F.lower(text), F.lit("canonical")) | F.contains(F.lower(text), F.lit("refresh"))).select(
-        F.col(url).alias("url"), F.explode(F.array(
-            F.regexp_extract(F.regexp_extract(text, _LINK, 0), _HREF, 1),
-            F.regexp_extract(F.regexp_extract(text, _META, 0), _GOTO, 1))).alias("link")).where("link != ''")
+        F.col(url).alias("url"), F.explode(F.concat(found(_LINK, _HREF), found(_META, _GOTO))).alias("link")).where("link != ''")
     host, path = host_of(F.col("url")), path_of(F.col("url"))
     target = _absolute(F.col("link"), F.col("url"), host, path)
     return named.where(host != "").select(url_key(F.col("url")).alias("a"), url_key(target).alias("b")).where(
