@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import (decontamination, langid, line_spread, mixing, near_dedup, quality, quality_rules, sharding,
+from . import (decontamination, langid, line_spread, merkle, mixing, near_dedup, quality, quality_rules, sharding,
                url_filter, warc)
 from .frames import table
 
@@ -51,9 +51,13 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
     return decontamination.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.digest(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_sharding, op2_language_id, op3_order_minhash, op4_quality_classifier, op5_url_filters, op6_mixing,
-    op7_warc, op8_line_dedup, op9_quality_rules, op10_benchmark_decontamination,
+    op7_warc, op8_line_dedup, op9_quality_rules, op10_benchmark_decontamination, op11_merkle_manifest,
 )}
 
 ORACLE_SQL: dict[str, str] = {
@@ -61,4 +65,5 @@ ORACLE_SQL: dict[str, str] = {
     "op6_mixing": mixing.SQL,
     "op8_line_dedup": line_spread.SQL,
     "op10_benchmark_decontamination": decontamination.SQL,
+    "op11_merkle_manifest": merkle.SQL,
 }
