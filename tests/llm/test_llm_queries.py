@@ -27,7 +27,7 @@ QUERIES = entry.queries()
 @pytest.fixture(scope="module")
 def duck():
     con = duckdb.connect()
-    for t in ("documents", "pages", "benchmark", "labels"):
+    for t in ("documents", "pages", "benchmark", "labels", "conversations"):
         con.execute(f"create view {t} as select * from read_parquet('{SF_SMALL}/{t}.parquet')")
     yield con
     con.close()

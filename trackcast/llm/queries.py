@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import (decontamination, langid, line_spread, merkle, mixing, near_dedup, quality, quality_rules, sharding,
-               url_filter, warc)
+from . import (decontamination, langid, line_spread, merkle, mixing, near_dedup, prefix_trie, quality,
+               quality_rules, sharding, url_filter, warc)
 from .frames import table
 
 
@@ -55,9 +55,14 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.digest(table(spark, sf_dir, "documents"))
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.digest(table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_sharding, op2_language_id, op3_order_minhash, op4_quality_classifier, op5_url_filters, op6_mixing,
     op7_warc, op8_line_dedup, op9_quality_rules, op10_benchmark_decontamination, op11_merkle_manifest,
+    op12_prefix_trie,
 )}
 
 ORACLE_SQL: dict[str, str] = {
@@ -66,4 +71,5 @@ ORACLE_SQL: dict[str, str] = {
     "op8_line_dedup": line_spread.SQL,
     "op10_benchmark_decontamination": decontamination.SQL,
     "op11_merkle_manifest": merkle.SQL,
+    "op12_prefix_trie": prefix_trie.SQL,
 }
