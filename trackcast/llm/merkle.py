@@ -11,8 +11,8 @@ rows (node, parent, pos, kids).
 
 Verify: a recursive query climbs from the leaves to the root.  A row of the climb
 holds the leaves of one run (they share all siblings above it, which are
-appended once); the claimed hash of every leaf is folded on its own, level by
-level.  A step meets the stored nodes in a shuffle join; nodes with more than
+appended once); the claimed hash of every leaf is folded on its own, first into
+its run, then level by level.  A step meets the stored nodes in a shuffle join; nodes with more than
 one in ``HEAVY`` of all leaves below them, at most ``HEAVY`` a level, are
 broadcast instead, so that no key of the join is hot.
 """
@@ -156,32 +156,37 @@ def build(docs: DataFrame, group: str = "source", order: str = "doc_id", fields=
     nodes = stored(nodes, "merkle-nodes")
     large = F.broadcast(nodes.where("heavy").select(F.col("node").alias("parent"), F.lit(True).alias("parent_heavy")))
     nodes = stored(nodes.join(large, "parent", "left").withColumn("parent_heavy", F.coalesce("parent_heavy", F.lit(False))), "merkle-linked")
-    leaves = stored(linked(lined, 0).join(large, "parent", "left").select(
+    leaves = stored(linked(lined, 0).select(
         *[F.col(k).alias(c) for c, k in zip(keep, kept)], F.col("hash").alias("leaf"), "subroot", "parent", "pos",
-        F.coalesce("parent_heavy", F.lit(False)).alias("parent_heavy"), *(["claim"] if extra else [])), "merkle-leaf-rows")
+        *(["claim"] if extra else [])), "merkle-leaf-rows")
     root = nodes.where("parent is null").union(nodes.limit(0)).select("hash") if levels or upper else leaves.select(F.col("leaf").alias("hash"))
     found = root.select(_text("hash")).first()
     return Manifest(leaves, nodes, found and found[0])
 
 
+def _others(kids: str, pos: str) -> str:
+    """The hashes of a run without the one at ``pos``."""
+    return f"concat(substring({kids}, 1, 32 * {pos}), substring({kids}, 32 * {pos} + 33))"
+
+
+def _folded(kids: str, pos: str, h: str) -> str:
+    """The hash of a run in which ``h`` stands at ``pos``."""
+    return f"unhex(sha2(lower(hex(concat(substring({kids}, 1, 32 * {pos}), {h}, substring({kids}, 32 * {pos} + 33)))), 256))"
+
+
 #: One step of the climb: fold every hash of the row into the node above, append its siblings.
-_CLIMB = """
+_CLIMB = f"""
 with recursive climb max recursion level 1000 as (
-  select run, at, heavy, pos, places, hashes, cast(null as binary) as own, cast('' as binary) as siblings, kept from {anchor}
+  select run, at, heavy, pos, hashes, cast('' as binary) as siblings from {{anchor}}
   union all
-  select run, parent, parent_heavy, node_pos, places,
-    transform(hashes, (h, i) -> unhex(sha2(lower(hex(concat(
-        substring(kids, 1, 32 * coalesce(pos, places[i])), h, substring(kids, 32 * coalesce(pos, places[i]) + 33)))), 256))),
-    coalesce(own, kids),
-    case when pos is null then siblings else concat(siblings, substring(kids, 1, 32 * pos), substring(kids, 32 * pos + 33)) end,
-    kept
+  select run, parent, parent_heavy, node_pos, transform(hashes, h -> {_folded("kids", "pos", "h")}), concat(siblings, {_others("kids", "pos")})
   from (select c.*, coalesce(p.kids, q.kids) as kids, coalesce(p.parent, q.parent) as parent,
           coalesce(p.parent_heavy, q.parent_heavy) as parent_heavy, coalesce(p.pos, q.pos) as node_pos
         from climb c
-        left join {light} p on case when c.heavy then concat('-', c.run) else c.at end = p.node
-        left join {large} q on c.heavy and c.at = q.node
+        left join {{light}} p on case when c.heavy then concat('-', c.run) else c.at end = p.node
+        left join {{large}} q on c.heavy and c.at = q.node
         where c.at is not null))
-select run, places, hashes, own, siblings, kept from (select * from climb limit all) where at is null
+select run, hashes, siblings from (select * from climb limit all) where at is null
 """
 
 
@@ -189,22 +194,24 @@ def climb(manifest: Manifest, claims: DataFrame, keep: list[str]) -> DataFrame:
     """Every claim folded up to the root: the columns ``keep``, folded (32 bytes), siblings (their hashes
     in the order of the way up, each run's from left to right).
 
-    ``claims`` has the leaf's parent, pos and parent_heavy, and claim (32 bytes); a place may be
+    ``claims`` has the leaf's parent and pos, and claim (32 bytes); a place may be
     claimed more than once, but its claims go into one row.
     """
     spark = claims.sparkSession
     kept = F.struct(*keep).alias("kept")
     whole = claims.where("parent is null").select(F.col("claim").alias("folded"), F.lit(b"").alias("siblings"), kept)
-    anchor = stored(claims.where("parent is not null").groupBy(F.col("parent").alias("run")).agg(
-        F.sort_array(F.collect_list(F.struct("pos", "claim", kept))).alias("m"), F.first("parent_heavy").alias("heavy"))
-        .select("run", F.col("run").alias("at"), "heavy", F.lit(None).cast("int").alias("pos"), F.col("m.pos").alias("places"),
-                F.col("m.claim").alias("hashes"), F.col("m.kept").alias("kept")), "merkle-runs")
+    grouped = claims.where("parent is not null").groupBy(F.col("parent").alias("run")).agg(
+        F.sort_array(F.collect_list(F.struct("pos", "claim", kept))).alias("m"))
+    at = manifest.nodes.select(F.col("node").alias("run"), F.col("parent").alias("at"), F.col("parent_heavy").alias("heavy"), "pos", "kids")
+    runs = stored(grouped.join(at, "run"), "merkle-runs")
+    anchor = runs.select("run", "at", "heavy", "pos", F.expr(f"transform(m, x -> {_folded('kids', 'x.pos', 'x.claim')})").alias("hashes"))
     columns = ["node", "parent", "pos", "kids", "parent_heavy"]
-    up = spark.sql(_CLIMB, anchor=anchor, light=manifest.nodes.where("not heavy").select(*columns),
-                   large=F.broadcast(manifest.nodes.where("heavy").select(*columns)))
-    each = up.select("own", "siblings", F.explode(F.arrays_zip("places", "hashes", "kept")).alias("m"))
-    beside = F.expr("concat(substring(own, 1, 32 * m.places), substring(own, 32 * m.places + 33), siblings)")
-    done = each.select(F.col("m.hashes").alias("folded"), beside.alias("siblings"), F.col("m.kept").alias("kept"))
+    above = manifest.nodes.where("level > 1")
+    up = spark.sql(_CLIMB, anchor=anchor, light=above.where("not heavy").select(*columns),
+                   large=F.broadcast(above.where("heavy").select(*columns)))
+    each = up.join(runs.select("run", "kids", "m"), "run").select("kids", "siblings", F.explode(F.arrays_zip("m", "hashes")).alias("x"))
+    beside = F.expr(f"concat({_others('kids', 'x.m.pos')}, siblings)")
+    done = each.select(F.col("x.hashes").alias("folded"), beside.alias("siblings"), F.col("x.m.kept").alias("kept"))
     return done.unionByName(whole).select("kept.*", "folded", "siblings")
 
 
