@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from . import (decontamination, langid, line_spread, merkle, mixing, near_dedup, prefix_trie, quality,
-               quality_rules, sharding, url_filter, warc)
+               quality_rules, sharding, toxicity, url_filter, warc)
 from .frames import table
 
 
@@ -59,10 +59,14 @@ def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.digest(table(spark, sf_dir, "conversations"))
 
 
+def op13_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_sharding, op2_language_id, op3_order_minhash, op4_quality_classifier, op5_url_filters, op6_mixing,
     op7_warc, op8_line_dedup, op9_quality_rules, op10_benchmark_decontamination, op11_merkle_manifest,
-    op12_prefix_trie,
+    op12_prefix_trie, op13_toxicity,
 )}
 
 ORACLE_SQL: dict[str, str] = {
