@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -28,19 +29,7 @@ ALNUM[0x30:0x3A] = ALNUM[0x61:0x7B] = ALNUM[0x80:] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[0x41:0x5B] += 0x20
 
-_R = 0x9E3779B97F4A7C15
-_R_INV = pow(_R, -1, 1 << 64)
-_TABLE = np.random.default_rng(20240601).integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-
-
-class _Cache(dict):
-    """Tables made on demand in each process; never sent to tasks."""
-
-    def __reduce__(self):
-        return _Cache, ()
-
-
-_powers = _Cache()
+_LONG = 256  # bytes from which on a span is hashed by itself
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -52,21 +41,27 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def _power_table(base: int, n: int) -> np.ndarray:
-    have = _powers.get(base)
-    if have is None or len(have) < n:
-        size = max(n, CHUNK_BYTES + 1)
-        table = np.full(size, base, dtype=np.uint64)
-        table[0] = 1
-        have = _powers[base] = np.multiply.accumulate(table)
-    return have[:n]
-
-
 def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hash of each byte span; equal bytes give equal hashes wherever they stand."""
-    prefix = np.zeros(len(data) + 1, dtype=np.uint64)
-    np.cumsum(_TABLE[data] * _power_table(_R, len(data)), out=prefix[1:])
-    return mix((prefix[ends] - prefix[starts]) * _power_table(_R_INV, len(data) + 1)[starts])
+    """64-bit hash of each byte span; equal bytes give equal hashes wherever they stand.
+
+    Eight bytes at a time go through ``mix``, for all spans at once; spans over
+    ``_LONG`` bytes through BLAKE2b one by one.
+    """
+    size = ends - starts
+    out = mix(size.astype(np.uint64) + np.uint64(0x9E3779B97F4A7C15))
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    lanes = np.ndarray(len(data) + 1, "<u8", padded, strides=(1,))  # the eight bytes from each position on
+    live, at = np.flatnonzero((size > 0) & (size <= _LONG)), 0
+    while len(live):
+        left = size[live] - at
+        value = lanes[starts[live] + at]
+        short = np.flatnonzero(left < 8)
+        value[short] &= (np.uint64(1) << (left[short].astype(np.uint64) * np.uint64(8))) - np.uint64(1)
+        out[live] = mix(out[live] ^ value)
+        live, at = live[left > 8], at + 8
+    for i in np.flatnonzero(size > _LONG):
+        out[i] = int.from_bytes(blake2b(data[starts[i]:ends[i]].tobytes(), digest_size=8).digest(), "little")
+    return out
 
 
 @dataclass
