@@ -4,6 +4,7 @@ import gzip
 import io
 import random
 import re
+import time
 from collections import Counter
 
 import numpy as np
@@ -54,6 +55,17 @@ def test_words_and_hashes_match_regular_expressions():
         assert len(set(seen.values())) == len(seen)
 
 
+@pytest.mark.parametrize("n", [8, 128, 255, 256, 257, 1024, 4096])
+def test_hashes_of_thue_morse_strings_differ(n):
+    one = "".join("ab"[bin(i).count("1") % 2] for i in range(n))
+    two = "".join("ba"[bin(i).count("1") % 2] for i in range(n))
+    data = np.frombuffer(f"{one}\n{two}\n{one}".encode(), np.uint8)
+    h = scan.words_of(data, np.array([0, len(data)]), scan.NOT_SPACE).hashes()
+    assert h[0] == h[2] != h[1]
+    found = quality_rules.statistics(data, np.array([0, len(data)]))
+    assert dict(zip(quality_rules.COUNTS, found[0][0]))["n_dup_lines"] == 1
+
+
 def test_sharding_splits_hot_keys_and_repeated_rows(spark):
     rows = [(7, "hot key", "en", "a", 1)] * 300 + [(i, prose(i % 50, i), "en", "a", 1) for i in range(300)] + [
         (None, None, None, None, None)] * 20
@@ -108,7 +120,7 @@ def test_language_codes_and_odd_rows(spark, odd):
     assert langid.identify(odd, none)[0].where("lang_pred != 'und'").count() == 0
 
 
-def test_near_duplicates_alignment_matches_plain_edit_distance():
+def test_near_duplicates_alignment_matches_plain_edit_distance(monkeypatch):
     rng = random.Random(1)
 
     def plain(a, b):
@@ -120,7 +132,8 @@ def test_near_duplicates_alignment_matches_plain_edit_distance():
             row = new
         return row[-1]
 
-    for _ in range(600):
+    for wide in [True, False] * 300:
+        monkeypatch.setattr(near_dedup, "WIDE", -1 if wide else 64)
         v = rng.choice([2, 5, 50])
         a = [rng.randrange(v) for _ in range(rng.randint(0, 40))]
         b = list(a)
@@ -200,19 +213,19 @@ def classes_of(spark, texts):
 def test_near_duplicates_large_bucket_is_compared_to_the_end(spark):
     texts = around_a_passage(1500, 150, 6)
     sketch, hashes = sketched(texts)
-    equal = [sketch[i] == sketch[1500 + i] for i in range(150)]
-    surely = [i for i in range(150) if (equal[i] & np.roll(equal[i], -1)).any() and near_dedup.similar(hashes[i], hashes[1500 + i])]
+    surely = [i for i in range(150) if (sketch[i] == sketch[1500 + i]).any() and near_dedup.similar(hashes[i], hashes[1500 + i])]
     got = classes_of(spark, texts)
-    assert len(surely) >= 10 and all(got[i] == got[1500 + i] for i in surely)
+    assert len(surely) >= 100 and all(got[i] == got[1500 + i] for i in surely)
 
 
 def test_near_duplicates_bounds_and_rare_words_lose_no_similar_pair(spark):
     texts = around_a_passage(60, 60, 7) + [prose(n, n, 30) for n in range(1, 40)] + [prose(n, n, 30) + " x" for n in range(1, 40)]
-    rows = spark.createDataFrame([(bytes([i]), t) for i, t in enumerate(texts)], "node binary, text string")
+    texts += [" ".join(f"v{i % 28}" for i in range(8191)), " ".join([*(f"v{i % 28}" for i in range(8191)), "new"])]  # counts over 255
+    rows = spark.createDataFrame(list(enumerate(texts)), "id long, text string")
     rare = {}
     for r in near_dedup.rare_words(rows, 0.8).collect():
-        rare.setdefault(r["node"][0], set()).add(r["word"])
-    (_, _, data, offsets), = scan.groups(pa.array(texts))
+        rare.setdefault(r["id"], set()).add(r["word"])
+    (_, _, data, offsets), = scan.groups(pa.array(texts), 1 << 26)
     words = scan.words_of(data, offsets, scan.NOT_SPACE)
     bag, hashes, close = near_dedup.bags(words), np.split(words.hashes(), words.first[1:-1]), 0
     for a in range(len(texts)):
@@ -221,8 +234,9 @@ def test_near_duplicates_bounds_and_rare_words_lose_no_similar_pair(spark):
             distance = near_dedup.edit_distance(hashes[a], hashes[b], longer // 5)
             if distance is not None:
                 close += 1
-                assert near_dedup.least_edits(bag[a], bag[b]) <= distance and rare[a] & rare[b]
+                assert near_dedup.least_edits([bag[a]], [bag[b]])[0] <= distance and rare[a] & rare[b]
     assert close >= 60
+    assert classes_of(spark, texts[-2:]) == [0, 0]
 
 
 def classes_by_brute_force(texts):
@@ -243,8 +257,35 @@ def classes_by_brute_force(texts):
     return [find(x) for x in range(len(texts))]
 
 
-@pytest.mark.parametrize("texts, planted", [(40, 20), (400, 40)])  # buckets that are not split, and that are
-def test_near_duplicates_single_sketch_buckets_are_compared_to_the_end(spark, texts, planted):
+def test_near_duplicates_bags_of_few_different_words_bound_the_distance():
+    rng, at = random.Random(11), []
+    for _ in range(300):
+        v, n = rng.choice([1, 2, 5, 28, 300]), rng.choice([3, 40, 255, 256, 511, 2000, 8200])
+        a = [f"w{rng.randrange(v)}" for _ in range(n)]
+        b = edited(a, rng.randrange(min(n, 9)), rng) + ["more"] * rng.choice([0, 0, 1, n // 10])
+        at.append((a, b, sum(x != y for x, y in zip(a, b)) + len(b) - n))
+    one, two = ([" ".join(x[k]) for x in at] for k in (0, 1))
+    bag = []
+    for side in (one, two):
+        (_, _, data, offsets), = scan.groups(pa.array(side), 1 << 26)
+        bag.append(near_dedup.bags(scan.words_of(data, offsets, scan.NOT_SPACE)))
+    assert (near_dedup.least_edits(*bag) <= [x[2] for x in at]).all()
+
+
+def test_near_duplicates_rejects_a_long_pair_in_time():
+    rng = np.random.default_rng(5)
+    a, b = rng.integers(0, 3000, 20_000).astype(np.uint64), rng.integers(0, 3000, 20_000).astype(np.uint64)
+    b[:15_000] = a[:15_000]
+    a[::13] = 9999
+    began = time.monotonic()
+    assert near_dedup.edit_distance(a, b, 4000, exact=False) is None
+    assert time.monotonic() - began < 20
+
+
+@pytest.mark.parametrize("texts, planted, block, large", [(40, 20, 256, 4096), (400, 40, 16, 4096), (400, 40, 64, 64)])  # one block, many, split by words
+def test_near_duplicates_single_sketch_buckets_are_compared_to_the_end(spark, texts, planted, block, large, monkeypatch):
+    monkeypatch.setattr(near_dedup, "BLOCK", block)
+    monkeypatch.setattr(near_dedup, "LARGE", large)
     texts = around_a_passage(texts, planted, 8)
     want = classes_by_brute_force(texts)
     assert sum(i != c for i, c in enumerate(want)) >= 10

@@ -2,23 +2,22 @@
 
 A text is a sequence of lower-cased words; its k-mers are runs of two words
 (a lone word where there is only one), labelled with their occurrence
-number.  Each of ``SKETCHES`` sketches takes the two least labelled k-mers under
-its own hash and keeps them in text order, so that equal sketches point to
+number.  Each of ``SKETCHES`` sketches takes the ``MINIMA`` least labelled k-mers
+under its own hash and keeps them in text order, so that equal sketches point to
 shared content in the same order (edit similarity), not just to a shared set.
 
 1. Equal texts are one node (a digest); only narrow rows are shuffled for that.
-2. Texts with an equal sketch meet in a bucket.  A bucket pairs each member with
-   one centre, so it makes as many candidate pairs as it has members.  Quick
-   rounds over the same buckets pair the components that one still holds with up
-   to ``CENTRES`` others of them, until a round adds no link.  Then all members of
-   different components of a bucket are compared:
-   directly in small buckets; large ones are first split by the members' rare
-   words, of which two similar texts share one.  Lengths and bags of words rule
-   out most pairs before texts are read; no similar pair is lost by that.
-3. A candidate pair is a link if the word edit similarity,
+2. Texts with an equal sketch meet in a bucket.  A bucket first pairs each member
+   with one centre, so it makes as many candidate pairs as it has members.
+3. Then all members of different components of a bucket are compared, in blocks
+   of ``BLOCK``: lengths and bags of words rule out most pairs inside the task, and
+   only what they allow becomes a row.  Buckets of more than ``LARGE`` are first
+   split by the members' rare words, of which two similar texts share one.  No
+   similar pair that meets in a bucket is lost by that.
+4. A candidate pair is a link if the word edit similarity,
    ``1 - distance / words of the longer text``, is 0.8 or more; the alignment
    walks diagonals inside the band that this threshold leaves.
-4. Classes are the connected components of the links.
+5. Classes are the connected components of the links.
 
 Hot buckets and digests are aggregated before the shuffle, and joined from
 stored tables, where Spark splits skewed partitions.
@@ -39,12 +38,15 @@ from .graph import components
 from .text import LOWER, NOT_SPACE, groups, mix, shingles, words_of
 
 KMER = 2
-SKETCHES = 24
+MINIMA = 3
+SKETCHES = 48
 SIMILARITY = 0.8
-CENTRES = 6          # of a bucket in a quick round
-SMALL = 64           # members of a bucket that are all compared without splitting it
+BLOCK = 256          # members of a bucket that are compared with as many others in one group
+LARGE = 4096         # members from which on a bucket is split by rare words first
+SLOTS = 64           # least size of a bag
 ORDER_TEXTS = 4096   # about as many texts are counted for the order of the words
 ORDER_SLOTS = 1 << 18
+WIDE = 64            # edits from which on the alignment works on all diagonals at once
 SEED = 5
 
 
@@ -70,7 +72,7 @@ def _labelled_kmers(words, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return mix(value + occurrence * np.uint64(0xA24BAED4963EE407)), at, text
 
 
-def order_sketches(words, k: int = KMER, sketches: int = SKETCHES, seed: int = SEED) -> tuple[np.ndarray, np.ndarray]:
+def order_sketches(words, k: int = KMER, sketches: int = SKETCHES, seed: int = SEED, minima: int = MINIMA) -> tuple[np.ndarray, np.ndarray]:
     """(texts that have words, their sketches): row i of the sketches is for text i of the list."""
     label, _, text = _labelled_kmers(words, k)
     texts, begin = np.unique(text, return_index=True)
@@ -80,18 +82,19 @@ def order_sketches(words, k: int = KMER, sketches: int = SKETCHES, seed: int = S
     rank = np.repeat(np.arange(len(texts)), np.diff(np.append(begin, len(text))))
     draws = np.random.default_rng(seed).integers(1, 1 << 63, (sketches, 2), dtype=np.uint64)
     top = np.uint64(0xFFFFFFFFFFFFFFFF)
+    found = np.empty((minima, len(texts)), np.int64)
     for j, (salt, factor) in enumerate(draws):
         key = (label ^ salt) * (factor * np.uint64(2) + np.uint64(1))
-        ends = []
-        for _ in range(2):
-            least = np.minimum.reduceat(key, begin)
-            at = np.flatnonzero(key == least[rank])
-            _, lead = np.unique(rank[at], return_index=True)
-            at = at[lead]
-            ends.append(at)
+        for i in range(minima):
+            at = np.flatnonzero(key == np.minimum.reduceat(key, begin)[rank])
+            if len(at) > len(texts):  # a text with fewer k-mers than minima: its first stands again
+                at = at[np.unique(rank[at], return_index=True)[1]]
+            found[i] = at
             key[at] = top
-        one, two = np.minimum(*ends), np.maximum(*ends)  # text order; a lone k-mer stands for both
-        out[:, j] = mix(label[one] * np.uint64(3) + mix(label[two] + np.uint64(j)))
+        value = np.full(len(texts), j, np.uint64)
+        for at in np.sort(found, axis=0):  # text order
+            value = mix(value * np.uint64(3) + label[at])
+        out[:, j] = value
     return texts, out
 
 
@@ -129,6 +132,38 @@ def _anchored(a: np.ndarray, b: np.ndarray, va, ca, ia, vb, cb, ib) -> int:
     return int(np.maximum(gap_a, gap_b)[~level].sum()) + int((a[at] != b[at + shift]).sum())
 
 
+def _wide(a: np.ndarray, b: np.ndarray, most: int) -> int | None:
+    """Edit distance if it is ``most`` or less: one step per edit, for all diagonals of the band at once."""
+    n, m = len(a), len(b)
+    goal = m - n
+    low, high = max(-n, goal - most, -most), min(m, goal + most, most)  # diagonals that can matter
+    d = np.arange(low, high + 1)
+    end = np.minimum(n, m - d)  # of each diagonal
+    far = np.full(len(d) + 2, -(1 << 40))  # with a margin on either side
+    far[1 - low] = 0
+    for e in range(most + 1):
+        if e:
+            far[1:-1] = np.maximum(np.maximum(far[1:-1] + 1, far[:-2]), far[2:] + 1)
+            lost = far[1:-1] < np.maximum(0, -d)
+            far[1:-1] = np.where(lost, -(1 << 40), np.minimum(far[1:-1], end))
+        lo, hi = max(low, -e, goal - (most - e)), min(high, e, goal + (most - e))
+        at = np.arange(lo - low, hi - low + 1)
+        at = at[far[at + 1] >= 0]
+        width = 4
+        while len(at):  # slide along equal words
+            i = far[at + 1]
+            steps = i[:, None] + np.arange(width)
+            inside = steps < end[at][:, None]
+            equal = inside & (a[np.minimum(steps, n - 1)] == b[np.clip(steps + d[at][:, None], 0, m - 1)])
+            run = np.where(equal.all(axis=1), width, np.argmin(equal, axis=1))
+            far[at + 1] = i + run
+            at = at[run == width]
+            width = min(2 * width, max(4, (1 << 20) // max(1, len(at))))
+        if far[1 + goal - low] >= n:
+            return e
+    return None
+
+
 def edit_distance(a: np.ndarray, b: np.ndarray, most: int, exact: bool = True) -> int | None:
     """Word edit distance if it is ``most`` or less, else None.
 
@@ -157,6 +192,8 @@ def edit_distance(a: np.ndarray, b: np.ndarray, most: int, exact: bool = True) -
         return None
     if exact is False and _anchored(a, b, va, ca, ia, vb, cb, ib) <= most:
         return most
+    if most > WIDE:
+        return _wide(a, b, most)
     one, two, stops = a.tolist(), b.tolist(), {}
 
     def slide(d: int, i: int) -> int:
@@ -214,56 +251,61 @@ def bags(words) -> list[bytes]:
     """Of each text the counts (to 255) of its words by hash, in a power of two of slots, a few words a slot."""
     hashes, out = words.hashes(), []
     for i, j in zip(words.first[:-1], words.first[1:]):
-        slots = max(16, 1 << int((j - i) // 4).bit_length())
+        slots = max(SLOTS, 1 << int((j - i) // 4).bit_length())
         out.append(np.minimum(np.bincount((hashes[i:j] & np.uint64(slots - 1)).astype(np.int64), minlength=slots), 255).astype(np.uint8).tobytes())
     return out
 
 
-def least_edits(a: bytes, b: bytes) -> int:
-    """A lower bound of the distance of two texts, from their bags."""
-    x, y = (np.frombuffer(v, np.uint8).astype(np.int64) for v in (a, b))
-    while len(x) != len(y):
-        if len(x) < len(y):
-            x, y = y, x
-        x = x[:len(x) // 2] + x[len(x) // 2:]
-    d = x - y
-    return max(int(d[d > 0].sum()), -int(d[d < 0].sum()))
-
-
-def _level(a: str, b: str, threshold: float) -> Column:
-    """Texts of so many words can be similar."""
-    return F.abs(F.col(a) - F.col(b)) <= F.floor((1 - threshold) * F.greatest(a, b) + 1e-9)
+def _folded(rows: list[bytes], width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Bags of one size as counts in ``width`` slots, and which of these are known: one that
+    holds a count of 255 may be more."""
+    x = np.frombuffer(b"".join(rows), np.uint8).reshape(len(rows), -1, width)
+    return x.sum(axis=1, dtype=np.int64), (x != 255).all(axis=1)
+
+
+def least_edits(a: list[bytes], b: list[bytes]) -> np.ndarray:
+    """Lower bounds of the distances of pairs of texts, from their bags: folded to the smaller
+    size, over the slots that are known in both."""
+    out = np.zeros(len(a), np.int64)
+    size = np.array([(len(x), len(y)) for x, y in zip(a, b)], dtype=np.int64).reshape(-1, 2)
+    for la, lb in np.unique(size, axis=0):
+        same, step = np.flatnonzero((size == (la, lb)).all(axis=1)), max(1, (1 << 22) // int(la + lb))
+        for part in np.split(same, range(step, len(same), step)):
+            (x, known), (y, too) = (_folded([side[i] for i in part], int(min(la, lb))) for side in (a, b))
+            d = np.where(known & too, x - y, 0)
+            out[part] = np.maximum(np.maximum(d, 0).sum(axis=1), np.maximum(-d, 0).sum(axis=1))
+    return out
 
 
 def possible(pairs: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame:
-    """The pairs (a, b) without those that lengths and bags rule out: no similar pair is lost."""
+    """The pairs (a, b) of ids without those that lengths and bags rule out: no similar pair is lost."""
     for end in ("b", "a"):
-        pairs = pairs.join(nodes.select(F.col("node").alias(end), F.col("words").alias(f"words_{end}"), F.col("bag").alias(f"bag_{end}")), end)
-    both = pairs.where(_level("words_a", "words_b", threshold)).select("a", "b", F.greatest("words_a", "words_b"), "bag_a", "bag_b")
+        pairs = pairs.join(nodes.select(F.col("id").alias(end), F.col("words").alias(f"words_{end}"), F.col("bag").alias(f"bag_{end}")), end)
+    longer = F.greatest("words_a", "words_b")
+    near = F.abs(F.col("words_a") - F.col("words_b")) <= F.floor((1 - threshold) * longer + 1e-9)
+    both = pairs.where(near).select("a", "b", longer.alias("words"), "bag_a", "bag_b")
 
     def run(batches):
         for batch in batches:
-            most = _most(batch.column(2).to_numpy(), threshold)
-            keep = [least_edits(x.as_py(), y.as_py()) <= m for x, y, m in zip(batch.column(3), batch.column(4), most)]
+            keep = least_edits(batch.column(3).to_pylist(), batch.column(4).to_pylist()) <= _most(batch.column(2).to_numpy(), threshold)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    return stored(both.mapInArrow(run, "a binary, b binary"), "near-possible")
+    return stored(both.mapInArrow(run, "a long, b long"), "near-possible")
 
 
 def _texts(chosen: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
-    """(node, text) of the chosen nodes, one text a node."""
-    first = stored(nodes.select("node", F.col("doc").alias("first_doc")).join(chosen, "node", "left_semi"), "near-chosen")
+    """(id, text) of the chosen ids, one text a node."""
+    first = stored(nodes.select("node", "id", F.col("doc").alias("first_doc")).join(chosen, "id", "left_semi"), "near-chosen")
     # the join goes by node alone, so that what follows needs no other shuffle
     return stored(docs.join(bounded(first), "node").where(F.coalesce(F.try_subtract("doc", "first_doc"), F.lit(0)) == 0)
-                  .select("node", "text").dropDuplicates(["node"]), "near-texts")
+                  .select("node", "id", "text").dropDuplicates(["node"]).drop("node"), "near-texts")
 
 
 def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, threshold: float) -> DataFrame:
-    """The pairs (a, b) whose texts are similar."""
-    pairs = possible(pairs, nodes, threshold)
-    texts = _texts(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct(), nodes, docs)
-    both = (pairs.join(texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
-            .join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
+    """Of the possible pairs (a, b) of ids those whose texts are similar."""
+    texts = _texts(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct(), nodes, docs)
+    both = (pairs.join(texts.select(F.col("id").alias("b"), F.col("text").alias("text_b")), "b")
+            .join(texts.select(F.col("id").alias("a"), F.col("text").alias("text_a")), "a")
             .select("a", "b", "text_a", "text_b"))
 
     def run(batches):
@@ -274,25 +316,17 @@ def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, threshold: flo
                 keep = pa.array([similar(x, y, threshold) for x, y in zip(one, two)], pa.bool_())
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1)], names=["a", "b"]).filter(keep)
 
-    return stored(both.mapInArrow(run, "a binary, b binary").distinct(), "near-links")
-
-
-def _met(members: DataFrame) -> DataFrame:
-    """The members (node, bucket) of buckets with more than one, and the bucket's centre."""
-    members = stored(members, "near-members")
-    buckets = stored(members.groupBy("bucket").agg(F.count("*").alias("n"), F.min("node").alias("centre"))
-                     .where("n > 1").drop("n"), "near-buckets")
-    return stored(members.join(buckets, "bucket"), "near-met")
+    return stored(both.mapInArrow(run, "a long, b long"), "near-links")
 
 
 def rare_words(texts: DataFrame, threshold: float) -> DataFrame:
-    """(node, word): of each text the rarest of its labelled words, one more than the edits it may have.
+    """(id, word): of each text the rarest of its labelled words, one more than the edits it may have.
 
     Two similar texts share one of these words, whatever the order of the words
     is, if it is one for all texts.  It goes by counts on a sample, then by hash.
     """
     n = texts.count()
-    some = texts.where(F.pmod(F.xxhash64("node"), F.lit(max(1, n // ORDER_TEXTS))) == 0).select("text")
+    some = texts.where(F.pmod(F.xxhash64("id"), F.lit(max(1, n // ORDER_TEXTS))) == 0).select("text")
 
     def count(batches):
         total = np.zeros(ORDER_SLOTS, np.int64)
@@ -316,74 +350,115 @@ def rare_words(texts: DataFrame, threshold: float) -> DataFrame:
                 by = by[np.arange(len(text)) - words.first[text] <= _most(words.counts, threshold)[text]]
                 for part in range(0, len(by), 1 << 16):
                     these = by[part:part + (1 << 16)]
-                    yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(at + text[these])), pa.array(label[these].view(np.int64))], names=["node", "word"])
-
-    return texts.select("node", "text").mapInArrow(run, "node binary, word long")
+                    yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(at + text[these])), pa.array(label[these].view(np.int64))], names=["id", "word"])
+
+    return texts.select("id", "text").mapInArrow(run, "id long, word long")
+
+
+def _allowed(group, one: np.ndarray, two: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """The pairs (rows of the group) between the rows ``one`` and ``two`` that are of different
+    components and that lengths and bags allow; each pair once if they are the same rows."""
+    ids, root, words, bag = group
+    table = np.empty((len(ids), SLOTS), np.int64)
+    known = np.empty((len(ids), SLOTS), dtype=bool)
+    for i, row in enumerate(bag):
+        (table[i],), (known[i],) = _folded([row], SLOTS)
+    found, step = [], max(1, (1 << 21) // (SLOTS * max(1, len(two))))
+    for at in range(0, len(one), step):
+        a = one[at:at + step]
+        longer = np.maximum(words[a][:, None], words[two][None])
+        most = _most(longer, threshold)
+        ok = (root[a][:, None] != root[two][None]) & (np.abs(words[a][:, None] - words[two][None]) <= most)
+        if one is two:
+            ok &= two[None] > a[:, None]
+        i, j = np.nonzero(ok)
+        if not len(i):
+            continue
+        i, j, most = a[i], two[j], most[i, j]
+        d = np.where(known[i] & known[j], table[i] - table[j], 0)
+        near = np.maximum(np.maximum(d, 0).sum(axis=1), np.maximum(-d, 0).sum(axis=1)) <= most
+        i, j, most = i[near], j[near], most[near]
+        near = least_edits([bag[x] for x in i], [bag[x] for x in j]) <= most
+        found.append((i[near], j[near]))
+    if not found:
+        return one[:0], one[:0]
+    return tuple(np.concatenate(x) for x in zip(*found))
 
 
 def crossing(rows: DataFrame, threshold: float) -> DataFrame:
-    """(a, b): all pairs of nodes of different roots with the same key whose lengths allow it;
-    ``rows`` (key, node, root, words).
+    """(a, b): the pairs of ids of different roots with the same key that lengths and bags allow;
+    ``rows`` (key, id, root, words, bag), stored.
 
-    The members of a key's largest root are not set against each other, so a
-    large group of copies costs no more than its pairs with the others.
+    The rows of a key are dealt to blocks by a hash, and every two blocks (and each
+    with itself) are one group of about twice ``BLOCK`` rows, wherever it runs.
     """
-    sizes = stored(rows.groupBy("key", "root").agg(F.count("*").alias("n")), "near-sizes")
-    keys = stored(sizes.groupBy("key").agg(F.count("*").alias("roots"), F.max(F.struct("n", "root"))["root"].alias("largest"))
-                  .where("roots > 1").drop("roots"), "near-keys")
-    rows = stored(rows.join(keys, "key"), "near-rows")
-    other = rows.select("key", F.col("node").alias("b"), F.col("root").alias("root_b"), F.col("words").alias("words_b"))
-    found = (rows.where("root != largest").join(other, "key")
-             .where((F.col("root") != F.col("root_b")) & _level("words", "words_b", threshold)))
-    return found.select(F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b")).distinct()
+    sizes = stored(rows.groupBy("key").agg(F.count("*").alias("n"), F.min("root").alias("r"), F.max("root").alias("s"))
+                   .where("r != s").select("key", F.ceil(F.col("n") / BLOCK).alias("parts")), "near-sizes")
+    mine = F.pmod(F.xxhash64("id"), F.col("parts"))
+    dealt = (rows.join(bounded(sizes), "key").withColumn("mine", mine).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
+             .select("key", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "mine", "id", "root", "words", "bag"))
+
+    def compare(part):
+        i, j, mine, ids, root, words = (part.column(c).to_numpy() for c in range(1, 7))
+        group = ids, root, words, part.column(7).to_pylist()
+        one = np.flatnonzero(mine == i)
+        x, y = _allowed(group, one, one if i[0] == j[0] else np.flatnonzero(mine == j), threshold)
+        return np.minimum(ids[x], ids[y]), np.maximum(ids[x], ids[y])
+
+    def run(batches):
+        carry = []  # rows of a group that may go on in the next batch
+
+        def compared(table, upto):
+            head = [table.column(c).to_numpy() for c in range(3)]
+            new = np.flatnonzero(np.any([h[1:] != h[:-1] for h in head], axis=0)) + 1
+            ends = [0, *new.tolist(), len(table)]
+            cut = ends[-2] if upto is None else upto
+            out = [compare(table.slice(x, y - x)) for x, y in zip(ends[:-1], ends[1:]) if y <= cut]
+            a, b = (np.concatenate([o[k] for o in out]) if out else np.zeros(0, np.int64) for k in (0, 1))
+            return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"]), table.slice(cut)
+
+        for batch in batches:
+            if len(batch):
+                made, rest = compared(pa.Table.from_batches([*carry, batch]).combine_chunks(), None)
+                carry = rest.to_batches()
+                yield made
+        if carry:
+            table = pa.Table.from_batches(carry).combine_chunks()
+            yield compared(table, len(table))[0]
+
+    pairs = dealt.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j").mapInArrow(run, "a long, b long")
+    return stored(pairs.distinct(), "near-crossing")
 
 
 def compared(members: DataFrame, label: DataFrame, nodes: DataFrame, docs: DataFrame, threshold: float) -> DataFrame:
-    """The links between different components among all members (bucket, node) of a bucket.
+    """The links between different components among all members (bucket, id) of a bucket.
 
-    Small buckets compare every two members.  A larger one is split by the rare
-    words of its members' texts, which loses no similar pair.
+    A bucket of more than ``LARGE`` members is split by the rare words of its
+    members' texts, which loses no similar pair.
     """
-    rows = stored(members.join(label, "node", "left").withColumn("root", F.coalesce("root", "node")), "near-open")
-    sizes = stored(rows.groupBy("bucket").agg(F.count("*").alias("n"), F.min("root").alias("r"), F.max("root").alias("s"))
+    held = stored(members.join(label.withColumnRenamed("node", "id"), "id", "left").withColumn("root", F.coalesce("root", "id")), "near-held")
+    sizes = stored(held.groupBy("bucket").agg(F.count("*").alias("n"), F.min("root").alias("r"), F.max("root").alias("s"))
                    .where("r != s").select("bucket", "n"), "near-sizes")
-    rows = stored(rows.join(sizes, "bucket").join(nodes.select("node", "words"), "node"), "near-open")
-    pairs = crossing(rows.where(F.col("n") <= SMALL).select(F.col("bucket").alias("key"), "node", "root", "words"), threshold)
-    large = rows.where(F.col("n") > SMALL)
+    rows = stored(held.join(bounded(sizes), "bucket").join(nodes.select("id", "words", "bag"), "id"), "near-open")
+    columns = ["id", "root", "words", "bag"]
+    keyed = rows.where(F.col("n") <= LARGE).select(F.col("bucket").alias("key"), *columns)
+    large = rows.where(F.col("n") > LARGE)
     if not large.isEmpty():
-        words = stored(rare_words(_texts(large.select("node").distinct(), nodes, docs), threshold), "near-rare")
-        split = large.join(words, "node").select(F.xxhash64("bucket", "word").alias("key"), "node", "root", "words")
-        pairs = pairs.union(crossing(stored(split, "near-split"), threshold)).distinct()
-    return verified(stored(pairs, "near-pairs"), nodes, docs, threshold)
-
-
-def linked(nodes: DataFrame, docs: DataFrame, threshold: float, centres: int = CENTRES) -> DataFrame:
-    """(node, root): the components of the verified links between different texts;
-    ``nodes`` (node, doc, sketch, words, bag), ``docs`` (doc, node, text)."""
-    members = _met(nodes.select("node", F.explode("sketch").alias("bucket")))
-    pairs = stored(members.where("node != centre").select(F.col("centre").alias("a"), F.col("node").alias("b")).distinct(), "near-pairs")
-    label = components(verified(pairs, nodes, docs, threshold))
+        words = stored(rare_words(_texts(large.select("id").distinct(), nodes, docs), threshold), "near-rare")
+        keyed = stored(keyed.union(large.join(words, "id").select(F.xxhash64("bucket", "word").alias("key"), *columns)), "near-split")
+    return verified(crossing(keyed, threshold), nodes, docs, threshold)
+
+
+def linked(nodes: DataFrame, docs: DataFrame, threshold: float) -> DataFrame:
+    """(node, root): ids in the components of the verified links between different texts;
+    ``nodes`` (id, node, doc, sketch, words, bag), ``docs`` (doc, node, text)."""
+    members = nodes.select("id", F.explode("sketch").alias("bucket"))
+    buckets = stored(members.groupBy("bucket").agg(F.count("*").alias("n"), F.min("id").alias("centre")).where("n > 1").drop("n"), "near-buckets")
+    members = stored(members.join(buckets, "bucket"), "near-members")
+    pairs = members.where("id != centre").select(F.col("centre").alias("a"), F.col("id").alias("b")).distinct()
+    label = components(verified(possible(pairs, nodes, threshold), nodes, docs, threshold))
     # the centre has met all others: what is open is between these
-    members, rounds = members.where("node != centre").select("bucket", "node"), 0
-    while True:  # quick rounds, so that few components are left to compare
-        rounds += 1
-        held = stored(members.join(label, "node", "left").withColumn("root", F.coalesce("root", "node"))
-                      .groupBy("bucket", "root").agg(F.min(F.struct(F.xxhash64("node", "bucket", F.lit(rounds)).alias("h"), "node")).alias("m"))
-                      .select("bucket", "root", F.col("m.node").alias("node")), "near-held")
-        if rounds == 1:  # a bucket with one component has nothing more to tell
-            several = stored(held.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").drop("n"), "near-several")
-            members, held = (stored(x.join(bounded(several), "bucket", "left_semi"), "near-open") for x in (members, held))
-        draws = [F.min(F.struct(F.xxhash64("root", "bucket", F.lit(rounds), F.lit(k)).alias("h"), "root", "node")).alias(f"c{k}") for k in range(centres)]
-        chosen = (held.groupBy("bucket").agg(F.count("*").alias("n"), *draws).where("n > 1")
-                        .select("bucket", F.explode(F.array_distinct(F.array(*[
-                            F.struct(F.col(f"c{k}.root").alias("root"), F.col(f"c{k}.node").alias("node")) for k in range(centres)]))).alias("c")))
-        more = (held.join(chosen, "bucket").where(F.col("root") != F.col("c.root"))
-                .select(F.least("node", "c.node").alias("a"), F.greatest("node", "c.node").alias("b")).distinct())
-        new = verified(stored(more, "near-pairs"), nodes, docs, threshold)
-        if new.isEmpty():
-            break
-        label = merged(label, new)
-    new = compared(members, label, nodes, docs, threshold)
+    new = compared(members.where("id != centre").select("bucket", "id"), label, nodes, docs, threshold)
     return label if new.isEmpty() else merged(label, new)
 
 
@@ -404,7 +479,7 @@ def _node(text: str) -> Column:
 def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", k: int = KMER,
             sketches: int = SKETCHES, threshold: float = SIMILARITY) -> DataFrame:
     """(node, root, class_id): the class of every different text; node is the text's
-    md5, root the least node of the class, class_id its least doc_id.
+    md5, root a number that its class has in this run, class_id its least doc_id.
 
     Texts without words have no k-mers and are alike only if equal.  A null text
     is no node.  Repeated rows and equal texts share a node; null doc_ids count
@@ -428,10 +503,10 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", k: int
 
     sketched, _ = append_columns(narrow, "text", [("sketch", T.ArrayType(T.LongType())), ("words", T.LongType()), ("bag", T.BinaryType())], factory, keep=["doc", "node"])
     nodes = stored(sketched.groupBy("node").agg(
-        F.min("doc").alias("doc"), *[F.first(c).alias(c) for c in ("sketch", "words", "bag")]), "near-nodes")
+        F.min("doc").alias("doc"), *[F.first(c).alias(c) for c in ("sketch", "words", "bag")]).withColumn("id", F.monotonically_increasing_id()), "near-nodes")
     label = linked(nodes, narrow, threshold)
-    root = nodes.select("node", "doc").join(label, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    root = stored(root, "near-roots")
+    root = nodes.select("id", "node", "doc").join(label.withColumnRenamed("node", "id"), "id", "left").withColumn("root", F.coalesce("root", "id"))
+    root = stored(root.drop("id"), "near-roots")
     least = stored(root.groupBy("root").agg(F.min("doc").alias("class_id")), "near-least")
     return stored(root.join(least, "root").select("node", "root", "class_id"), "near-classes")
 
