@@ -248,10 +248,10 @@ def _most(words: int | np.ndarray, threshold: float):
 
 
 def bags(words) -> list[bytes]:
-    """Of each text the counts (to 255) of its words by hash, in a power of two of slots, a few words a slot."""
+    """Of each text the counts (to 255) of its words by hash, in a power of two of slots, two to four a word."""
     hashes, out = words.hashes(), []
     for i, j in zip(words.first[:-1], words.first[1:]):
-        slots = max(SLOTS, 1 << int((j - i) // 4).bit_length())
+        slots = max(SLOTS, 1 << int(2 * (j - i)).bit_length())
         out.append(np.minimum(np.bincount((hashes[i:j] & np.uint64(slots - 1)).astype(np.int64), minlength=slots), 255).astype(np.uint8).tobytes())
     return out
 
