@@ -470,6 +470,12 @@ def downloads_kmeans(spark, sf_dir):
                      F.bool_and(near).alias("centres_are_means"))
 
 
+@query
+def downloads_clusters(spark, sf_dir):
+    """M7: the clusters themselves (no SQL: the centres depend on the drawn start)."""
+    return rp.downloads_kmeans(_matrix(spark, sf_dir))
+
+
 # =================================================================== split / model
 
 def _split_rows(spark, sf_dir, stored: bool = False) -> DataFrame:
@@ -542,6 +548,20 @@ def train_forest(spark, sf_dir):
         F.bool_and(F.col("prediction").between(low, high)).alias("in_range")), 4)
 
 
+@query
+def forest_metrics(spark, sf_dir):
+    """M5: the forest's metrics per set, each set on all of its rows (no SQL: the trees are learned)."""
+    model, train, test = _fit(spark, sf_dir)
+    return tr.evaluate(model, {tr.TEST_SET_NAME: test, tr.TRAIN_SET_NAME: train})
+
+
+@query
+def forest_actual_vs_predicted(spark, sf_dir):
+    """Label and the forest's prediction as integers for every row of the test side."""
+    model, _, test = _fit(spark, sf_dir)
+    return mt.actual_vs_predicted(model.transform(test))
+
+
 @query
 def model_roundtrip(spark, sf_dir):
     model, _, test = _fit(spark, sf_dir)
@@ -562,6 +582,20 @@ def score_requests(spark, sf_dir):
                                  F.col("predicted_downloads").isNotNull().alias("scored")), 4)
 
 
+@query
+def predict_requests(spark, sf_dir):
+    """The predicted downloads of every request, as integers (no SQL: the trees are learned).
+
+    Model and statistics are read from what the training and feature jobs write.
+    """
+    model, _, _ = _fit(spark, sf_dir)
+    t = _t(spark, sf_dir)
+    saved = tr.load_model(tr.save_model(model, scratch_path(spark, "forest")))
+    stats = lk.write_match_statistics(feat.lookup_features(fx.music_inputs(t)), scratch_path(spark, "match_statistics"))
+    resolved = lk.resolve_stored(fx.requests(t), lk.read_match_statistics(spark, stats))
+    return sc.score_resolved(resolved, saved).select("request_id", "match_level", *sc.SCORE_INPUTS, "predicted_downloads")
+
+
 # Keys whose function name differs (they shadow library names inside this module).
 for _alias, _fn in [("clean_string", clean_string_q), ("is_all_digits", is_all_digits_q),
                     ("na_to_zero", na_to_zero_q), ("translate_confidence", translate_confidence_q),
