@@ -7,6 +7,7 @@ import re
 import time
 from collections import Counter
 
+import duckdb
 import numpy as np
 import pyarrow as pa
 import pytest
@@ -398,8 +399,22 @@ def test_url_all_links_of_a_page_count(spark):
             (3, "http://c.org/3", f"<link rel='alternate  canonical' {blocked}>"),            # a later token of rel
             (4, "http://d.org/4", f"<link rel='not-canonical' {blocked}><link rel='canonicals' {blocked}>"),
             (5, "http://e.org/5", '<meta http-equiv=refresh content="5"><meta http-equiv="refresh" content="0; url=http://x.net/es/1">')]
-    got = {r["page_id"]: r["verdict"] for r in url_filter.digest(spark.createDataFrame(rows, PAGES)).collect()}
-    assert got == {1: "block", 2: "block", 3: "block", 4: "allow", 5: "block"}
+    rows += [(6, "http://f.org/6", '<link rel="canonical" href="/7">'), (7, "http://f.org/7", "<link rel=canonical href=http://a.org/1>"),  # a chain
+             (8, "http://g.org/8", f"<link rel='canonical' {blocked}><link rel='canonical' href='http://h.com/'>"), (9, "http://i.org/9", None)]
+    pages = spark.createDataFrame(rows, PAGES)
+    got = {r["page_id"]: r["verdict"] for r in url_filter.digest(pages).collect()}
+    # 8 allows all that shares its component, as h.com is allowed, but no page's own rule
+    assert got == {i: "allow" for i in range(1, 10)}
+    short = [r for r in rows if r[0] != 8]
+    got = {r["page_id"]: r["verdict"] for r in url_filter.digest(pages.where("page_id != 8")).collect()}
+    assert got == {1: "block", 2: "block", 3: "block", 4: "allow", 5: "block", 6: "block", 7: "block", 9: "allow"}
+    for some in (rows, short):  # the SQL states the same rule
+        con = duckdb.connect()
+        con.execute("create table pages (page_id bigint, url varchar, html varchar)")
+        con.executemany("insert into pages values (?, ?, ?)", some)
+        want = sorted(con.execute(f"select page_id, host, path, rule, verdict from ({url_filter.SQL})").fetchall())
+        made = url_filter.digest(spark.createDataFrame(some, PAGES)).select("page_id", "host", "path", "rule", "verdict")
+        assert sorted(map(tuple, made.collect())) == want
 
 
 def fill(sizes, weights, share, most):

@@ -123,10 +123,10 @@ with recursive p as (select page_id, html,
     case when contains(url, '://') then regexp_extract(url, '^(?s:.*?)://[^/?#]*([^?#]*)', 1) else '' end path,
     case when contains(url, '://') then regexp_extract(url, '^(?s:.*?)://[^/?#]*[^?#]*(\?[^#]*)', 1) else '' end q from pages),
  k as (select page_id, html, translate(h0, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') host, path, q from p),
- l as (select host, path, host || path || q a, replace(unnest([
-    regexp_extract(regexp_extract(html, '(?i)<link\b[^>]*\brel\s*=\s*["'']?canonical\b[^>]*>'), '(?i)\bhref\s*=\s*["'']?([^"''\s>]+)', 1),
-    regexp_extract(regexp_extract(html, '(?i)<meta\b[^>]*\bhttp-equiv\s*=\s*["'']?refresh\b[^>]*>'), '(?i)\burl\s*=\s*["'']?([^"''\s>]+)', 1)]),
-    '&amp;', '&') link from k where host <> ''),
+ l as (select host, path, host || path || q a, replace(unnest(list_concat(
+    list_transform(regexp_extract_all(html, '(?i)<link\b[^>]*\brel\s*=\s*(?:["'']?|"[^">]*\s|''[^''>]*\s)canonical\b[^>]*>'), lambda x : regexp_extract(x, '(?i)\bhref\s*=\s*["'']?([^"''\s>]+)', 1)),
+    list_transform(regexp_extract_all(html, '(?i)<meta\b[^>]*\bhttp-equiv\s*=\s*["'']?refresh\b[^>]*>'), lambda x : regexp_extract(x, '(?i)\burl\s*=\s*["'']?([^"''\s>]+)', 1)))),
+    '&amp;', '&') link from k where host <> '' and html is not null),
  t as (select a, case when regexp_matches(link, '^[A-Za-z][A-Za-z0-9+.-]*://') then link when link like '//%' then 'http:' || link
     when link like '/%' then 'http://' || host || link when link like '#%' or link = '' then null
     else 'http://' || host || case when path = '' then '/' else regexp_extract(path, '^(?s:(.*/))', 1) end || link end u from l),
