@@ -121,18 +121,42 @@ def test_language_codes_and_odd_rows(spark, odd):
     assert langid.identify(odd, none)[0].where("lang_pred != 'und'").count() == 0
 
 
+def plain(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        new = [i]
+        for j, y in enumerate(b, 1):
+            new.append(min(row[j] + 1, new[-1] + 1, row[j - 1] + (x != y)))
+        row = new
+    return row[-1]
+
+
+def test_near_duplicates_many_pairs_at_once_match_plain_edit_distance(monkeypatch):
+    rng, texts, pairs = random.Random(4), [[], [1], []], [(0, 2), (0, 1), (1, 0), (1, 1)]
+    for _ in range(400):
+        v = rng.choice([2, 5, 50])
+        a = [rng.randrange(v) for _ in range(rng.randint(0, 60))]
+        b = list(a)
+        for _ in range(rng.randint(0, len(a) // 3 + 1)):
+            at = rng.randint(0, len(b))
+            b[at:at + rng.randint(0, 1)] = [rng.randrange(v)] * rng.randint(0, 1)
+        pairs += [(len(texts), len(texts) + 1), (len(texts) + 1, rng.randrange(len(texts) + 2))]
+        texts += [a, b]
+    words = np.array([w for t in texts for w in t], np.uint64)
+    first = np.cumsum([0, *map(len, texts)])
+    one, two = np.array(pairs).T
+    for threshold in (0.8, 0.6):
+        want = [plain(texts[a], texts[b]) <= int((1 - threshold) * max(len(texts[a]), len(texts[b])) + 1e-9) for a, b in pairs]
+        assert 100 < sum(want) < len(pairs) - 100
+        for together, cells in ((512, 1 << 19), (512, 500), (3, 1 << 19)):
+            monkeypatch.setattr(near_dedup, "TOGETHER", together)
+            monkeypatch.setattr(near_dedup, "CELLS", cells)
+            assert near_dedup.similar_pairs(words, first, one, two, threshold).tolist() == want
+
+
 def test_near_duplicates_alignment_matches_plain_edit_distance(monkeypatch):
     rng = random.Random(1)
 
-    def plain(a, b):
-        row = list(range(len(b) + 1))
-        for i, x in enumerate(a, 1):
-            new = [i]
-            for j, y in enumerate(b, 1):
-                new.append(min(row[j] + 1, new[-1] + 1, row[j - 1] + (x != y)))
-            row = new
-        return row[-1]
-
     for wide in [True, False] * 300:
         monkeypatch.setattr(near_dedup, "WIDE", -1 if wide else 64)
         v = rng.choice([2, 5, 50])

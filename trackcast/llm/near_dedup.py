@@ -10,13 +10,16 @@ shared content in the same order (edit similarity), not just to a shared set.
 2. Texts with an equal sketch meet in a bucket.  A bucket first pairs each member
    with one centre, so it makes as many candidate pairs as it has members.
 3. Then all members of different components of a bucket are compared, in blocks
-   of ``BLOCK``: lengths and bags of words rule out most pairs inside the task, and
-   only what they allow becomes a row.  Buckets of more than ``LARGE`` are first
-   split by the members' rare words, of which two similar texts share one.  No
-   similar pair that meets in a bucket is lost by that.
+   of ``BLOCK``: lengths and bags of words rule out most pairs inside the task, the
+   others are aligned there, each pair in the first of the buckets that it shares,
+   and only links become rows.  Buckets of more than ``LARGE`` are split by the
+   members' rare words, of which two similar texts share one; there what lengths
+   and bags allow becomes a row.  No similar pair that meets in a bucket is lost
+   by that.
 4. A candidate pair is a link if the word edit similarity,
    ``1 - distance / words of the longer text``, is 0.8 or more; the alignment
-   walks diagonals inside the band that this threshold leaves.
+   walks diagonals inside the band that this threshold leaves, for many pairs at
+   once.
 5. Classes are the connected components of the links.
 
 Hot buckets and digests are aggregated before the shuffle, and joined from
@@ -46,7 +49,10 @@ LARGE = 4096         # members from which on a bucket is split by rare words fir
 SLOTS = 64           # least size of a bag
 ORDER_TEXTS = 4096   # about as many texts are counted for the order of the words
 ORDER_SLOTS = 1 << 18
+BLOCK_WORDS = 1 << 20  # words of a bucket that are one block
 WIDE = 64            # edits from which on the alignment works on all diagonals at once
+TOGETHER = 512       # edits up to which many pairs are aligned at once
+CELLS = 1 << 19      # furthest points of the pairs that are aligned at once
 SEED = 5
 
 
@@ -234,12 +240,72 @@ def similar(a: np.ndarray, b: np.ndarray, threshold: float = SIMILARITY) -> bool
     return longer == 0 or edit_distance(a, b, most, exact=False) is not None
 
 
-def _word_lists(column: pa.Array) -> list[np.ndarray]:
-    out = []
+def _walk(words: np.ndarray, a0: np.ndarray, n: np.ndarray, b0: np.ndarray, m: np.ndarray, most: np.ndarray) -> np.ndarray:
+    """Of each pair of runs of ``words`` (from ``a0``, of ``n`` words; from ``b0``, of ``m``, not
+    fewer) whether ``most`` edits or fewer lead from one to the other: the furthest points of
+    0, 1, 2, ... edits on the diagonals of all pairs at once."""
+    out, last, lost = np.zeros(len(n), bool), len(words) - 1, np.int32(-(1 << 30))
+    pair = np.flatnonzero(m - n <= most)
+    reach = int(most[pair].max()) if len(pair) else 0
+    far = np.full((len(pair), 2 * reach + 3), lost, np.int32)  # with a margin on either side
+    far[:, reach + 1] = 0
+    for e in range(reach + 1):
+        na, mb, left, goal = n[pair], m[pair], most[pair] - e, (m - n)[pair]
+        c0, c1 = reach + 1 - e, reach + 2 + e
+        d = np.arange(-e, e + 1)
+        now = far[:, c0:c1]
+        if e:
+            now = np.maximum(np.maximum(now + 1, far[:, c0 - 1:c1 - 1]), far[:, c0 + 1:c1 + 1] + 1)
+            now = np.minimum(now, np.minimum(na[:, None], mb[:, None] - d).astype(np.int32))
+            now[now < np.maximum(0, -d)] = lost
+        row, col = np.nonzero((now >= 0) & (np.abs(d - goal[:, None]) <= left[:, None]))  # from where the end can be reached
+        i, k = now[row, col].astype(np.int64), d[col]
+        end, one = np.minimum(na[row], mb[row] - k), a0[pair][row]
+        two, width = b0[pair][row] + k, 1
+        at = np.flatnonzero(i < end)
+        while len(at):  # slide along equal words
+            step = i[at][:, None] + np.arange(width)
+            equal = (step < end[at][:, None]) & (words[np.minimum(one[at][:, None] + step, last)] == words[np.minimum(two[at][:, None] + step, last)])
+            run = np.where(equal.all(axis=1), width, np.argmin(equal, axis=1))
+            i[at] += run
+            at = at[(run == width) & (i[at] < end[at])]
+            width = min(4 * width, max(4, CELLS // max(1, len(at))))
+        now[row, col] = i
+        far[:, c0:c1] = now
+        there = far[np.arange(len(pair)), reach + 1 + goal] >= na
+        out[pair[there]] = True
+        stay = ~there & (left > 0)
+        if not stay.all():
+            pair, far = pair[stay], far[stay]
+        if not len(pair):
+            break
+    return out
+
+
+def similar_pairs(words: np.ndarray, first: np.ndarray, one: np.ndarray, two: np.ndarray, threshold: float = SIMILARITY) -> np.ndarray:
+    """``similar`` of many pairs (``one``, ``two``) of texts; text t is ``words[first[t]:first[t + 1]]``."""
+    counts = np.diff(first)
+    a, b = np.where(counts[one] > counts[two], (two, one), (one, two))
+    most, out = _most(counts[b], threshold), np.zeros(len(a), bool)
+    for p in np.flatnonzero(most > TOGETHER):
+        out[p] = similar(words[first[a[p]]:first[a[p] + 1]], words[first[b[p]]:first[b[p] + 1]], threshold)
+    order = np.flatnonzero(most <= TOGETHER)
+    order = order[np.argsort(most[order], kind="stable")]  # bands of about one width side by side
+    while len(order):
+        n = max(1, int(np.searchsorted((2 * most[order] + 3) * np.arange(1, len(order) + 1), CELLS, side="right")))
+        part, order = order[:n], order[n:]
+        out[part] = _walk(words, first[a[part]], counts[a[part]], first[b[part]], counts[b[part]], most[part])
+    return out
+
+
+def _all_words(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The word hashes of the texts, one text after the other, and where each text begins."""
+    hashes, counts = [np.zeros(0, np.uint64)], [np.zeros(1, np.int64)]
     for _, _, data, offsets in groups(column):
         words = words_of(LOWER[data], offsets, NOT_SPACE)
-        out.extend(np.split(words.hashes(), words.first[1:-1]))
-    return out
+        hashes.append(words.hashes())
+        counts.append(words.counts)
+    return np.concatenate(hashes), np.cumsum(np.concatenate(counts))
 
 
 def _most(words: int | np.ndarray, threshold: float):
@@ -310,10 +376,11 @@ def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, threshold: flo
 
     def run(batches):
         for batch in batches:
-            for at in range(0, len(batch), 64):  # word lists of few texts at a time
-                part = batch.slice(at, 64)
-                one, two = _word_lists(part.column(2)), _word_lists(part.column(3))
-                keep = pa.array([similar(x, y, threshold) for x, y in zip(one, two)], pa.bool_())
+            for at in range(0, len(batch), 512):  # the words of few texts at a time
+                part = batch.slice(at, 512)
+                n = np.arange(len(part))
+                words, first = _all_words(pa.concat_arrays([part.column(2), part.column(3)]))
+                keep = pa.array(similar_pairs(words, first, n, n + len(part), threshold), pa.bool_())
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1)], names=["a", "b"]).filter(keep)
 
     return stored(both.mapInArrow(run, "a long, b long"), "near-links")
@@ -355,9 +422,10 @@ def rare_words(texts: DataFrame, threshold: float) -> DataFrame:
     return texts.select("id", "text").mapInArrow(run, "id long, word long")
 
 
-def _allowed(group, one: np.ndarray, two: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+def _allowed(group, one: np.ndarray, two: np.ndarray, threshold: float, mine=None) -> tuple[np.ndarray, np.ndarray]:
     """The pairs (rows of the group) between the rows ``one`` and ``two`` that are of different
-    components and that lengths and bags allow; each pair once if they are the same rows."""
+    components and that lengths and bags allow; each pair once if they are the same rows.
+    ``mine`` tells of pairs which belong to the group, should not all."""
     ids, root, words, bag = group
     table = np.empty((len(ids), SLOTS), np.int64)
     known = np.empty((len(ids), SLOTS), dtype=bool)
@@ -377,6 +445,8 @@ def _allowed(group, one: np.ndarray, two: np.ndarray, threshold: float) -> tuple
         i, j, most = a[i], two[j], most[i, j]
         d = np.where(known[i] & known[j], table[i] - table[j], 0)
         near = np.maximum(np.maximum(d, 0).sum(axis=1), np.maximum(-d, 0).sum(axis=1)) <= most
+        if mine is not None:
+            near[near] = mine(i[near], j[near])
         i, j, most = i[near], j[near], most[near]
         near = least_edits([bag[x] for x in i], [bag[x] for x in j]) <= most
         found.append((i[near], j[near]))
@@ -385,30 +455,26 @@ def _allowed(group, one: np.ndarray, two: np.ndarray, threshold: float) -> tuple
     return tuple(np.concatenate(x) for x in zip(*found))
 
 
-def crossing(rows: DataFrame, threshold: float) -> DataFrame:
-    """(a, b): the pairs of ids of different roots with the same key that lengths and bags allow;
-    ``rows`` (key, id, root, words, bag), stored.
+def blocks(rows: DataFrame) -> DataFrame:
+    """``rows`` (key, id, root, words, ...), stored, of the keys with several roots, dealt for the
+    comparison of all with all: key, i, j, mine, then the other columns.
 
-    The rows of a key are dealt to blocks by a hash, and every two blocks (and each
-    with itself) are one group of about twice ``BLOCK`` rows, wherever it runs.
+    The rows of a key are dealt to blocks by a hash, of about ``BLOCK`` rows and ``BLOCK_WORDS``
+    words at most, and every two blocks (and each with itself) are one group (key, i, j).
     """
-    sizes = stored(rows.groupBy("key").agg(F.count("*").alias("n"), F.min("root").alias("r"), F.max("root").alias("s"))
-                   .where("r != s").select("key", F.ceil(F.col("n") / BLOCK).alias("parts")), "near-sizes")
+    sizes = stored(rows.groupBy("key").agg(F.count("*").alias("n"), F.sum("words").alias("w"), F.min("root").alias("r"), F.max("root").alias("s"))
+                   .where("r != s").select("key", F.ceil(F.greatest(F.col("n") / BLOCK, F.col("w") / BLOCK_WORDS)).alias("parts")), "near-sizes")
     mine = F.pmod(F.xxhash64("id"), F.col("parts"))
-    dealt = (rows.join(bounded(sizes), "key").withColumn("mine", mine).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
-             .select("key", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "mine", "id", "root", "words", "bag"))
+    return (rows.join(bounded(sizes), "key").withColumn("mine", mine).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
+            .select("key", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "mine", *[c for c in rows.columns if c != "key"]))
 
-    def compare(part):
-        i, j, mine, ids, root, words = (part.column(c).to_numpy() for c in range(1, 7))
-        group = ids, root, words, part.column(7).to_pylist()
-        one = np.flatnonzero(mine == i)
-        x, y = _allowed(group, one, one if i[0] == j[0] else np.flatnonzero(mine == j), threshold)
-        return np.minimum(ids[x], ids[y]), np.maximum(ids[x], ids[y])
 
+def _by_group(dealt: DataFrame, compare) -> DataFrame:
+    """The pairs (a, b) that ``compare`` finds in the rows of each group of ``blocks``, wherever it runs."""
     def run(batches):
         carry = []  # rows of a group that may go on in the next batch
 
-        def compared(table, upto):
+        def found(table, upto):
             head = [table.column(c).to_numpy() for c in range(3)]
             new = np.flatnonzero(np.any([h[1:] != h[:-1] for h in head], axis=0)) + 1
             ends = [0, *new.tolist(), len(table)]
@@ -419,15 +485,60 @@ def crossing(rows: DataFrame, threshold: float) -> DataFrame:
 
         for batch in batches:
             if len(batch):
-                made, rest = compared(pa.Table.from_batches([*carry, batch]).combine_chunks(), None)
+                made, rest = found(pa.Table.from_batches([*carry, batch]).combine_chunks(), None)
                 carry = rest.to_batches()
                 yield made
         if carry:
             table = pa.Table.from_batches(carry).combine_chunks()
-            yield compared(table, len(table))[0]
+            yield found(table, len(table))[0]
+
+    return dealt.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j").mapInArrow(run, "a long, b long")
+
+
+def crossing(rows: DataFrame, threshold: float) -> DataFrame:
+    """(a, b): the pairs of ids of different roots with the same key that lengths and bags allow;
+    ``rows`` (key, id, root, words, bag), stored."""
+    def compare(part):
+        i, j, mine, ids, root, words = (part.column(c).to_numpy() for c in range(1, 7))
+        group = ids, root, words, part.column(7).to_pylist()
+        one = np.flatnonzero(mine == i)
+        x, y = _allowed(group, one, one if i[0] == j[0] else np.flatnonzero(mine == j), threshold)
+        return np.minimum(ids[x], ids[y]), np.maximum(ids[x], ids[y])
+
+    return stored(_by_group(blocks(rows), compare).distinct(), "near-crossing")
+
+
+def linking(rows: DataFrame, nodes: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
+    """(a, b): the links between ids of different roots with the same bucket ``key``; ``rows``
+    (key, id, root, words), stored, ``texts`` (id, text).  The pairs are aligned inside the task,
+    each in the first of the buckets that both texts are in."""
+    own = texts.join(nodes.select("id", "sketch"), "id")
+    dealt = blocks(rows).join(own, "id").select("key", "i", "j", "mine", "id", "root", "words", "sketch", "text")
+
+    def compare(part):
+        key, i, j, mine, ids, root, words = (part.column(c).to_numpy() for c in range(7))
+        if (root == root[0]).all():
+            return ids[:0], ids[:0]
+        lists, text = (part.column(c).combine_chunks() for c in (7, 8))
+        sketch = lists.flatten().to_numpy().reshape(len(ids), -1)
+        bag = [x for _, _, data, offsets in groups(text) for x in bags(words_of(LOWER[data], offsets, NOT_SPACE))]
+
+        def first_here(x, y):
+            out = np.empty(len(x), bool)
+            for at in range(0, len(x), 1 << 14):
+                p, q = sketch[x[at:at + (1 << 14)]], sketch[y[at:at + (1 << 14)]]
+                out[at:at + (1 << 14)] = p[np.arange(len(p)), (p == q).argmax(axis=1)] == key[0]
+            return out
+
+        one = np.flatnonzero(mine == i)
+        x, y = _allowed((ids, root, words, bag), one, one if i[0] == j[0] else np.flatnonzero(mine == j), threshold, first_here)
+        if not len(x):
+            return ids[:0], ids[:0]
+        need, at = np.unique(np.concatenate([x, y]), return_inverse=True)
+        keep = similar_pairs(*_all_words(text.take(pa.array(need))), at[:len(x)], at[len(x):], threshold)
+        return np.minimum(ids[x], ids[y])[keep], np.maximum(ids[x], ids[y])[keep]
 
-    pairs = dealt.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j").mapInArrow(run, "a long, b long")
-    return stored(pairs.distinct(), "near-crossing")
+    return stored(_by_group(dealt, compare), "near-links")
 
 
 def compared(members: DataFrame, label: DataFrame, nodes: DataFrame, docs: DataFrame, threshold: float) -> DataFrame:
@@ -439,14 +550,16 @@ def compared(members: DataFrame, label: DataFrame, nodes: DataFrame, docs: DataF
     held = stored(members.join(label.withColumnRenamed("node", "id"), "id", "left").withColumn("root", F.coalesce("root", "id")), "near-held")
     sizes = stored(held.groupBy("bucket").agg(F.count("*").alias("n"), F.min("root").alias("r"), F.max("root").alias("s"))
                    .where("r != s").select("bucket", "n"), "near-sizes")
-    rows = stored(held.join(bounded(sizes), "bucket").join(nodes.select("id", "words", "bag"), "id"), "near-open")
-    columns = ["id", "root", "words", "bag"]
-    keyed = rows.where(F.col("n") <= LARGE).select(F.col("bucket").alias("key"), *columns)
+    rows = stored(held.join(bounded(sizes), "bucket").join(nodes.select("id", "words"), "id"), "near-open")
+    texts = _texts(rows.select("id").distinct(), nodes, docs)
+    found = linking(rows.where(F.col("n") <= LARGE).select(F.col("bucket").alias("key"), "id", "root", "words"), nodes, texts, threshold)
     large = rows.where(F.col("n") > LARGE)
-    if not large.isEmpty():
-        words = stored(rare_words(_texts(large.select("id").distinct(), nodes, docs), threshold), "near-rare")
-        keyed = stored(keyed.union(large.join(words, "id").select(F.xxhash64("bucket", "word").alias("key"), *columns)), "near-split")
-    return verified(crossing(keyed, threshold), nodes, docs, threshold)
+    if large.isEmpty():
+        return found
+    words = stored(rare_words(texts.join(large.select("id").distinct(), "id", "left_semi"), threshold), "near-rare")
+    keyed = stored(large.join(words, "id").join(nodes.select("id", "bag"), "id")
+                   .select(F.xxhash64("bucket", "word").alias("key"), "id", "root", "words", "bag"), "near-split")
+    return found.union(verified(crossing(keyed, threshold), nodes, docs, threshold))
 
 
 def linked(nodes: DataFrame, docs: DataFrame, threshold: float) -> DataFrame:
