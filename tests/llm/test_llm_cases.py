@@ -456,6 +456,31 @@ def fill(sizes, weights, share, most):
     return target
 
 
+def test_mixing_offset_is_unbiased_and_misses_by_less_than_a_document(spark):
+    rng = random.Random(12)
+    rows = [(i, prose(rng.randrange(1, 300), i), "en", f"s{rng.randrange(40):02d}", 0) for i in range(600)] + [(1000, "again and again", "en", "s00", 0)] * 20
+    lined = mixing.placed(mixing.entries(make(spark, rows).select("doc_id", "text", "source")))
+    every = lined.drop("offset").withColumn("offset", F.explode(F.sequence(F.lit(0), F.lit(1023))))
+    times = mixing._copies(F.col("ahead"), F.col("n"), F.col("offset"))
+    mean = every.groupBy("key", "id").agg(F.avg(times).alias("mean"), F.max(F.col("n") * F.col("rate")).alias("wanted"))
+    assert all(abs(r["mean"] - r["wanted"]) < 0.003 for r in mean.collect())  # over all offsets a row comes as often as it expects
+    words = every.groupBy("key", "offset").agg(F.sum(times * F.col("size")).alias("words"), F.max("target").alias("target"), F.max("size").alias("largest"))
+    assert words.where(F.abs(F.col("words") - F.col("target")) > F.col("largest")).isEmpty()
+    seeds = [F.abs(F.avg(mixing._bits(F.md5(F.concat(F.lit(f"{seed}|"), F.col("id").cast("string")))) % 1024) - 511.5) for seed in range(5)]
+    assert all(off < 15 for off in spark.range(20_000).agg(*seeds).first())
+
+
+def test_mixing_targets_of_many_sources(spark):
+    rng = random.Random(13)
+    sizes = {f"={i:04d}": rng.choice([0, 1, 5, rng.randrange(1, 10 ** 6)]) for i in range(3000)}
+    names = sorted(sizes)
+    got = mixing.source_targets(spark.createDataFrame(list(sizes.items()), "key string, source_size long").repartition(7))
+    want = fill({k: v for k, v in sizes.items() if v}, {k: (5, 2, 1)[i % 3] for i, k in enumerate(names)}, 1.5, 2.0)
+    for r in got.collect():
+        assert abs(r["target"] - want.get(r["key"], 0)) <= 1e-9 * want.get(r["key"], 0)
+    assert got.count() == 3000
+
+
 def test_mixing_targets_and_copies(spark, odd):
     rng = random.Random(8)
     rows = [(i, prose(rng.randrange(1, 80), i), "en", rng.choice(["b", "a", "c", "d", None, "hot", "hot"]), i) for i in range(1500)]
@@ -543,6 +568,16 @@ def test_line_spread(spark, odd):
     assert line_spread.digest(odd.limit(0)).count() == 0
 
 
+def test_line_spread_of_texts_of_many_lines(spark):
+    common = [f"line {i}" for i in range(200_000)]
+    rows = [(i, "\n".join(common), "en", f"s{i}", 0) for i in range(8)] + [(9, "\n".join(["mine", *common[:100_000], "", "too"]), "en", "s1", 0)]
+    began = time.monotonic()
+    out, (_, n_removed) = line_spread.dedup_lines(make(spark, rows))
+    got = {r["doc_id"]: (r["text"], r[n_removed]) for r in out.collect()}
+    assert time.monotonic() - began < 90  # seconds, where a search per line would take an hour
+    assert got == {i: ("", 200_000) for i in range(8)} | {9: ("mine\n\ntoo", 100_000)}
+
+
 def test_quality_rules_constraints_and_odd_rows(spark, odd):
     rng = np.random.default_rng(3)
     x = rng.random((2000, 3))

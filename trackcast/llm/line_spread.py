@@ -29,10 +29,11 @@ def _lines(text: Column) -> Column:
 
 def _explode(docs: DataFrame, text: str, *keep: Column) -> DataFrame:
     """A row per line with a word: the kept columns, its place and two hashes of the trimmed line."""
-    return (docs.select(*keep, F.posexplode(_lines(F.col(text))).alias("pos", "line"))
+    kept = docs.select(*keep, _lines(F.col(text)).alias("lines"))  # computed once a text, not once a line
+    return (kept.select(*kept.columns[:-1], F.posexplode("lines").alias("pos", "line"))
             .where(F.col("line").rlike(r"[^\x20\x09-\x0D]"))
             .withColumn("line", F.trim("line"))
-            .select(*[c for c in docs.select(*keep).columns], "pos",
+            .select(*kept.columns[:-1], "pos",
                     F.xxhash64("line").alias("h1"), F.xxhash64(F.lit("+"), "line").alias("h2")))
 
 
@@ -60,7 +61,9 @@ def remove(docs: DataFrame, lines: DataFrame, text: str = "text") -> tuple[DataF
            .groupBy("row").agg(F.collect_set("pos").alias("at")))  # at most the lines of one text
     hit = stored(hit.select(F.col("row").alias(k), F.col("at").alias(at)), "line-hits")
     out = docs.withColumn(k, F.struct(key.alias("col1"), check.alias("col2"))).join(hit, k, "left")
-    kept = F.filter(_lines(F.col(text)), lambda x, i: ~F.array_contains(F.col(at), i))
+    # the places that stay by a hash set, then the lines there: in step with the lines of a text
+    kept = F.get(F.transform(F.array(_lines(F.col(text))), lambda x: F.transform(
+        F.array_except(F.transform(x, lambda _, i: i), F.col(at)), lambda i: F.get(x, i))), F.lit(0))
     out = out.withColumns({
         n_lines: F.coalesce(F.size(F.filter(_lines(F.col(text)), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))), F.lit(0)).cast("long"),
         n_removed: F.coalesce(F.size(at), F.lit(0)).cast("long")})
