@@ -139,7 +139,8 @@ def identify(docs: DataFrame, model: Model, text: str = "text", keep: list[str]
     """``docs`` with lang_pred, score (0 to 1) and ambiguous, and the names these got.
 
     A null text, one without a letter, and any text under a model without
-    languages are ``und`` with score 0.  Only the text is looked at.
+    languages are ``und`` with score 0.  Only the text is looked at, the whole of
+    it however long; repeated rows are judged alike, an empty table stays empty.
     """
     held = docs.sparkSession.sparkContext.broadcast(model)  # BUCKETS x bits numbers
 

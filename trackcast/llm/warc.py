@@ -98,7 +98,10 @@ def record_id(page_id: int | None) -> str:
 
 def write_archives(pages: DataFrame, path: str, page_id: str = "page_id", url: str = "url", html: str = "html", least_bytes: int = 0) -> None:
     """Write a record per page under ``path``: equal payloads of ``least_bytes``
-    or more once, at the smallest page_id, and revisit records for the others."""
+    or more once, at the smallest page_id, and revisit records for the others.
+
+    A null html is an empty payload.  An empty table gives archives without
+    records."""
     bodies = _payloads(pages, page_id, url, html)
     again = mark_revisits(bodies, least_bytes)
     rows = bodies.join(again, (bodies["page_id"].eqNullSafe(again["page_id"])) & (bodies["digest"] == again["digest"]), "left").select(
