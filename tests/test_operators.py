@@ -169,6 +169,22 @@ def test_exact_median_of_wide_ranges_and_ties(spark, monkeypatch):
     assert got == {"b": 0.0, "c": 0.5}
 
 
+def test_profile_reads_the_rows_three_times_at_most(spark, monkeypatch):
+    df = spark.range(60_000).select(F.col("id").cast("double").alias("a"), (F.col("id") % 7).cast("double").alias("b"),
+                                    F.lit(None).cast("double").alias("c"))
+    reads, first = [], type(df).first
+    monkeypatch.setattr(type(df), "first", lambda self: (reads.append(1), first(self))[1])
+    got = {r[0]: (r[1], r[2]) for r in pf.column_profile(df, list("abc")).collect()}
+    assert len(reads) <= 3
+    assert got["a"] == (29999.5, 29999.5) and got["b"][1] == 3.0 and got["c"] == (None, None)
+
+
+def test_wrong_first_bracket_costs_a_round_only(spark):
+    df = spark.range(5000).select(F.col("id").cast("double").alias("a"))
+    got = pf.exact_ranks(df, {"a": [2499, 2500]}, {"a": 5000}, 100, {"a": [10.0, 20.0]})
+    assert got == {("a", 2499): 2499.0, ("a", 2500): 2500.0}
+
+
 def test_correlation_constant_is_null(spark):
     df = spark.createDataFrame([(1.0, 2.0, 5.0), (2.0, 4.1, 5.0), (3.0, 5.9, 5.0), (4.0, None, 5.0)],
                                "y double, x double, k double")
@@ -263,3 +279,24 @@ def test_density_ignores_non_finite_points(spark):
                                "x double, y double")
     got = sorted(tuple(r)[1:] for r in pf.density_2d(df, "y", ["x"], bins=4).collect())
     assert got == [(0, 0, 1), (3, 3, 1)]
+
+
+def test_density_matches_a_loop_over_all_rows(spark):
+    rnd, nan, inf = random.Random(3), float("nan"), float("inf")
+    odd = [None, nan, inf, -inf]
+    pick = lambda low, high: rnd.choice(odd) if rnd.random() < 0.1 else rnd.uniform(low, high)
+    data = [(pick(-5, 5), pick(0, 1e-300), 4.0, None, pick(-1e300, 1e300), pick(0, 9)) for _ in range(2000)]
+    df = spark.createDataFrame(data, "a double, b double, c double, d double, e double, y double")
+    want = {}
+    for j, c in enumerate("abcde"):
+        points = [(r[j], r[5]) for r in data if r[j] is not None and r[5] is not None
+                  and math.isfinite(r[j]) and math.isfinite(r[5])]
+        for p in points:
+            spot = []
+            for axis in (0, 1):
+                low, high = min(q[axis] for q in points), max(q[axis] for q in points)
+                spot.append(0 if low == high else min(6, math.floor((p[axis] - low) / (high - low) * 7)))
+            want[(c, *spot)] = want.get((c, *spot), 0) + 1
+    got = {tuple(r)[:3]: r[3] for r in pf.density_2d(df, "y", list("abcde"), bins=7).collect()}
+    assert got == want
+    assert pf.density_2d(df.filter("a > 99 and a < 100"), "y", ["a", "d"]).collect() == []

@@ -78,6 +78,35 @@ def test_hot_artist_split_in_training_rows(spark):
     assert "skew=true" in plan
 
 
+def test_hot_artist_split_in_term_average(spark):
+    """An artist with a third of the term pairs; equal to the average over the exploded join."""
+    from trackcast.operators.terms import term_hotness
+
+    hot = F.col("id") % 3 == 0
+    inputs = skewed_inputs(spark, 6_000)
+    inputs.artist_terms = spark.range(150_000).select(
+        F.when(hot, F.lit(0)).otherwise(F.col("id") % 400).cast("string").alias("artist_id"),
+        F.concat(F.lit("term"), F.floor(F.col("id") / 3).cast("string")).alias("artist_term"),
+        F.lit(0.5).alias("weight"), F.lit(2.0).alias("freq"))
+    old = {k: spark.conf.get(k, None) for k in SKEW_CONF}
+    for k, v in SKEW_CONF.items():
+        spark.conf.set(k, v)
+    try:
+        df = term_hotness(feat.stored_term_pairs(inputs), feat.stored_song_stats(inputs, F.col("artist_hotttnesss")))
+        got = df.collect()
+        plan = df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+    assert "skew=true" in plan
+    want = (inputs.artist_terms.join(inputs.song_info, "artist_id").groupBy("artist_term")
+            .agg(F.avg("artist_hotttnesss").alias("h")).collect())
+    assert {r[0]: round(r[1], 9) for r in got} == {r[0]: round(r[1], 9) for r in want}
+
+
 @pytest.mark.parametrize("level", ["exact", "artist", "title"])
 def test_hot_key_in_requests_is_split(spark, level):
     from trackcast.operators.lookup import resolve_features

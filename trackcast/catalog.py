@@ -8,6 +8,7 @@ across engines; the library functions themselves never round.
 
 from __future__ import annotations
 
+from dataclasses import replace
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -161,16 +162,23 @@ def global_averages(spark, sf_dir):
 
 @query
 def stage_row_counts(spark, sf_dir):
-    """K6: row count of every input and stage, over tables written once."""
+    """K6: row count of every input and stage.
+
+    Both builds run once, share the term pairs and are written; their counts come from
+    the files' footers.  An input is counted by a scan that reads the columns of its
+    filter only.  Counts are no accumulators (``observe``): those add the rows of a map
+    stage again when a lost executor makes it run again.
+    """
     raw = _inputs(spark, sf_dir)
-    inputs = fx.MusicInputs(**{name: sinks.materialize(df, name) for name, df in vars(raw).items()})
+    inputs = replace(raw, similar_counts=sinks.materialize(raw.similar_counts, "similar_counts"))
+    pairs = feat.stored_term_pairs(inputs)
     stages = [
         ("song_info", inputs.song_info), ("play_count", inputs.play_count),
         ("similar_artist_count", inputs.similar_counts), ("artist_terms", inputs.artist_terms),
         ("track_likes", inputs.track_likes), ("downloads", inputs.downloads),
         ("clean_downloads", cl.clean_downloads(inputs.downloads)),
-        ("lookup_features", feat.lookup_features(inputs)),
-        ("training_matrix", feat.training_matrix(inputs, sort_by_artist=False)),
+        ("lookup_features", sinks.materialize(feat.lookup_features(inputs, pairs=pairs), "lookup_features")),
+        ("training_matrix", sinks.materialize(feat.training_rows(inputs, pairs=pairs), "matrix")),
     ]
     out = None
     for name, df in stages:
@@ -274,8 +282,7 @@ def weight_dot_freq(spark, sf_dir):
 
 
 def _top(inputs: fx.MusicInputs, hotness, k: int):
-    pairs = sinks.materialize(tm.term_pairs(inputs.artist_terms), "term_pairs")  # read twice
-    stats = tm.artist_song_stats(inputs.song_info, hotness)
+    pairs, stats = feat.stored_term_pairs(inputs), feat.stored_song_stats(inputs, hotness)
     return pairs, tm.top_terms(tm.term_hotness(pairs, stats), k)
 
 

@@ -1,10 +1,12 @@
 """Column profile (A8), correlation with the label (A9), 2-D density.
 
 Exact median without gathering a column: a selection by sketched brackets.  A
-quantile sketch (bounded size, one aggregate for all columns) gives two values
-that enclose the wanted ranks; a second aggregate counts the values below and
+quantile sketch (bounded size, mergeable, one aggregate for all columns) gives two
+values that enclose the wanted ranks; a second aggregate counts the values below and
 inside the bracket; a bracket of few values is read and ranked, a larger one is
-sketched again.  The sketch works on ranks, so the spread of the values does not
+sketched again.  The first sketch needs no count, as the middle of a column is known
+as a share: it is built in the read that takes counts and means, one for both middle
+ranks.  The sketch works on ranks, so the spread of the values does not
 matter: every round shrinks a bracket by ``SHRINK`` or more, and 10^11 rows take
 three.  Infinities are ordinary values at the ends of the order.
 """
@@ -59,10 +61,18 @@ class _Search:
         return None
 
 
+def middle_bracket(c: Column) -> Column:
+    """Two values on either side of the middle ranks of ``c``, from a sketch that needs no count."""
+    width = 4.0 / ACCURACY
+    return F.percentile_approx(c, [0.5 - width, 0.5 + width], ACCURACY)
+
+
 def exact_ranks(df: DataFrame, wanted: dict[str, list[int]], counts: dict[str, int],
-                max_read: int = MAX_READ) -> dict[tuple[str, int], float]:
+                max_read: int = MAX_READ,
+                brackets: dict[str, Sequence[float]] | None = None) -> dict[tuple[str, int], float]:
     """The values at 0-based ranks of (double) columns; NULL and NaN are left out.
-    ``counts`` is the number of values of each column."""
+    ``counts`` is the number of values of each column, ``brackets`` two values per column
+    that probably enclose its ranks (a wrong one costs a round, never the result)."""
     numbers = df.select(*[F.when(~F.isnan(c), F.col(c)).alias(c) for c in wanted])
     open_ = [_Search(c, r, counts[c]) for c, ranks in wanted.items() for r in sorted(set(ranks))]
     found: dict[tuple[str, int], float] = {}
@@ -74,7 +84,10 @@ def exact_ranks(df: DataFrame, wanted: dict[str, list[int]], counts: dict[str, i
         open_ = [s for s in open_ if (s.name, s.rank) not in found]
         if not open_:
             break
-        ends = numbers.agg(*[s.bracket().alias(f"b{i}") for i, s in enumerate(open_)]).first()
+        if brackets:
+            ends, brackets = [brackets[s.name] for s in open_], None
+        else:
+            ends = numbers.agg(*[s.bracket().alias(f"b{i}") for i, s in enumerate(open_)]).first()
         placed = numbers.agg(*[c.alias(f"c{i}_{j}") for i, s in enumerate(open_) for j, c in enumerate(s.counts(*ends[i]))]).first()
         for i, s in enumerate(open_):
             value = s.narrow(*ends[i], *placed[4 * i:4 * i + 4])
@@ -86,14 +99,16 @@ def exact_ranks(df: DataFrame, wanted: dict[str, list[int]], counts: dict[str, i
 
 def column_profile(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """(column, mean, median) per column; the median is exact (the mean of the
-    two middle values for an even count).  ``df`` is read three times: store it."""
+    two middle values for an even count).  ``df`` is read three times at most up to some
+    10^7 rows (two more for every further factor of ``SHRINK``): store it."""
     spark = df.sparkSession
     data = df.select(*[F.col(c).cast("double").alias(c) for c in cols])
     number = {c: F.when(~F.isnan(c), F.col(c)) for c in cols}
-    first = data.agg(*[e for c in cols for e in (F.count(number[c]).alias(f"n_{c}"), F.avg(number[c]).alias(f"avg_{c}"))]).first()
+    first = data.agg(*[e for c in cols for e in (F.count(number[c]).alias(f"n_{c}"), F.avg(number[c]).alias(f"avg_{c}"),
+                                                 middle_bracket(number[c]).alias(f"mid_{c}"))]).first()
     n = {c: first[f"n_{c}"] for c in cols}
     ranks = {c: [(n[c] - 1) // 2, n[c] // 2] for c in cols if n[c]}
-    value = exact_ranks(data, ranks, n) if ranks else {}
+    value = exact_ranks(data, ranks, n, brackets={c: first[f"mid_{c}"] for c in ranks}) if ranks else {}
     rows = []
     for c in cols:
         lo, hi = (value[c, r] for r in ranks[c]) if c in ranks else (None, None)

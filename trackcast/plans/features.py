@@ -58,37 +58,53 @@ def lookup_songs_with_plays(inputs: MusicInputs) -> DataFrame:
         "play_count", "song_id")
 
 
+def stored_term_pairs(inputs: MusicInputs) -> DataFrame:
+    """The term rows by artist and term, written once: two branches of either
+    build read them, and both builds may share them."""
+    return materialize(term_pairs(inputs.artist_terms), "term_pairs")
+
+
+def stored_song_stats(inputs: MusicInputs, hotness) -> DataFrame:
+    """The songs by artist, written once.  With both sides of the term average
+    stored, its join has two plain shuffle stages and an artist holding a third of
+    the term pairs is split."""
+    return materialize(artist_song_stats(inputs.song_info, hotness), "song_stats")
+
+
 def lookup_genre_overlap(inputs: MusicInputs, top_k: int = DEFAULT_TOP_K,
                          pairs: DataFrame | None = None) -> DataFrame:
     """L4, first variant: top terms over the cleaned songs (missing hotness = 0)."""
-    pairs = pairs if pairs is not None else term_pairs(inputs.artist_terms)
-    stats = artist_song_stats(inputs.song_info, na_to_zero("artist_hotttnesss"))
+    pairs = pairs if pairs is not None else stored_term_pairs(inputs)
+    stats = stored_song_stats(inputs, na_to_zero("artist_hotttnesss"))
     top = top_terms(term_hotness(pairs, stats), top_k)
     return genre_overlap(pairs, top, top_k, "top_1000_count")
 
 
-def stored_lookup_artist_table(inputs: MusicInputs, top_k: int = DEFAULT_TOP_K) -> DataFrame:
+def stored_lookup_artist_table(inputs: MusicInputs, top_k: int = DEFAULT_TOP_K,
+                               pairs: DataFrame | None = None) -> DataFrame:
     """Term overlap of the artists that have terms (the overlap join is an inner
-    join), written once, the term pairs aggregated once.  The similar-artist
-    count of the join stages is not a column of the lookup table."""
-    pairs = materialize(term_pairs(inputs.artist_terms), "term_pairs")
+    join), written once.  The similar-artist count of the join stages is not a
+    column of the lookup table."""
     return materialize(lookup_genre_overlap(inputs, top_k, pairs), "lookup_artists")
 
 
-def lookup_song_features(inputs: MusicInputs, top_k: int = DEFAULT_TOP_K) -> DataFrame:
+def lookup_song_features(inputs: MusicInputs, top_k: int = DEFAULT_TOP_K,
+                         pairs: DataFrame | None = None) -> DataFrame:
     """The song-level intermediate (J1, J6) before the training join.
 
     The inner artist join runs first (it can only remove songs), then plays.
     """
     songs = join_artist_feature(clean_song_info(inputs.song_info),
-                                stored_lookup_artist_table(inputs, top_k), "inner", store=False)
+                                stored_lookup_artist_table(inputs, top_k, pairs), "inner", store=False)
     return join_play_count(songs, inputs.play_count)
 
 
-def lookup_features(inputs: MusicInputs, top_k: int = DEFAULT_TOP_K) -> DataFrame:
+def lookup_features(inputs: MusicInputs, top_k: int = DEFAULT_TOP_K,
+                    pairs: DataFrame | None = None) -> DataFrame:
     """L2: (artist_name, title, td_confidence, artist_hotness, song_hotness, td_meanPrice)
-    per song row, with the training row's rating and price (0 when none, J8 + P8)."""
-    joined = join_training(lookup_song_features(inputs, top_k), clean_downloads(inputs.downloads),
+    per song row, with the training row's rating and price (0 when none, J8 + P8).
+    ``pairs``: the stored term pairs, if another build has written them."""
+    joined = join_training(lookup_song_features(inputs, top_k, pairs), clean_downloads(inputs.downloads),
                            "left")
     return joined.select(
         "artist_name", "title",
@@ -129,11 +145,12 @@ def explore_artist_table(inputs: MusicInputs, top_k: int = DEFAULT_TOP_K,
                     F.coalesce("similar_artist_count", F.lit(0)).alias("similar_artist_count")))
 
 
-def stored_explore_artist_table(inputs: MusicInputs, top_k: int = DEFAULT_TOP_K) -> DataFrame:
+def stored_explore_artist_table(inputs: MusicInputs, top_k: int = DEFAULT_TOP_K,
+                                pairs: DataFrame | None = None) -> DataFrame:
     """:func:`explore_artist_table` written once, songs and term pairs each
     aggregated and written once (two branches of the plan read them)."""
-    pairs = materialize(term_pairs(inputs.artist_terms), "term_pairs")
-    stats = materialize(artist_song_stats(inputs.song_info, to_double("artist_hotttnesss")), "song_stats")
+    pairs = pairs if pairs is not None else stored_term_pairs(inputs)
+    stats = stored_song_stats(inputs, to_double("artist_hotttnesss"))
     return materialize(explore_artist_table(inputs, top_k, pairs, stats), "explore_artists")
 
 
@@ -145,8 +162,10 @@ def explore_song_table(inputs: MusicInputs, top_k: int = DEFAULT_TOP_K) -> DataF
                                store=False)
 
 
-def training_rows(inputs: MusicInputs, top_k: int = DEFAULT_TOP_K) -> DataFrame:
+def training_rows(inputs: MusicInputs, top_k: int = DEFAULT_TOP_K,
+                  pairs: DataFrame | None = None) -> DataFrame:
     """The 17 matrix columns plus ``td_artist`` (needed for the artist split).
+    ``pairs``: the stored term pairs, if another build has written them.
 
     The inner training join (J9) runs first: it is the most selective step,
     so plays, likes and artist features are joined to matched songs only
@@ -158,7 +177,7 @@ def training_rows(inputs: MusicInputs, top_k: int = DEFAULT_TOP_K) -> DataFrame:
     training = clean_downloads(inputs.downloads, LABEL_COLUMN).filter(F.col("td_artist") != "")
     matched = join_training(songs, training, "inner")
     matched = join_likes(join_play_count(matched, inputs.play_count), inputs.track_likes)
-    matched = join_artist_feature(matched, stored_explore_artist_table(inputs, top_k), "inner",
+    matched = join_artist_feature(matched, stored_explore_artist_table(inputs, top_k, pairs), "inner",
                                   store=False)
     pop = popularity("artist_familiarity", "song_count", "similar_artist_count")
     cols = [pop.alias(c) if c == "popularity" else F.col(c) for c in TRAINING_COLUMNS]
