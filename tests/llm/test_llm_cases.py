@@ -1,6 +1,7 @@
 """Nulls, empty and long texts, ties, repeated rows, empty tables and clashing columns, operator by operator."""
 
 import gzip
+import hashlib
 import io
 import random
 import re
@@ -470,6 +471,24 @@ def test_mixing_offset_is_unbiased_and_misses_by_less_than_a_document(spark):
     assert all(off < 15 for off in spark.range(20_000).agg(*seeds).first())
 
 
+def test_mixing_takes_the_nearest_of_its_offsets(spark):
+    rng = random.Random(14)
+    rows = [(i, prose(rng.randrange(1, 300), i), "en", f"s{rng.randrange(30):02d}", 0) for i in range(200)]
+    lined = mixing.placed(mixing.entries(make(spark, rows).select("doc_id", "text", "source"))).select(
+        "key", "size", "n", "ahead", "rate", "target", "offset").collect()
+    for key in {r["key"] for r in lined}:
+        own = [r for r in lined if r["key"] == key]
+        start = int(hashlib.md5(f"mix-1|{key}".encode()).hexdigest()[:8], 16) % 1024
+
+        def off(u):
+            taken = [min(np.floor((r["ahead"] + r["n"]) * r["rate"] + u / 1024) - np.floor(r["ahead"] * r["rate"] + u / 1024), 2 * r["n"]) * r["size"] for r in own]
+            return abs(sum(taken) - own[0]["target"])
+
+        tried = [(start + 16 * k) % 1024 for k in range(64)]
+        assert len({r["offset"] for r in own}) == 1 and own[0]["offset"] in tried
+        assert off(own[0]["offset"]) <= min(map(off, tried)) + 1e-6
+
+
 def test_mixing_targets_of_many_sources(spark):
     rng = random.Random(13)
     sizes = {f"={i:04d}": rng.choice([0, 1, 5, rng.randrange(1, 10 ** 6)]) for i in range(3000)}

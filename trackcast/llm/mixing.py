@@ -4,11 +4,11 @@ Every source gets a target number of words; each of its documents then expects
 ``target / size`` copies.  The documents of a source stand in a line (by size
 class, then by a hash), the expected copies are prefix-summed, one random
 offset per source is added, and a document is emitted once per integer boundary
-that its stretch crosses.  The offset is a hash of seed and source, so over the
-seeds a document is taken as often as it expects.  Standing by size makes the words
-taken come close to the target: neighbours that stand in for each other have about
-equal sizes, and whatever the offset is, a source's words miss its target by less
-than its largest document.
+that its stretch crosses.  Standing by size makes the words taken come close to
+the target: neighbours that stand in for each other have about equal sizes, and
+whatever the offset is, a source's words miss its target by less than its largest
+document.  For sources of few documents the offset matters too: of ``OFFSETS`` evenly
+spaced ones from a random start, that whose words come nearest to the target is taken.
 
 The prefix sum has two levels, so that a source with a third of all rows is not
 one task: places inside a bucket (a range of the hash inside a size class of a
@@ -30,6 +30,7 @@ SHARE = 1.5           # of all words
 MOST = 2.0            # times a source's words, and times a document
 MAX_BUCKETS = 200_000
 BUCKET_ROWS = 256     # least rows of a bucket
+OFFSETS = 64
 SEED = "mix-1"
 _SLICE = 4096         # copies of one repeated row that are generated together
 
@@ -110,7 +111,7 @@ def placed(found: DataFrame, weights=WEIGHTS, share: float = SHARE, most: float
     groups = stored(groups.withColumn("parts", F.ceil(F.col("rows") / per_bucket)), "mix-groups")
     targets = source_targets(groups.groupBy("key").agg(F.sum("words").alias("source_size")), weights, share, most)
     targets = targets.withColumn("rate", F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0))
-    targets = targets.withColumn("offset", _bits(F.md5(F.concat(F.lit(f"{seed}|"), F.col("key")))) % 1024)
+    targets = targets.withColumn("start", _bits(F.md5(F.concat(F.lit(f"{seed}|"), F.col("key")))) % 1024)
 
     bucketed = found.join(bounded(groups.select("key", "class", "parts")), ["key", "class"]).withColumn(
         "bucket", F.floor(_bits(F.col("h")) * F.col("parts") / F.lit(float(1 << 32))))
@@ -119,8 +120,15 @@ def placed(found: DataFrame, weights=WEIGHTS, share: float = SHARE, most: float
                .withColumn("bucket_ahead", F.coalesce(F.sum("in_bucket").over(before), F.lit(0)))
                .join(targets, "key").drop("in_bucket"))
     inside = W.partitionBy("key", "class", "bucket").orderBy("h", "k").rowsBetween(W.unboundedPreceding, -1)
-    return stored(bucketed.join(stored(buckets, "mix-buckets"), ["key", "class", "bucket"])
-                  .withColumn("ahead", F.col("bucket_ahead") + F.coalesce(F.sum("n").over(inside), F.lit(0))), "mix-lined")
+    lined = stored(bucketed.join(stored(buckets, "mix-buckets"), ["key", "class", "bucket"])
+                   .withColumn("ahead", F.col("bucket_ahead") + F.coalesce(F.sum("n").over(inside), F.lit(0))), "mix-lined")
+    offsets = [(F.col("start") + k * (1024 // OFFSETS)) % 1024 for k in range(OFFSETS)]
+    tried = lined.groupBy("key").agg(F.first("target").alias("target"), *[
+        F.sum(_copies(F.col("ahead"), F.col("n"), u, most) * F.col("size")).alias(f"w{k}") for k, u in enumerate(offsets)],
+        F.first("start").alias("start"))
+    nearest = F.array_min(F.array(*[F.struct(F.abs(F.col(f"w{k}") - F.col("target")).alias("off"), F.lit(k).alias("k"), u.alias("u"))
+                                    for k, u in enumerate(offsets)]))
+    return lined.join(bounded(stored(tried.select("key", nearest["u"].alias("offset")), "mix-offsets")), "key")
 
 
 def _copies(first: Column, rows: Column, offset: Column, most: float = MOST) -> Column:
@@ -165,11 +173,15 @@ with d as (select doc_id, coalesce('=' || source, '~') key,
  l as (select *, (total * 1.5::double - coalesce(sum(cap) over (order by fill, key rows between unbounded preceding and 1 preceding), 0))
     / sum(weight) over (order by fill, key rows between current row and unbounded following) level from f),
  t as (select key, source_size, least(cap, coalesce(max(case when level <= fill then level end) over () * weight, cap)) target,
-    cast('0x' || substr(md5('mix-1|' || key), 1, 8) as bigint) % 1024 / 1024::double u from l),
- r as (select doc_id, d.size, source_size, target, u, case when source_size > 0 then target / source_size else 0 end rate,
+    cast('0x' || substr(md5('mix-1|' || key), 1, 8) as bigint) % 1024 as start from l),
+ r as (select key, doc_id, d.size, source_size, target, start, case when source_size > 0 then target / source_size else 0 end rate,
     row_number() over (partition by key order by case when size < 16 then size
         else (length(bin(size)) - 4) * 16 + (size >> (length(bin(size)) - 5)) - 16 end, h) i
-    from d join t using (key))
+    from d join t using (key)),
+ o as (select key, k, (start + k * 16) % 1024 / 1024::double u, target from t, range(64) x(k)),
+ w as (select key, k, u, o.target, sum(least(2, floor(i * rate + u) - floor((i - 1) * rate + u)) * size) words
+    from r join o using (key) group by all),
+ b as (select key, u, row_number() over (partition by key order by abs(words - target), k) n from w)
 select doc_id, size, source_size, target,
-    cast(least(2, floor(i * rate + u) - floor((i - 1) * rate + u)) * size as bigint) taken from r
+    cast(least(2, floor(i * rate + u) - floor((i - 1) * rate + u)) * size as bigint) taken from r join b using (key) where n = 1
 """
