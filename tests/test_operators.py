@@ -300,3 +300,61 @@ def test_density_matches_a_loop_over_all_rows(spark):
     got = {tuple(r)[:3]: r[3] for r in pf.density_2d(df, "y", list("abcde"), bins=7).collect()}
     assert got == want
     assert pf.density_2d(df.filter("a > 99 and a < 100"), "y", ["a", "d"]).collect() == []
+
+
+def test_small_likes_leave_the_songs_unshuffled(spark):
+    from trackcast.operators.joins import join_likes
+
+    songs = spark.range(5000).select(F.concat(F.lit("t"), F.col("id") % 4000).alias("track_id"), F.col("id").cast("string").alias("song_id"))
+    likes = (spark.range(600).groupBy((F.col("id") % 300).alias("track")).agg(F.count(F.lit(1)).alias("likes"))
+             .select(F.concat(F.lit("t"), "track").alias("track"), "likes"))
+    out = join_likes(songs, likes)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning" not in plan and "BroadcastHashJoin" in plan
+    got = {r["song_id"]: r["likes"] for r in out.collect()}
+    assert len(got) == 5000 and all(n == (2 if int(s) % 4000 < 300 else 0) for s, n in got.items())
+
+
+def test_joined_ids_come_first_and_repeated_plays_fan_out(spark):
+    from trackcast.operators.joins import join_play_count
+
+    songs = spark.createDataFrame([("a", "s1", "t1"), ("b", "s1", "t2"), ("c", None, "t1")], "title string, song_id string, track_id string")
+    plays = spark.createDataFrame([("s1", "t1", 4), ("s1", "t1", 5), ("s2", "t1", 6), (None, "t1", 7)], "play_song_id string, play_track_id string, play_count int")
+    out = join_play_count(songs, plays)
+    assert out.columns == ["song_id", "track_id", "title", "play_count"]
+    assert sorted((r["title"], r["play_count"]) for r in out.collect()) == [("a", 4), ("a", 5), ("b", 0), ("c", 0)]
+
+
+def test_popularity_is_computed_after_the_sort(spark, tables):
+    from trackcast.plans import features as feat
+    from trackcast.sources import fixtures as fx
+
+    plan = feat.training_matrix(fx.music_inputs(tables))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("LOG10") < plan.index("Sort [")
+
+
+def test_split_rows_are_stored_with_the_columns_that_are_read(spark):
+    from conftest import SF_SMALL
+
+    from trackcast import catalog
+    from trackcast.plans import features as feat
+
+    stored = catalog._split_rows(spark, SF_SMALL, stored=("td_confidence", feat.LABEL_COLUMN))
+    assert stored.columns == ["td_confidence", feat.LABEL_COLUMN, "split"]
+    whole = catalog._split_rows(spark, SF_SMALL).select(*stored.columns)
+    assert stored.exceptAll(whole).isEmpty() and whole.exceptAll(stored).isEmpty()
+
+
+def test_stage_counts_derive_the_downloads_once(spark, monkeypatch):
+    from conftest import SF_SMALL
+
+    from trackcast import catalog, sinks
+
+    written = {}
+    keep = sinks.materialize
+    monkeypatch.setattr(sinks, "materialize", lambda df, name: written.setdefault(name, keep(df, name)))
+    counts = dict(map(tuple, catalog.stage_row_counts(spark, SF_SMALL).collect()))
+    assert written["downloads"].count() == counts["downloads"]
+    assert written["matrix"].columns == ["td_artist"] and written["lookup_features"].columns == ["artist_name", "title"]
+    assert counts["training_matrix"] == catalog.training_matrix(spark, SF_SMALL).count()
+    assert counts["lookup_features"] == catalog.lookup_features(spark, SF_SMALL).count()
