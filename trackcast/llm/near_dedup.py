@@ -44,7 +44,7 @@ KMER = 2
 MINIMA = 3
 SKETCHES = 48
 SIMILARITY = 0.8
-BLOCK = 256          # members of a bucket that are compared with as many others in one group
+BLOCK = 512          # members of a bucket that are compared with as many others in one group
 LARGE = 4096         # members from which on a bucket is split by rare words first
 SLOTS = 64           # least size of a bag
 ORDER_TEXTS = 4096   # about as many texts are counted for the order of the words
@@ -455,9 +455,10 @@ def _allowed(group, one: np.ndarray, two: np.ndarray, threshold: float, mine=Non
     return tuple(np.concatenate(x) for x in zip(*found))
 
 
-def blocks(rows: DataFrame) -> DataFrame:
+def blocks(rows: DataFrame, own: DataFrame | None = None) -> DataFrame:
     """``rows`` (key, id, root, words, ...), stored, of the keys with several roots, dealt for the
-    comparison of all with all: key, i, j, mine, then the other columns.
+    comparison of all with all: key, i, j, mine, then the other columns, and those of ``own`` (a
+    row per id) if given.
 
     The rows of a key are dealt to blocks by a hash, of about ``BLOCK`` rows and ``BLOCK_WORDS``
     words at most, and every two blocks (and each with itself) are one group (key, i, j).
@@ -465,8 +466,11 @@ def blocks(rows: DataFrame) -> DataFrame:
     sizes = stored(rows.groupBy("key").agg(F.count("*").alias("n"), F.sum("words").alias("w"), F.min("root").alias("r"), F.max("root").alias("s"))
                    .where("r != s").select("key", F.ceil(F.greatest(F.col("n") / BLOCK, F.col("w") / BLOCK_WORDS)).alias("parts")), "near-sizes")
     mine = F.pmod(F.xxhash64("id"), F.col("parts"))
-    return (rows.join(bounded(sizes), "key").withColumn("mine", mine).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
-            .select("key", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "mine", *[c for c in rows.columns if c != "key"]))
+    held = rows.join(bounded(sizes), "key")
+    held = held if own is None else held.join(own, "id")
+    return (held.withColumn("mine", mine).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
+            .select("key", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "mine",
+                    *[c for c in held.columns if c not in ("key", "parts")]))
 
 
 def _by_group(dealt: DataFrame, compare) -> DataFrame:
@@ -512,8 +516,9 @@ def linking(rows: DataFrame, nodes: DataFrame, texts: DataFrame, threshold: floa
     """(a, b): the links between ids of different roots with the same bucket ``key``; ``rows``
     (key, id, root, words), stored, ``texts`` (id, text).  The pairs are aligned inside the task,
     each in the first of the buckets that both texts are in."""
+    # texts join before the rows are dealt: the join makes a row per member, not one per block
     own = texts.join(nodes.select("id", "sketch"), "id")
-    dealt = blocks(rows).join(own, "id").select("key", "i", "j", "mine", "id", "root", "words", "sketch", "text")
+    dealt = blocks(rows, own).select("key", "i", "j", "mine", "id", "root", "words", "sketch", "text")
 
     def compare(part):
         key, i, j, mine, ids, root, words = (part.column(c).to_numpy() for c in range(7))
