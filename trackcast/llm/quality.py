@@ -14,6 +14,7 @@ text, 2 for sound and clean text.  The model is fitted on a bounded sample
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cmp_to_key
 
 import numpy as np
 import pyarrow as pa
@@ -88,14 +89,18 @@ def fit(rows: np.ndarray, features: np.ndarray, counts: np.ndarray, grade: np.nd
     if levels < 2 or len(np.unique(grade)) < 2:  # nothing to tell apart: all is of the one grade seen
         seen = int(grade[0]) if n else 0
         return Model(weight, np.where(np.arange(max(SELECT, levels - 1)) < seen, -4.0, 4.0))
-    used = np.flatnonzero(np.bincount(features, minlength=1 << BITS))
-    place = np.zeros(1 << BITS, np.int32)
-    place[used] = np.arange(len(used))
-    column = place[features]
-    size = np.bincount(rows, counts, minlength=n)
-    x = counts / np.sqrt(size, dtype=np.float32)[rows]
     ends = np.append(np.arange(0, len(rows), _PART), len(rows))
     parts = list(zip(ends[:-1], ends[1:]))  # bounds the temporary arrays
+    present, size = np.zeros(1 << BITS, dtype=bool), np.zeros(n)
+    for a, b in parts:
+        present[features[a:b]] = True
+        size += np.bincount(rows[a:b], counts[a:b], minlength=n)
+    used = np.flatnonzero(present)
+    place = np.zeros(1 << BITS, np.int32)
+    place[used] = np.arange(len(used))
+    column, x, root = place[features], np.empty(len(rows), np.float32), np.sqrt(size, dtype=np.float32)
+    for a, b in parts:
+        x[a:b] = counts[a:b].astype(np.float32) / root[rows[a:b]]
     k = levels - 1
     w, cut = np.zeros(len(used)), np.linspace(-2, -1, k) if k > 1 else np.array([-1.0])
     seen = np.bincount(grade, minlength=levels)
@@ -135,16 +140,42 @@ def _sparse(column: pa.Array) -> list[pa.Array]:
     return [pa.array(feature, pa.binary()), pa.array(count, pa.binary())]
 
 
+def gathered(rows) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Features and counts of the rows (grade, f, n), one after the other, and the number of
+    entries and the grade of each row; in one order, whatever order they come in.  The numbers lie in
+    two growing buffers, so that the driver keeps no object per row and gives the memory back."""
+    feature, count, grade, ends = bytearray(), bytearray(), [], [0]
+    for r in rows:
+        feature += r["f"]
+        count += r["n"]
+        grade.append(r["grade"])
+        ends.append(len(feature))
+
+    def key(i: int):
+        return grade[i], feature[ends[i]:ends[i + 1]], count[ends[i]:ends[i + 1]]
+
+    def least_first(i: int, j: int) -> int:
+        a, b = key(i), key(j)
+        return (a > b) - (a < b)
+
+    order = np.array(sorted(range(len(grade)), key=cmp_to_key(least_first)), dtype=int)
+    begin, end = np.array(ends[:-1], dtype=int) // 4, np.array(ends[1:], dtype=int) // 4
+
+    def sorted_rows(held: bytearray) -> np.ndarray:
+        numbers = np.frombuffer(held, np.int32)
+        return np.concatenate([np.zeros(0, np.int32), *(numbers[i:j] for i, j in zip(begin[order], end[order]))])
+
+    one = sorted_rows(feature)
+    feature.clear()
+    two = sorted_rows(count)
+    return one, two, (end - begin)[order], np.array(grade, dtype=int)[order]
+
+
 def train(docs: DataFrame, ratings: DataFrame, grade: Column, per_grade: int = PER_GRADE, doc_id: str = "doc_id", text: str = "text") -> Model:
     """Fit on ``ratings`` (doc_id and what ``grade`` takes); of several grades of a document the lowest counts."""
     sample = labelled(docs, ratings, grade, per_grade, doc_id, text)
     rows, _ = append_columns(sample, "text", [("f", T.BinaryType()), ("n", T.BinaryType())], lambda: _sparse, keep=["grade"])
-    got = sorted((r["grade"], bytes(r["f"]), bytes(r["n"])) for r in rows.limit(8 * per_grade).toLocalIterator())
-    grade_seen = np.array([g for g, _, _ in got], dtype=int)
-    size = np.array([len(f) // 4 for _, f, _ in got], dtype=int)
-    feature = np.frombuffer(b"".join(f for _, f, _ in got), np.int32)
-    count = np.frombuffer(b"".join(n for _, _, n in got), np.int32).astype(np.float32)
-    del got
+    feature, count, size, grade_seen = gathered(rows.limit(8 * per_grade).toLocalIterator())
     return fit(np.repeat(np.arange(len(size), dtype=np.int32), size), feature, count, grade_seen)
 
 
